@@ -148,6 +148,16 @@ def weighted_resample(
     return df.select("*", F.explode(taken).alias("copy"))
 
 
+def _placed(df: DataFrame, key: str) -> DataFrame:
+    """Rows placed and ordered by key, over all cores: fits are heavy on computing, so
+    even a small table is worth spreading out. Nothing depends on how the input lay."""
+    spark = df.sparkSession
+    n = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return df.repartition(n, key).sortWithinPartitions(key)
+
+
 def parameter_count(model: PipelineModel) -> int:
     return model.stages[-1].weights.size
 
@@ -188,9 +198,7 @@ def fit_mlp(
         .unionByName(val.select(*columns, label, key).withColumn("_part", F.lit("val"))),
         scaler,
     ).select("_part", key, F.col(label).cast("double").alias("_y"), "features")
-    held = (
-        scaled.repartition(key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    held = _placed(scaled, key).persist(StorageLevel.MEMORY_AND_DISK)
     fitting = weighted_resample(
         held.filter(F.col("_part") == "train"), label="_y", key=key, weight=pos_weight, seed=seed
     ).select("features", "_y")
@@ -263,11 +271,7 @@ def fit_forest(
     Spark grows trees level by level to a set depth (30 at most), so ``depth`` is the size
     control that an unlimited single-machine tree lacks.
     """
-    ready = (
-        balanced_weight(train.select(*columns, label, key), label=label)
-        .repartition(key)
-        .sortWithinPartitions(key)
-    )
+    ready = _placed(balanced_weight(train.select(*columns, label, key), label=label), key)
     forest = RandomForestClassifier(
         featuresCol="features_rf",
         labelCol=label,
