@@ -19,7 +19,14 @@ from callmeter.operators import (
     split,
 )
 from callmeter.plans import oracle as sql
-from callmeter.plans.usage_table import flagged, labelled, prepared, usage
+from callmeter.plans.usage_table import (
+    flagged,
+    labelled,
+    prepare,
+    prepared,
+    records,
+    usage,
+)
 from callmeter.schema import (
     DERIVED,
     FEATURES,
@@ -57,6 +64,12 @@ def rounded_sql(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 
 
+@query(sql.statement("usage", f"SELECT account_id, {', '.join(RECORD)} FROM usage"))
+def usage_table(spark, sf_dir):
+    """The derivation itself; all other queries read its stored result."""
+    return usage(spark, sf_dir)
+
+
 # --- Sources and sinks ---------------------------------------------------------------
 
 _RECORDS = sql.statement("usage", f"SELECT {', '.join(RECORD)} FROM usage")
@@ -64,7 +77,7 @@ _RECORDS = sql.statement("usage", f"SELECT {', '.join(RECORD)} FROM usage")
 
 def _written_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "records-csv")
-    usage_io.write_csv(usage(spark, sf_dir).select(*RECORD), path)
+    usage_io.write_csv(records(spark, sf_dir).select(*RECORD), path)
     return path
 
 
@@ -81,7 +94,7 @@ def csv_typed_roundtrip(spark, sf_dir):
 @query(_RECORDS)
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "records")
-    usage_io.write_usage(usage(spark, sf_dir).select(*RECORD), path)
+    usage_io.write_usage(records(spark, sf_dir).select(*RECORD), path)
     return usage_io.read_usage(spark, path)
 
 
@@ -92,7 +105,7 @@ def parquet_roundtrip(spark, sf_dir):
 )
 def parquet_partitioned_by_split(spark, sf_dir):
     path = scratch_path(spark, "splits")
-    usage_io.write_usage(prepared(spark, sf_dir), path, partition_by=["split"])
+    usage_io.write_usage(prepare(flagged(spark, sf_dir)), path, partition_by=["split"])
     return usage_io.read_usage(spark, path).select(KEY, LABEL, "split", *FEATURES)
 
 
@@ -131,7 +144,7 @@ def predictions_csv_roundtrip(spark, sf_dir):
 )
 def storage_report(spark, sf_dir):
     report = usage_io.storage_report(
-        usage(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
+        records(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
     )
     return report.select(
         "csv_rows",
@@ -151,7 +164,7 @@ def storage_report(spark, sf_dir):
 )
 def storage_text(spark, sf_dir):
     report = usage_io.storage_report(
-        usage(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
+        records(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
     )
     path = scratch_path(spark, "storage-text")
     usage_io.storage_text(report).write.text(path)
@@ -167,7 +180,7 @@ def storage_text(spark, sf_dir):
 
 @query(sql.statement("usage", 'SELECT count(*) AS "rows", 18 AS "columns" FROM usage'))
 def profile_shape(spark, sf_dir):
-    return profile.shape(usage(spark, sf_dir))
+    return profile.shape(records(spark, sf_dir))
 
 
 @query(
@@ -194,7 +207,7 @@ _KINDS = {KEY: "bigint", **{f.name: f.dataType.simpleString() for f in USAGE_SCH
     )
 )
 def profile_dtypes(spark, sf_dir):
-    return profile.dtypes(usage(spark, sf_dir))
+    return profile.dtypes(records(spark, sf_dir))
 
 
 _DESCRIBE = (
@@ -218,7 +231,7 @@ def profile_describe(spark, sf_dir):
     )
 )
 def profile_nulls(spark, sf_dir):
-    return profile.nulls(usage(spark, sf_dir))
+    return profile.nulls(records(spark, sf_dir))
 
 
 @query(
@@ -235,7 +248,7 @@ def profile_duplicates(spark, sf_dir):
 
 @query(sql.statement("usage", 'SELECT churn, count(*) AS "count" FROM usage GROUP BY churn'))
 def class_distribution(spark, sf_dir):
-    return profile.class_distribution(usage(spark, sf_dir), label=LABEL)
+    return profile.class_distribution(records(spark, sf_dir), label=LABEL)
 
 
 @query(
@@ -296,7 +309,7 @@ def boxplot_by_class(spark, sf_dir):
 
 @query(sql.statement("base", "SELECT * FROM base"))
 def clean_base(spark, sf_dir):
-    return clean.base(usage(spark, sf_dir), drop=[IDENTIFIER], label=LABEL)
+    return clean.base(records(spark, sf_dir), drop=[IDENTIFIER], label=LABEL)
 
 
 @query(sql.statement("base", f"SELECT DISTINCT {sql.MEASURE_LIST}, churn FROM base"))
@@ -415,7 +428,7 @@ def features_describe(spark, sf_dir):
     )
 )
 def split_random(spark, sf_dir):
-    return split.random_split(usage(spark, sf_dir), key=KEY).select(KEY, "split")
+    return split.random_split(records(spark, sf_dir), key=KEY).select(KEY, "split")
 
 
 @query(
@@ -564,7 +577,7 @@ def contrast_sample(spark, sf_dir):
 )
 def schema_diff(spark, sf_dir):
     return checks.schema_diff(
-        {"records": usage(spark, sf_dir), "features": prepared(spark, sf_dir)}
+        {"records": records(spark, sf_dir), "features": prepared(spark, sf_dir)}
     )
 
 
@@ -672,15 +685,12 @@ def fitted(spark: SparkSession, sf_dir: str) -> tuple:
     """Network, its history and forest for a data folder, trained once per application."""
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _FITTED:
-        rows = prepared(spark, sf_dir).persist()
-        try:
-            train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
-            mlp, history = models.fit_mlp(
-                train, val, columns=FEATURES, rounds=ROUNDS, iterations=ITERATIONS
-            )
-            forest = models.fit_forest(train, columns=FEATURES, depth=DEPTH)
-        finally:
-            rows.unpersist()
+        rows = prepared(spark, sf_dir)
+        train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+        mlp, history = models.fit_mlp(
+            train, val, columns=FEATURES, rounds=ROUNDS, iterations=ITERATIONS
+        )
+        forest = models.fit_forest(train, columns=FEATURES, depth=DEPTH)
         _FITTED[place] = (mlp, history, forest)
     return _FITTED[place]
 

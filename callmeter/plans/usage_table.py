@@ -1,18 +1,29 @@
-"""A usage table derived from order tables: one order plays one account.
+"""The tables the registered queries work on.
 
-Minutes are whole numbers and charge rates powers of two, so every sum is exact and no
-result depends on row order.
+``usage`` derives a usage table from order tables: one order plays one account. Minutes
+are whole numbers and charge rates powers of two, so every sum is exact and no result
+depends on row order.
+
+The three-way join behind it runs once per application and folder. Its result, and the
+cleaned, split and featured table made from it, are written as Parquet to the shared
+scratch folder, and every other query starts from there.
 """
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.operators.clean import base, clean_rows, zscore_status
 from callmeter.operators.features import add_features
 from callmeter.operators.split import random_split
-from callmeter.schema import IDENTIFIER, KEY, LABEL, MEASURES, RECORD
+from callmeter.schema import FEATURES, IDENTIFIER, KEY, LABEL, MEASURES, RECORD
+from callmeter.sources.scratch import scratch_path
+from callmeter.sources.usage_io import write_usage
 
 # Charge per minute of each period.
 RATES = {"day": 0.25, "eve": 0.125, "night": 0.0625, "intl": 0.5}
@@ -69,15 +80,57 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(KEY, *RECORD)
 
 
+_WRITTEN: dict[tuple, tuple] = {}
+_WRITING = threading.RLock()
+
+
+def _written(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """The table ``name``, written on first use and read back from then on."""
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    with _WRITING:
+        if place in _WRITTEN:
+            path, schema = _WRITTEN[place]
+            try:
+                return spark.read.schema(schema).parquet(path)
+            except AnalysisException:
+                del _WRITTEN[place]  # the files were cleared away
+        path, table = scratch_path(spark, name), build()
+        write_usage(table, path, partition_by=partition_by)
+        _WRITTEN[place] = (path, table.schema)
+        return spark.read.schema(table.schema).parquet(path)
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usage table as stored: ``account_id`` and the 17 record columns."""
+    return _written(spark, sf_dir, "usage", lambda: usage(spark, sf_dir))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage without the identifier, label as 0/1."""
-    return base(usage(spark, sf_dir), drop=[IDENTIFIER], label=LABEL)
+    return base(records(spark, sf_dir), drop=[IDENTIFIER], label=LABEL)
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zscore_status(labelled(spark, sf_dir), columns=MEASURES)
 
 
+def prepare(rows: DataFrame) -> DataFrame:
+    """Clean rows with their split and all features, from rows with a status."""
+    return add_features(random_split(clean_rows(rows), key=KEY))
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows with their split and all features: what models are trained on."""
-    return add_features(random_split(clean_rows(flagged(spark, sf_dir)), key=KEY))
+    """What models are trained on and measured with, stored by split.
+
+    A filter on ``split`` reads the files of that split alone.
+    """
+    build = lambda: prepare(flagged(spark, sf_dir))
+    return _written(spark, sf_dir, "prepared", build, ["split"]).select(
+        KEY, *FEATURES, LABEL, "split"
+    )
