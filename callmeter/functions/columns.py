@@ -98,7 +98,9 @@ def hash_number(key: Column, *, seed: int, digits: int = 8) -> Column:
     to stay a positive 64-bit integer.
     """
     text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("NULL")))
-    return F.conv(F.substring(F.sha2(text, 256), 1, digits), 16, 10).cast("long")
+    number = F.conv(F.substring(F.sha2(text, 256), 1, digits), 16, 10).cast("long")
+    # Never null; saying so spares a second hash in the null checks of joins.
+    return F.coalesce(number, F.lit(0).cast("long"))
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

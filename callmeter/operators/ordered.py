@@ -25,7 +25,7 @@ def quantile_edges(
     constants, so a recomputed task cuts its rows at the same places.
     """
     shares = [i / cells for i in range(1, cells)]
-    found = df.stat.approxQuantile(list(columns), shares, 1.0 / (2 * cells))
+    found = df.stat.approxQuantile(list(columns), shares, 1.0 / cells)
     return [sorted(set(edges)) for edges in found]
 
 
@@ -67,7 +67,8 @@ def running_totals(
     the source is one row here. Adds ``<amount>_before`` and ``<amount>_total``.
     ``cell`` must not decrease as ``value`` grows.
     """
-    sums = df.groupBy(*groups, cell).agg(*[F.sum(a).alias(a) for a in amounts])
+    place = [*groups, cell]
+    sums = df.groupBy(*place).agg(*[F.sum(a).alias(a) for a in amounts])
     # One row per group and cell, so this window never sees more than the cell count.
     group = Window.partitionBy(*groups)
     ahead = group.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +79,7 @@ def running_totals(
         *[F.sum(a).over(group).alias(f"{a}_total") for a in amounts],
     )
     inside = (
-        Window.partitionBy(*groups, cell)
+        Window.partitionBy(*place)
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -86,7 +87,9 @@ def running_totals(
         "*",
         *[F.coalesce(F.sum(a).over(inside), F.lit(0)).alias(f"_{a}_inside") for a in amounts],
     )
-    joined = running.join(offsets, [*groups, cell])
+    # Every row finds its cell. A left join adds no null filters, so both sides keep the
+    # same aggregate below them and Spark computes it once.
+    joined = running.join(offsets, place, "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"_{a}_ahead") + F.col(f"_{a}_inside")).alias(f"{a}_before") for a in amounts],

@@ -39,33 +39,37 @@ def partitions(df: DataFrame) -> DataFrame:
 
 def dtypes(df: DataFrame) -> DataFrame:
     """Position, name and type of each column, with how many values it holds."""
-    wide = df.agg(
-        *[
-            agg.alias(cell(c, metric))
-            for i, (c, kind) in enumerate(df.dtypes, 1)
-            for metric, agg in (
-                ("position", F.max(F.lit(i))),
-                ("type", F.max(F.lit(kind))),
-                ("present", F.count(c)),
-            )
-        ]
-    )
-    return one_row_per_column(wide, df.columns, ["position", "type", "present"])
+    present = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column"),
+            F.lit(kind).alias("type"),
+            F.col(c).alias("present"),
+        )
+        for i, (c, kind) in enumerate(df.dtypes, 1)
+    ]
+    return present.select(F.inline(F.array(*rows)))
 
 
 def describe(df: DataFrame, *, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum per column, as numbers."""
-    metrics = {
-        "count": F.count,
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    wide = df.agg(
-        *[f(as_double(c)).alias(cell(c, m)) for c in columns for m, f in metrics.items()]
+    # Five figures for many columns side by side would be too many fields for generated
+    # code. Turned into (column, value) rows within the scan stage, they stay five, and
+    # the partial aggregate leaves one row per column and task.
+    v = F.col("value")
+    return (
+        df.select(*[as_double(c).alias(c) for c in columns])
+        .unpivot([], list(columns), "column", "value")
+        .groupBy("column")
+        .agg(
+            F.count(v).alias("count"),
+            F.avg(v).alias("mean"),
+            F.stddev_samp(v).alias("stddev"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+        )
     )
-    return one_row_per_column(wide, columns, list(metrics))
 
 
 def nulls(df: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from callmeter.plans.usage_table import (
     prepared,
     records,
     usage,
+    written,
 )
 from callmeter.schema import (
     DERIVED,
@@ -695,6 +696,17 @@ def fitted(spark: SparkSession, sf_dir: str) -> tuple:
     return _FITTED[place]
 
 
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows with the probabilities of both models, scored once and stored."""
+
+    def build() -> DataFrame:
+        mlp, _, forest = fitted(spark, sf_dir)
+        both = score.score_both(_test(spark, sf_dir), mlp, forest)
+        return both.select(KEY, LABEL, "mlp_prob", "rf_prob")
+
+    return written(spark, sf_dir, "model-scores", build)
+
+
 def _fit_figures(scored: DataFrame, column: str, size: int) -> DataFrame:
     p = F.col(column)
     area = evaluate.roc_auc(scored, label=LABEL, score=column).scalar()
@@ -714,8 +726,9 @@ FROM prepared WHERE split = 'test'""",
 )
 def mlp_fit_score(spark, sf_dir):
     mlp, _, _ = fitted(spark, sf_dir)
-    scored = score.positive_score(_test(spark, sf_dir), mlp, "p").select(LABEL, "p")
-    return _fit_figures(scored, "p", models.parameter_count(mlp))
+    return _fit_figures(
+        model_scores(spark, sf_dir), "mlp_prob", models.parameter_count(mlp)
+    )
 
 
 @query(
@@ -727,8 +740,9 @@ FROM prepared WHERE split = 'test'""",
 )
 def rf_fit_score(spark, sf_dir):
     _, _, forest = fitted(spark, sf_dir)
-    scored = score.positive_score(_test(spark, sf_dir), forest, "p").select(LABEL, "p")
-    return _fit_figures(scored, "p", forest.stages[-1].getNumTrees)
+    return _fit_figures(
+        model_scores(spark, sf_dir), "rf_prob", forest.stages[-1].getNumTrees
+    )
 
 
 @query(
@@ -787,10 +801,8 @@ FROM prepared WHERE split = 'test'""",
     )
 )
 def score_ensemble(spark, sf_dir):
-    mlp, _, forest = fitted(spark, sf_dir)
-    scored = score.score_both(_test(spark, sf_dir), mlp, forest)
     table = score.score_table(
-        score.ensemble(scored, scores=["mlp_prob", "rf_prob"]), score="ensemble_prob"
+        score.ensemble(model_scores(spark, sf_dir), scores=["mlp_prob", "rf_prob"]), score="ensemble_prob"
     )
     p = F.col("ensemble_prob")
     return table.agg(

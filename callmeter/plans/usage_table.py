@@ -84,7 +84,7 @@ _WRITTEN: dict[tuple, tuple] = {}
 _WRITING = threading.RLock()
 
 
-def _written(
+def written(
     spark: SparkSession,
     sf_dir: str,
     name: str,
@@ -108,7 +108,7 @@ def _written(
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usage table as stored: ``account_id`` and the 17 record columns."""
-    return _written(spark, sf_dir, "usage", lambda: usage(spark, sf_dir))
+    return written(spark, sf_dir, "usage", lambda: usage(spark, sf_dir))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +131,6 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     A filter on ``split`` reads the files of that split alone.
     """
     build = lambda: prepare(flagged(spark, sf_dir))
-    return _written(spark, sf_dir, "prepared", build, ["split"]).select(
+    return written(spark, sf_dir, "prepared", build, ["split"]).select(
         KEY, *FEATURES, LABEL, "split"
     )
