@@ -102,7 +102,7 @@ def correlation(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns, one row per pair.
 
-    Null where a column is constant. ``handle_invalid='skip'`` leaves out rows that hold
+    Null between a constant column and another. ``handle_invalid='skip'`` leaves out rows that hold
     a null; the default raises on them. Only the finished matrix (one number per pair of
     columns) passes through the driver.
     """

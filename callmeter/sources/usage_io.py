@@ -74,19 +74,26 @@ def _rows(df: DataFrame, form: str) -> DataFrame:
 
 
 def storage_report(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as CSV and as Parquet below ``path`` and compare the two.
+    """Write ``df`` as CSV and as Parquet below ``path`` and compare the two."""
+    write_csv(df, f"{path}/csv")
+    write_usage(df, f"{path}/parquet")
+    return compare_storage(
+        df.sparkSession, f"{path}/csv", f"{path}/parquet", schema=df.schema
+    )
+
+
+def compare_storage(
+    spark: SparkSession, csv_path: str, parquet_path: str, *, schema: T.StructType
+) -> DataFrame:
+    """The same table in both forms, side by side.
 
     One row: rows, files and bytes of each form, CSV/Parquet size ratio and the
     percentage saved.
     """
-    spark = df.sparkSession
-    csv_path, parquet_path = f"{path}/csv", f"{path}/parquet"
-    write_csv(df, csv_path)
-    write_usage(df, parquet_path)
     parts = (
         _files(spark, csv_path, "*.csv", "csv")
         .unionByName(_files(spark, parquet_path, "*.parquet", "parquet"))
-        .unionByName(_rows(read_usage_csv(spark, csv_path, schema=df.schema), "csv"))
+        .unionByName(_rows(read_usage_csv(spark, csv_path, schema=schema), "csv"))
         .unionByName(_rows(read_usage(spark, parquet_path), "parquet"))
     )
     totals = parts.agg(
