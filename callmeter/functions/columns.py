@@ -91,16 +91,19 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("||", *texts), 256)
 
 
-def hash_number(key: Column, *, seed: int, digits: int = 8) -> Column:
-    """A stable number from ``seed`` and ``key``: the first hex digits of their SHA-256.
+def hash_text(key: Column, *, seed: int) -> Column:
+    """SHA-256, in hex, of ``seed`` and ``key``.
 
-    Depends on the value alone, never on partitioning or row order. 15 digits at most,
-    to stay a positive 64-bit integer.
+    Depends on the value alone, never on partitioning or row order.
     """
     text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("NULL")))
-    number = F.conv(F.substring(F.sha2(text, 256), 1, digits), 16, 10).cast("long")
     # Never null; saying so spares a second hash in the null checks of joins.
-    return F.coalesce(number, F.lit(0).cast("long"))
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
+
+
+def hash_number(key: Column, *, seed: int) -> Column:
+    """A stable number from 0 to 2^32 - 1: the first 8 hex digits of ``hash_text``."""
+    return F.conv(F.substring(hash_text(key, seed=seed), 1, 8), 16, 10).cast("long")
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

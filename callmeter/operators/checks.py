@@ -52,16 +52,21 @@ def run_checks(
     present = [c for c in features if c in kinds]
     numeric = [c for c in present if kinds[c] in NUMERIC]
     y = F.col(label) if label in kinds else F.lit(None).cast("int")
-    infinite = [
-        F.count_if(F.abs(F.col(c)) == F.lit(float("inf"))) for c in RATIOS if c in numeric
-    ]
+    # Faults are added up within the row, so each kind needs one counter only.
+    marks = lambda conditions: sum((c.cast("int") for c in conditions), F.lit(0))
+    gaps = marks(F.col(c).isNull() for c in present)
+    infinite = marks(
+        F.coalesce(F.abs(F.col(c)) == F.lit(float("inf")), F.lit(False))
+        for c in RATIOS
+        if c in numeric
+    )
     measured = [c for c in (*POSITIVE_MEAN, "total_mins") if c in numeric]
     per_split = df.groupBy("split").agg(
         F.count("*").alias("rows"),
-        sum((F.count_if(F.col(c).isNull()) for c in present), F.lit(0)).alias("nulls"),
+        F.sum(gaps).alias("nulls"),
         F.count_if(y.isNull() | ~y.isin(0, 1)).alias("bad_labels"),
         F.avg(y).alias("rate"),
-        sum(infinite, F.lit(0)).alias("infinite"),
+        F.sum(infinite).alias("infinite"),
         *[F.stddev_samp(c).alias(f"std_{c}") for c in measured],
         *[F.avg(c).alias(f"mean_{c}") for c in measured],
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in measured],

@@ -7,7 +7,7 @@ is the exact running total; the cells only decide how the work is spread.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -29,30 +29,19 @@ def quantile_edges(
     return [sorted(set(edges)) for edges in found]
 
 
-def with_bins(
-    df: DataFrame,
-    columns: Sequence[str],
-    outputs: Sequence[str],
-    borders: Iterable[Sequence[float]],
+def with_cells(
+    df: DataFrame, columns: Sequence[str], outputs: Sequence[str], edges: Sequence[list[float]]
 ) -> DataFrame:
-    """Add the bin number of each column, by binary search in its borders."""
+    """Add the cell number of each column, by binary search in its borders."""
+    infinity = float("inf")
     return Bucketizer(
         inputCols=list(columns),
         outputCols=list(outputs),
-        splitsArray=[list(b) for b in borders],
+        splitsArray=[[-infinity, *(e or [0.0]), infinity] for e in edges],
         handleInvalid="keep",
     ).transform(df)
 
 
-def with_cells(
-    df: DataFrame, columns: Sequence[str], outputs: Sequence[str], edges: Sequence[list[float]]
-) -> DataFrame:
-    """Add the cell number of each column; the outer cells are open-ended."""
-    infinity = float("inf")
-    open_ended = [[-infinity, *(e or [0.0]), infinity] for e in edges]
-    return with_bins(df, columns, outputs, open_ended)
-
-
 def running_totals(
     df: DataFrame,
     *,

@@ -10,13 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import label_text
-from callmeter.operators.ordered import (
-    CELLS,
-    quantile_edges,
-    running_totals,
-    with_bins,
-    with_cells,
-)
+from callmeter.operators.ordered import CELLS, quantile_edges, running_totals, with_cells
 from callmeter.operators.reshape import cell, one_row_per_column
 from callmeter.schema import as_double
 
@@ -144,20 +138,50 @@ def histogram(df: DataFrame, *, columns: Sequence[str], bins: int = 30) -> DataF
         width = (high - low) / bins
         borders[c] = [low + i * width for i in range(bins)] + [high]
     grid = df.sparkSession.createDataFrame(
-        [(c, i, edges[i]) for c, edges in borders.items() for i in range(bins)],
-        "column string, bin int, bin_start double",
+        [
+            (c, i, edges[i], n * bins + i)
+            for n, (c, edges) in enumerate(borders.items())
+            for i in range(bins)
+        ],
+        "column string, bin int, bin_start double, slot int",
+    )
+    # One short expression for all columns: fifteen of them side by side would outgrow
+    # what the JVM compiles.
+    entries = [
+        entry
+        for n, (c, edges) in enumerate(borders.items())
+        for entry in (
+            F.lit(n * bins),
+            as_double(c),
+            F.lit(edges[0]),
+            F.lit((edges[-1] - edges[0]) / bins),
+        )
+    ]
+    if not entries:
+        return grid.select("column", "bin", "bin_start", F.lit(0).cast("long").alias("count"))
+    value, low, width = F.col("value"), F.col("low"), F.col("width")
+    guessed = (
+        df.select(F.stack(F.lit(len(borders)), *entries).alias("first", "value", "low", "width"))
+        .filter(value.isNotNull())
+        .select(
+            "*",
+            F.least(F.floor((value - low) / width).cast("int"), F.lit(bins - 1)).alias("guess"),
+        )
+    )
+    # A division can land a value one bin off its border; the borders decide. Column and
+    # bin become one number, so the counting hashes integers only.
+    guess = F.col("guess")
+    off = F.when(value < low + guess * width, -1).otherwise(
+        ((guess < bins - 1) & (value >= low + (guess + 1) * width)).cast("int")
     )
-    used = list(borders)
-    marks = [cell(c, "bin") for c in used]
-    counts = (
-        with_bins(df.select(*[as_double(c).alias(c) for c in used]), used, marks, borders.values())
-        .select(*[F.when(F.col(c).isNotNull(), F.col(m)).alias(c) for c, m in zip(used, marks)])
-        .unpivot([], used, "column", "bin")
-        .filter(F.col("bin").isNotNull())
-        .groupBy("column", F.col("bin").cast("int").alias("bin"))
-        .agg(F.count("*").alias("count"))
+    counts = guessed.groupBy((F.col("first") + guess + off).alias("slot")).agg(
+        F.count("*").alias("count")
+    )
+    return (
+        grid.join(counts, "slot", "left")
+        .select("column", "bin", "bin_start", "count")
+        .fillna(0, subset=["count"])
     )
-    return grid.join(counts, ["column", "bin"], "left").fillna(0, subset=["count"])
 
 
 def _exact_quartiles(values: DataFrame) -> DataFrame:

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callmeter.functions.columns import fingerprint, hash_number
-from callmeter.operators.ordered import running_totals
+from callmeter.functions.columns import fingerprint, hash_number, hash_text
 from callmeter.schema import SPLITS
 
 SHARES = (70, 15, 15)
@@ -49,9 +48,8 @@ def content_split(
     return df.withColumn("split", _split_name(bucket, shares))
 
 
-# Rows are ordered by 60 bits of hash. The top 24 bits number the cells that are counted,
-# the top 12 the coarse cells those counts are accumulated over.
-_HASH_DIGITS, _FINE_SHIFT, _COARSE_SHIFT = 15, 36, 48
+# Hex digits of hash that order the rows, and that number the cells which are counted.
+_ORDER_DIGITS, _CELL_DIGITS = 15, 4
 
 
 def stratified_split(
@@ -76,7 +74,7 @@ def stratified_split(
         "*",
         F.when(known, F.col(label).cast("string")).otherwise("other").alias("_class"),
         F.struct(
-            hash_number(F.col(key), seed=seed, digits=_HASH_DIGITS).alias("hash"),
+            F.substring(hash_text(F.col(key), seed=seed), 1, _ORDER_DIGITS).alias("hash"),
             F.col(key).alias("key"),
         ).alias("_place"),
     )
@@ -97,20 +95,21 @@ def stratified_split(
 
 def _share_borders(marked: DataFrame, shares: Sequence[int]) -> DataFrame:
     """Per class, the first place after the train share and after the val share."""
-    places = marked.withColumn("_fine", F.shiftright("_place.hash", _FINE_SHIFT))
-    counts = (
-        places.groupBy("_class", "_fine")
-        .agg(F.count("*").alias("n"))
-        .withColumn("_coarse", F.shiftright("_fine", _COARSE_SHIFT - _FINE_SHIFT))
-    )
-    counted = running_totals(
-        counts, value="_fine", cell="_coarse", amounts=["n"], groups=["_class"]
+    places = marked.withColumn("_cell", F.substring("_place.hash", 1, _CELL_DIGITS))
+    # At most 65,536 rows per class, whatever the size of the table.
+    counts = places.groupBy("_class", "_cell").agg(F.count("*").alias("n"))
+    of_class = Window.partitionBy("_class")
+    earlier = of_class.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counts.select(
+        "*",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
+        F.sum("n").over(of_class).alias("n_total"),
     )
     whole, train = sum(shares), shares[0]
     ends = {"_train_end": train, "_val_end": train + shares[1]}
     wanted = counted.select(
         "_class",
-        "_fine",
+        "_cell",
         "n",
         "n_before",
         F.inline(
@@ -128,11 +127,11 @@ def _share_borders(marked: DataFrame, shares: Sequence[int]) -> DataFrame:
         (F.col("n_before") <= F.col("_rank"))
         & (F.col("_rank") < F.col("n_before") + F.col("n"))
     )
-    # Two rows per class: the cells that hold the borders. One cell is a 2^-24 part of a
+    # Two rows per class: the cells that hold the borders. One cell is a 65,536th of its
     # class, so the ranking inside it stays small.
     inside = Window.partitionBy("_class", "_end").orderBy("_place")
     held = (
-        places.join(F.broadcast(wanted), ["_class", "_fine"])
+        places.join(F.broadcast(wanted), ["_class", "_cell"])
         .withColumn("_at", F.col("n_before") + F.row_number().over(inside) - 1)
         .filter(F.col("_at") == F.col("_rank"))
     )
