@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from callmeter.functions.columns import label_text
 from callmeter.operators.ordered import CELLS, quantile_edges, running_totals, with_cells
 from callmeter.operators.reshape import cell, one_row_per_column
-from callmeter.schema import as_double
+from callmeter.schema import as_double, as_number
 
 QUARTILES = (0.25, 0.5, 0.75)
 QUARTILE_NAMES = ("q1", "median", "q3")
@@ -117,11 +117,11 @@ def histogram(df: DataFrame, *, columns: Sequence[str], bins: int = 30) -> DataF
     """Equal-width bins from minimum to maximum of each column, empty bins included.
 
     Every bin holds its lower border, the last one also the maximum. A constant column
-    gets a range of one around its value. Nulls are left out.
+    gets a range of one around its value. Nulls and NaN are left out.
     """
     wide = df.agg(
         *[
-            f(as_double(c)).alias(cell(c, m))
+            f(as_number(c)).alias(cell(c, m))
             for c in columns
             for m, f in (("low", F.min), ("high", F.max))
         ]
@@ -152,7 +152,7 @@ def histogram(df: DataFrame, *, columns: Sequence[str], bins: int = 30) -> DataF
         for n, (c, edges) in enumerate(borders.items())
         for entry in (
             F.lit(n * bins),
-            as_double(c),
+            as_number(c),
             F.lit(edges[0]),
             F.lit((edges[-1] - edges[0]) / bins),
         )
@@ -232,7 +232,7 @@ def box_stats(
     values; ``approx`` trades that for a single sketch pass.
     """
     source = df.select(
-        label_text(F.col(by)).alias("class"), *[as_double(c).alias(c) for c in columns]
+        label_text(F.col(by)).alias("class"), *[as_number(c).alias(c) for c in columns]
     )
     marks = [cell(c, "cell") for c in columns]
     if approx:

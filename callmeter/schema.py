@@ -77,3 +77,9 @@ def snake_names(df: DataFrame) -> DataFrame:
 
 def as_double(name: str) -> Column:
     return F.col(name).cast("double")
+
+
+def as_number(name: str) -> Column:
+    """As double, with NaN counted as missing."""
+    value = as_double(name)
+    return F.when(~F.isnan(value), value)

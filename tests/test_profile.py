@@ -36,13 +36,13 @@ def test_histogram_matches_numpy(numbers):
 
 
 def test_histogram_edges(spark):
-    rows = [(float(i), 4.0, None) for i in range(31)] + [(None, 4.0, None)]
+    rows = [(float(i), 4.0, None) for i in range(31)] + [(None, 4.0, None), (math.nan, 4.0, math.nan)]
     df = spark.createDataFrame(rows, "a double, constant double, empty double")
     found = profile.histogram(df, columns=["a", "constant", "empty"]).collect()
     a = {r["bin"]: r["count"] for r in found if r["column"] == "a"}
     assert a == {**{i: 1 for i in range(29)}, 29: 2}
     constant = {r["bin"]: r["count"] for r in found if r["column"] == "constant"}
-    assert constant == {i: 32 if i == 15 else 0 for i in range(30)}
+    assert constant == {i: 33 if i == 15 else 0 for i in range(30)}
     assert not [r for r in found if r["column"] == "empty"]
 
 
