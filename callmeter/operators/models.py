@@ -150,12 +150,23 @@ def weighted_resample(
 
 def _placed(df: DataFrame, key: str) -> DataFrame:
     """Rows placed and ordered by key, over all cores: fits are heavy on computing, so
-    even a small table is worth spreading out. Nothing depends on how the input lay."""
+    even a small table is worth spreading out. Nothing depends on how the input lay.
+
+    A key with more rows than two even partitions would fill its partition alone; the rows
+    of such keys (fewer than half as many as there are partitions) are scattered instead.
+    """
     spark = df.sparkSession
     n = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    return df.repartition(n, key).sortWithinPartitions(key)
+    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
+    even = sizes.agg(F.sum("n") / n).scalar()
+    hot = [row[key] for row in sizes.filter(F.col("n") > 2 * even).select(key).collect()]
+    if not hot:
+        return df.repartition(n, key).sortWithinPartitions(key)
+    salt = F.when(F.col(key).isin(hot), F.monotonically_increasing_id() % n).otherwise(0)
+    scattered = df.withColumn("_salt", salt).repartition(n, key, "_salt")
+    return scattered.sortWithinPartitions(key).drop("_salt")
 
 
 def parameter_count(model: PipelineModel) -> int:

@@ -54,7 +54,7 @@ def running_totals(
 
     ``df`` must hold one row per group and value, so that a value which fills a third of
     the source is one row here. Adds ``<amount>_before`` and ``<amount>_total``.
-    ``cell`` must not decrease as ``value`` grows.
+    ``cell`` must not decrease as ``value`` grows, and no group may be null.
     """
     place = [*groups, cell]
     sums = df.groupBy(*place).agg(*[F.sum(a).alias(a) for a in amounts])

@@ -66,8 +66,8 @@ def stratified_split(
     Within a class, keys are ordered by hash; the first rows up to the train share are
     train, the next val, the rest test. Rows whose label is none of ``classes`` form one
     class of their own. No row is ranked or shuffled: the key at each share border is
-    found by counting hash cells, and every row is compared with it in place. Keys should
-    be unique; rows that share one stay together.
+    found by counting hash cells, and every row is compared with it in place. With unique
+    keys the shares are exact; rows that share a key stay together.
     """
     known = F.col(label).isin(*classes)
     marked = df.select(
@@ -128,12 +128,20 @@ def _share_borders(marked: DataFrame, shares: Sequence[int]) -> DataFrame:
         & (F.col("_rank") < F.col("n_before") + F.col("n"))
     )
     # Two rows per class: the cells that hold the borders. One cell is a 65,536th of its
-    # class, so the ranking inside it stays small.
-    inside = Window.partitionBy("_class", "_end").orderBy("_place")
+    # class and copies of a key are counted first, so the ordering inside stays small.
+    inside = (
+        Window.partitionBy("_class", "_end")
+        .orderBy("_place")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     held = (
         places.join(F.broadcast(wanted), ["_class", "_cell"])
-        .withColumn("_at", F.col("n_before") + F.row_number().over(inside) - 1)
-        .filter(F.col("_at") == F.col("_rank"))
+        .groupBy("_class", "_end", "_place", "_rank", "n_before")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("_at", F.col("n_before") + F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+        .filter(
+            (F.col("_at") <= F.col("_rank")) & (F.col("_rank") < F.col("_at") + F.col("copies"))
+        )
     )
     return held.groupBy("_class").agg(
         *[F.max(F.when(F.col("_end") == e, F.col("_place"))).alias(e) for e in ends]

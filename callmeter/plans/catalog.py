@@ -1003,7 +1003,7 @@ JOIN ({_sweep_sql('test')}) t ON t.threshold = b.threshold""",
     )
 )
 def best_threshold(spark, sf_dir):
-    """Chosen on validation rows, measured on test rows, from one pass over both."""
+    """Chosen on validation rows, measured on test rows."""
     rows = scored_rows(spark, sf_dir)
     sweep = lambda s: evaluate.threshold_sweep(
         rows.filter(F.col("split") == s), label=LABEL, score="score"

@@ -122,6 +122,15 @@ def test_fits_do_not_depend_on_partitioning(rows):
     assert scored.filter("abs(a - b) > 1e-9").count() == 0
 
 
+def test_a_hot_key_does_not_fill_one_partition(spark):
+    ids = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    placed = models._placed(ids, "k")
+    sizes = [r["n"] for r in placed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / 8
+    plain = models._placed(spark.range(9000).toDF("k"), "k")
+    assert "_salt" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stages_from_csv_to_predictions(spark, tmp_path):
     source = records(spark, SF_DIR).select(*RECORD)
     path = lambda name: str(tmp_path / name)

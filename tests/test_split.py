@@ -52,6 +52,20 @@ def test_stratified_quotas_are_exact_per_class(accounts, shares):
         assert [sizes.get((y, s), 0) for s in SPLITS] == [train, val - train, n - val]
 
 
+def test_stratified_split_with_a_hot_key(accounts):
+    # A third of the rows share one key: they stay together, the rest fills the shares.
+    hot = accounts.withColumn(KEY, F.when(F.col(KEY) % 3 == 0, 77).otherwise(F.col(KEY)))
+    hot = hot.filter(F.col(LABEL) == 0).select(KEY, LABEL)
+    found = split.stratified_split(hot, key=KEY, label=LABEL)
+    homes = found.groupBy(KEY).agg(F.countDistinct("split").alias("n"))
+    assert homes.filter("n > 1").count() == 0
+    ordered = [r["split"] for r in found.orderBy(F.sha2(F.concat(F.lit("42|"), F.col(KEY)), 256)).collect()]
+    assert ordered == sorted(ordered, key=list(SPLITS).index)
+    copies = found.filter(F.col(KEY) == 77).count()
+    sizes = {r["split"]: r["count"] for r in found.groupBy("split").count().collect()}
+    assert sizes["train"] <= len(ordered) * 0.7 < sizes["train"] + copies + 1
+
+
 def test_stratified_split_of_few_rows(accounts):
     few = accounts.filter(F.col(KEY) < 3)
     found = split.stratified_split(few, key=KEY, label=LABEL)
