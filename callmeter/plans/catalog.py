@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -679,37 +680,42 @@ def weighted_resample(spark, sf_dir):
 
 # Rounds and trees of the registered fits; widths are the full network's.
 ROUNDS, ITERATIONS, DEPTH = 4, 5, 8
-_FITTED: dict[tuple, tuple] = {}
+_FITTED: dict[tuple, object] = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> tuple:
-    """Network, its history and forest for a data folder, trained once per application."""
-    place = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
+    """What ``fit`` returns for the train and validation rows, once per application."""
+    place = (spark.sparkContext.applicationId, sf_dir, name)
     if place not in _FITTED:
         rows = prepared(spark, sf_dir)
-        train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
-        mlp, history = models.fit_mlp(
-            train, val, columns=FEATURES, rounds=ROUNDS, iterations=ITERATIONS
-        )
-        forest = models.fit_forest(train, columns=FEATURES, depth=DEPTH)
-        _FITTED[place] = (mlp, history, forest)
+        _FITTED[place] = fit(rows.filter("split = 'train'"), rows.filter("split = 'val'"))
     return _FITTED[place]
 
 
-def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows with the probabilities of both models, scored once and stored."""
+def fitted_mlp(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
+    """The network and its history."""
+    fit = lambda train, val: models.fit_mlp(
+        train, val, columns=FEATURES, rounds=ROUNDS, iterations=ITERATIONS
+    )
+    return _once(spark, sf_dir, "mlp", fit)
+
+
+def fitted_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    fit = lambda train, _: models.fit_forest(train, columns=FEATURES, depth=DEPTH)
+    return _once(spark, sf_dir, "forest", fit)
 
-    def build() -> DataFrame:
-        mlp, _, forest = fitted(spark, sf_dir)
-        both = score.score_both(_test(spark, sf_dir), mlp, forest)
-        return both.select(KEY, LABEL, "mlp_prob", "rf_prob")
 
-    return written(spark, sf_dir, "model-scores", build)
+def model_scores(
+    spark: SparkSession, sf_dir: str, name: str, model: PipelineModel
+) -> DataFrame:
+    """Test rows with a model's probability as ``p``, scored once and stored."""
+    build = lambda: score.positive_score(_test(spark, sf_dir), model, "p").select(KEY, LABEL, "p")
+    return written(spark, sf_dir, f"{name}-scores", build)
 
 
-def _fit_figures(scored: DataFrame, column: str, size: int) -> DataFrame:
-    p = F.col(column)
-    area = evaluate.roc_auc(scored, label=LABEL, score=column).scalar()
+def _fit_figures(scored: DataFrame, size: int) -> DataFrame:
+    p = F.col("p")
+    area = evaluate.roc_auc(scored, label=LABEL, score="p").scalar()
     return scored.agg(
         F.count("*").alias("rows"),
         F.lit(size).alias("size"),
@@ -725,10 +731,9 @@ FROM prepared WHERE split = 'test'""",
     )
 )
 def mlp_fit_score(spark, sf_dir):
-    mlp, _, _ = fitted(spark, sf_dir)
-    return _fit_figures(
-        model_scores(spark, sf_dir), "mlp_prob", models.parameter_count(mlp)
-    )
+    mlp, _ = fitted_mlp(spark, sf_dir)
+    scored = model_scores(spark, sf_dir, "mlp", mlp)
+    return _fit_figures(scored, models.parameter_count(mlp))
 
 
 @query(
@@ -739,10 +744,9 @@ FROM prepared WHERE split = 'test'""",
     )
 )
 def rf_fit_score(spark, sf_dir):
-    _, _, forest = fitted(spark, sf_dir)
-    return _fit_figures(
-        model_scores(spark, sf_dir), "rf_prob", forest.stages[-1].getNumTrees
-    )
+    forest = fitted_forest(spark, sf_dir)
+    scored = model_scores(spark, sf_dir, "forest", forest)
+    return _fit_figures(scored, forest.stages[-1].getNumTrees)
 
 
 @query(
@@ -753,7 +757,7 @@ def rf_fit_score(spark, sf_dir):
     )
 )
 def mlp_early_stop_history(spark, sf_dir):
-    mlp, history, _ = fitted(spark, sf_dir)
+    mlp, history = fitted_mlp(spark, sf_dir)
     rows = prepared(spark, sf_dir)
     weight = (
         models.class_weights(rows.filter("split = 'train'"), label=LABEL)
@@ -780,7 +784,7 @@ WHERE split = 'test'""",
     )
 )
 def model_save_load_same_scores(spark, sf_dir):
-    mlp, _, forest = fitted(spark, sf_dir)
+    mlp, forest = fitted_mlp(spark, sf_dir)[0], fitted_forest(spark, sf_dir)
     copies = []
     for model in (mlp, forest):
         path = scratch_path(spark, "model")
@@ -801,8 +805,10 @@ FROM prepared WHERE split = 'test'""",
     )
 )
 def score_ensemble(spark, sf_dir):
+    mlp, forest = fitted_mlp(spark, sf_dir)[0], fitted_forest(spark, sf_dir)
+    scored = score.score_both(_test(spark, sf_dir), mlp, forest)
     table = score.score_table(
-        score.ensemble(model_scores(spark, sf_dir), scores=["mlp_prob", "rf_prob"]), score="ensemble_prob"
+        score.ensemble(scored, scores=["mlp_prob", "rf_prob"]), score="ensemble_prob"
     )
     p = F.col("ensemble_prob")
     return table.agg(
@@ -822,7 +828,7 @@ FROM (SELECT account_id FROM prepared WHERE split = 'test' ORDER BY account_id L
     )
 )
 def score_batch_32(spark, sf_dir):
-    mlp, _, _ = fitted(spark, sf_dir)
+    mlp, _ = fitted_mlp(spark, sf_dir)
     batch = split.first_rows(_test(spark, sf_dir), key=KEY, n=32)
     scored = score.positive_score(batch, mlp, "p")
     return scored.agg(
