@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.llm import (
+    chat_format,
     decontaminate,
     embed_dedup,
     langid,
     license_scan,
+    line_dedup,
+    lm_score,
+    quality,
+    sentencepiece_codec,
     simhash_dedup,
 )
 from callmeter.llm.common import table
@@ -22,6 +27,20 @@ def _fold(of: str, folds: int) -> Column:
     return F.crc32(F.col(of).cast("string")) % folds
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), _fold("doc_id", 7) == 2)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score_documents(docs, quality.fit(docs))
+    return scored.select("doc_id", "votes", "posterior", "score", (F.col("score") >= 0.5).alias("rejected"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +53,20 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.without_recurring_lines(table(spark, sf_dir, "documents"))
+    figures = {"n_lines": "__lines", "n_dropped": "__dropped", "emptied": "__emptied"}
+    return out.select("doc_id", "text", *(F.col(old).alias(new) for new, old in figures.items()))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_codec.load_pieces()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.decode_documents(sentencepiece_codec.encode_documents(docs, pieces), pieces)
+    exact = F.col("decoded").eqNullSafe(F.col("text"))
+    return coded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_pieces"), exact.alias("round_trip"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)))
     model = langid.learn(docs.where("not held_out"))
@@ -47,9 +80,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_lm_score,
+        op2_quality_classifier,
+        op3_chat_format,
         op4_benchmark_decontamination,
         op5_embedding_dedup,
         op6_simhash_dedup,
+        op7_line_dedup,
+        op8_sentencepiece,
         op9_language_id,
         op10_license_scan,
     )
