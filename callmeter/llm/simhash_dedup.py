@@ -149,6 +149,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) ->
 PRINTS, BAND_BITS = 8, 16
 CLOSE_BITS = 64  # of the 256 of the first four fingerprints; unrelated texts differ in 128 or so
 _ODD = (np.random.default_rng(SEED).integers(0, 2**63, PRINTS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LEADERS = 4096
 
 
@@ -158,8 +159,9 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 def fingerprint_set(hashes: np.ndarray) -> list[int]:
     out = []
-    for odd in _ODD:
-        mixed = hashes * odd
+    for odd in _ODD:  # every bit of a hash must tell on every bit of what is counted
+        mixed = (hashes ^ (hashes >> np.uint64(33))) * odd
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _SPREAD
         out.append(fingerprint(mixed ^ (mixed >> np.uint64(32))))
     return out
 
