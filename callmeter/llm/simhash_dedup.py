@@ -199,11 +199,11 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Leaders are texts without a leader of their own; the oldest give way beyond ``_LEADERS``,
     which random meetings in a cell do not reach.
     """
-    key, ids, prints = None, np.empty(0, np.int64), np.empty((0, 4), np.int64)
+    key, ids, prints = None, np.empty(0, np.int64), np.empty((0, 4), np.uint64)
     for batch in batches:
         cells = np.stack([batch.column("band").to_numpy(), batch.column("cell").to_numpy()], axis=1)
         uid = batch.column("uid").to_numpy()
-        near = np.stack([batch.column(f"f{i}").to_numpy() for i in range(4)], axis=1)
+        near = np.stack([batch.column(f"f{i}").to_numpy() for i in range(4)], axis=1).view(np.uint64)
         cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(1)) + 1), len(uid)]
         a, b = [], []
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
