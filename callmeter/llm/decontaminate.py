@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import union_all
+from callmeter.llm.common import sliced, union_all
 
 Q = 8
 SEGMENT = 120
@@ -240,7 +240,7 @@ def matches(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, seen = shared.value
-            for batch in batches:
+            for batch in sliced(batches):
                 hits = list(search(_plain_texts(batch.column(1)), index, seen))
                 where = pa.array([h[0] for h in hits], pa.int64())
                 columns = [pa.array([h[c] for h in hits], t) for c, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()))]
@@ -259,7 +259,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, seen = shared.value
-            for batch in batches:
+            for batch in sliced(batches):
                 clean = np.ones(batch.num_rows, bool)
                 clean[[h[0] for h in search(_plain_texts(batch.column(place)), index, seen)]] = False
                 yield batch.filter(pa.array(clean))

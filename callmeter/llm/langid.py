@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callmeter.llm.common import sliced
+
 BUCKET_BITS = 15
 SWITCH = 8.0
 SCRIPT_SHARE = 0.01
@@ -98,7 +100,7 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> M
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, some in _slabs(texts):
                 x, owner = _letters(some)
@@ -205,7 +207,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             langs, shares, spans = [], [], []
             for _, some in _slabs(texts):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import stored
+from callmeter.llm.common import sliced, stored
 
 DEPTH = 3
 MIN_DOCS = 10
@@ -43,7 +43,7 @@ def leaf(tokens: list[bytes]) -> int:
 
 def _leaf_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[int] = Counter()
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).cast(pa.binary()):
             lines = {tuple(t) for line in set((text.as_py() or b"").split(b"\n")) if (t := _tokens(line))}
             counts.update({leaf(list(t)) for t in lines})
@@ -59,7 +59,7 @@ def _counted(counts: Counter[int]) -> pa.RecordBatch:
 
 def _lines_in(leaves: frozenset[int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             row, leaves_of, lines = [], [], []
             for n, text in enumerate(batch.column(1).cast(pa.binary())):
                 for tokens in {tuple(_tokens(line)) for line in set((text.as_py() or b"").split(b"\n"))}:
@@ -159,7 +159,7 @@ def without_recurring_lines(
         shared = docs.sparkSession.sparkContext.broadcast({r["line"].encode(): r["first"] for r in lines.select("line", "first").collect()})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in sliced(batches):
                 texts, ids = batch.column(place).cast(pa.binary()), batch.column(key)
                 yield renewed(batch, [_rewritten(t.as_py(), shared.value, i.as_py()) for t, i in zip(texts, ids, strict=True)])
 
@@ -169,7 +169,7 @@ def without_recurring_lines(
     joined = docs.join(drop, docs[id_col].eqNullSafe(drop["doc"]), "left").drop(drop["doc"])
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, drops = batch.column(place).cast(pa.binary()), batch.column(len(docs_columns))
             yield renewed(batch, [_rewritten(t.as_py(), frozenset(x.encode() for x in d.as_py() or ()), None) for t, d in zip(texts, drops, strict=True)])
 

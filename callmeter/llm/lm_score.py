@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import stored
+from callmeter.llm.common import sliced, stored
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 16
@@ -125,7 +125,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
         return out
 
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).cast(pa.binary()):
             counts.update(words_of(text.as_py() or b""))
             counts[END] += 1
@@ -150,7 +150,7 @@ def _pair_counts(vocabulary) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: dict[int, int] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ranks = [edge, *([vocabulary.value.end] if word == END else vocabulary.value.pieces(word)), edge]
                 for a, b in zip(ranks, ranks[1:], strict=False):
@@ -395,7 +395,7 @@ def _trained(shared, share: int, rate: float):
         vocabulary, model = shared.value
         model = Model(model.vector, model.cls, model.share, model.direct1, model.direct2, {n: a.copy() for n, a in model.weights.items()})
         trainer = _Trainer(model, rate)
-        for batch in batches:
+        for batch in sliced(batches):
             for some in _slabs(batch.column(0)):
                 trainer.learn([vocabulary.encode(words_of(t)) for t in some], share)
         if trainer.seen:
@@ -412,7 +412,7 @@ def _trained(shared, share: int, rate: float):
 def train(docs: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str = "text", share: int = SHARE) -> Model:
     """Trains the attention: a start on a bounded sample, then all partitions on their own, averaged."""
     texts = docs.select(F.col(text_col).alias("t")).where("t is not null")
-    few = texts.orderBy(F.xxhash64("t"), "t").select(F.substring("t", 1, 20_000).alias("t")).limit(START_DOCS).collect()
+    few = texts.where(F.length("t") <= 20_000).orderBy(F.xxhash64("t"), "t").limit(START_DOCS).collect()
     sample = [vocabulary.encode(words_of(r.t.encode())) for r in few]
     for rate in (0.02, 0.01, 0.005):
         start = _Trainer(model, rate)
@@ -447,7 +447,7 @@ def score_texts(texts: list[np.ndarray], model: Model) -> np.ndarray:
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, model, heads = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             n, scores, base, known, tails, tail_counts, ends = [], [], [], [], [], [], [0]
             for some in _slabs(batch.column(batch.num_columns - 1)):
                 split = [words_of(t) for t in some]

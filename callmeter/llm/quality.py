@@ -19,10 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callmeter.llm.common import sliced
+
 #: Most documents the scorer is fitted on.
 SAMPLE = 6_000
 DIM = 2048
 _LEVELS = 8
+#: How often a labeller rejects good and bad documents, to begin with: each knows one kind of fault.
+_FALSE, _TRUE = 0.002, 0.2
 
 # Each labeller's figure, the bound to keep and the bound to reject.
 LABELLERS = (
@@ -123,7 +127,7 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> LabelM
     silent = (said[0] + 1) / (counts.sum() + 3)
     start = np.empty((2, m, 3))
     start[:, :, 0] = silent
-    for c, reject in ((0, 0.05), (1, 0.4)):
+    for c, reject in ((0, _FALSE), (1, _TRUE)):
         start[c, :, 2], start[c, :, 1] = (1 - silent) * reject, (1 - silent) * (1 - reject)
     model = LabelModel(0.1, start)
     for _ in range(rounds):
@@ -131,8 +135,8 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> LabelM
         weight = np.stack([(1 - p) * counts, p * counts])
         rates = start.copy()
         for c in range(2):
-            yes = weight[c] @ (v == 2) + (0.05, 0.4)[c] * 2
-            no = weight[c] @ (v == 1) + (0.95, 0.6)[c] * 2
+            yes = weight[c] @ (v == 2) + (_FALSE, _TRUE)[c] * 2
+            no = weight[c] @ (v == 1) + (1 - _FALSE, 1 - _TRUE)[c] * 2
             rates[c, :, 2], rates[c, :, 1] = (1 - silent) * yes / (yes + no), (1 - silent) * no / (yes + no)
         bad = float(np.clip((weight[1].sum() + 1) / (counts.sum() + 2), 1e-4, 0.5))
         done = abs(bad - model.bad) < 1e-9 and np.abs(rates - model.rates).max() < 1e-9
@@ -167,7 +171,7 @@ def _texts(batch: pa.RecordBatch, at: int) -> list[bytes]:
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, int] = {}
-    for batch in batches:
+    for batch in sliced(batches):
         for text in _texts(batch, 0):
             code = votes(figures(text))
             counts[code] = counts.get(code, 0) + 1
@@ -175,10 +179,10 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         found = [(t, figures(t)) for t in _texts(batch, 0)]
         x = [features(t, f).tobytes() for t, f in found]
-        yield pa.RecordBatch.from_arrays([pa.array([votes(f) for _, f in found], pa.int32()), pa.array(x, pa.binary())], ["code", "x"])
+        yield pa.RecordBatch.from_arrays([pa.array([votes(f) for _, f in found], pa.int32()), batch.column(1), pa.array(x, pa.binary())], ["code", "h", "x"])
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
@@ -188,8 +192,13 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
     if found.empty:
         return Model(LabelModel(0.1, np.full((2, len(LABELLERS), 3), 1 / 3)), np.zeros(DIM + 1))
     labels = estimate(found["code"].to_numpy(), found["n"].to_numpy(float))
-    few = texts.where("t is not null").orderBy(F.xxhash64("t"), "t").limit(sample) if sample else texts
-    rows = few.mapInArrow(_featured, "code int, x binary").where("code >= 0").toPandas()
+    # The sample is the distinct texts of smallest hash: first the bound, then the texts below it.
+    hashed = texts.where("t is not null").withColumn("h", F.xxhash64("t"))
+    bound = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    few = hashed.where(F.col("h") <= bound).select("t", "h").mapInArrow(_featured, "code int, h bigint, x binary")
+    rows = few.where("code >= 0").dropDuplicates(["h"]).orderBy("h").toPandas()
+    if rows.empty:
+        return Model(labels, np.zeros(DIM + 1))
     x = np.stack([np.frombuffer(b, np.float32) for b in rows["x"]])
     return Model(labels, fit_scorer(x, labels.posterior(rows["code"].to_numpy())))
 
@@ -209,7 +218,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             signs, codes, scores = [], [], []
             for text in _texts(batch, place):
                 found = figures(text)

@@ -31,20 +31,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import stored
+from callmeter.llm.common import sliced, stored
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Texts longer than this are cut into chunks of this many characters.
 CHUNK = 32_768
-_CACHE = 400_000
+_CACHE = 150_000
 
 
 @dataclass
 class Pieces:
     """A vocabulary: pieces with blanks for piece marks, their ids and scores, and byte pieces.
 
-    ``hard`` holds punctuation that no piece joins to a letter, ``soft`` all other.
+    ``marks`` are the signs and digits; no piece joins a letter to one behind it that is not
+    in ``behind``, nor to one before it that is not in ``before``.
     """
 
     ids: dict[str, int]
@@ -52,25 +53,26 @@ class Pieces:
     bytes_of: list[int]
     longest: int
     spelled: list[bytes]
-    hard: str = ""
-    soft: str = ""
+    marks: set[str] = field(default_factory=set)
+    behind: set[str] = field(default_factory=set)
+    before: set[str] = field(default_factory=set)
     tails: dict[str, int] = field(default_factory=dict)
     cache: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        marks = {chr(c) for c in range(33, 127) if not chr(c).isalnum()}
+        self.marks = {chr(c) for c in range(33, 127) if not chr(c).isalpha()}
         joined = {(x, y) for p in self.ids for x, y in zip(p, p[1:], strict=False)}
-        soft = {m for x, y in joined for m, o in ((x, y), (y, x)) if m in marks and o != " " and o not in marks}
         # A blank inside a piece, behind something else, would tie units together.
         assert not any(x != " " and y == " " for x, y in joined), "pieces of several words"
-        self.hard, self.soft = "".join(sorted(marks - soft)), "".join(sorted(soft))
+        self.behind = {y for x, y in joined if y in self.marks and x != " " and x not in self.marks}
+        self.before = {x for x, y in joined if x in self.marks and y not in self.marks}
         for p in self.ids:
             self.tails[p[-2:]] = max(self.tails.get(p[-2:], 1), len(p))
-        h, s = (f"[{re.escape(x)}]" if x else "(?!)" for x in (self.hard, self.soft))
-        alike = rf"(?:[^ \n{re.escape(self.hard + self.soft)}]+|{h}+)"
-        rest = rf"(?:{s}+{alike}?)"
-        self.units = re.compile(rf"\n| +{alike}?{rest}*|{alike}{rest}*|{rest}+")
+        m, left, right = (re.escape("".join(sorted(x))) for x in (self.marks, self.behind, self.before))
+        word = rf"(?:[^ \n{m}]+|[{m}]+)"
+        more = (rf"(?<![ {m}])[{left}][{m}]*" if left else "(?!)") + "|" + (rf"(?<=[{right}])[^ \n{m}]+" if right else "(?!)")
+        self.units = re.compile(rf"\n| +(?:{word}(?:{more})*)?|{word}(?:{more})*")
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: the best-scored neighbours first, the left one of equals."""
@@ -87,7 +89,7 @@ class Pieces:
         key = left, right
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > 4 * _CACHE:
+            if len(self.pairs) > _CACHE:
                 self.pairs.clear()
             found = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
         return found
@@ -101,7 +103,9 @@ class Pieces:
             return True
         if x == " " or y == " ":
             return x != " "
-        return x not in self.soft and y not in self.soft and (x in self.hard) != (y in self.hard)
+        if (x in self.marks) == (y in self.marks):
+            return False
+        return y not in self.behind if y in self.marks else x not in self.before
 
     def candidates(self, text: str, end: int) -> Iterator[int]:
         """Lengths of pieces that may end at a place; a character of its own always may."""
@@ -145,10 +149,16 @@ def _ids(parts: list[str], pieces: Pieces) -> list[int]:
 def solve(unit: str, pieces: Pieces) -> list[int]:
     """Ids of a unit. From a start that is known, each place has one piece that may end there."""
     last = [0] * (len(unit) + 1)
+    ids, tails, pairs = pieces.ids, pieces.tails, pieces.pairs
     for end in range(1, len(unit) + 1):
-        for n in pieces.candidates(unit, end):
+        for n in range(min(end, tails.get(unit[end - 2 : end], 1)) if end > 1 else 1, 0, -1):
             at = end - n
-            if pieces.together(unit[at - last[at] : at], unit[at:end]):
+            piece = unit[at:end]
+            if n > 1 and piece not in ids:
+                continue
+            left = unit[at - last[at] : at]
+            good = pairs.get((left, piece))
+            if good or (good is None and pieces.together(left, piece)):
                 last[end] = n
                 break
     parts, end = [], len(unit)
@@ -299,7 +309,7 @@ def trace(text: str, border: int, before: State, after: State, pieces: Pieces) -
 
 def _encoded(pieces, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             packed = [None if t is None else encode(pieces.value.units.findall(" " + t), pieces.value) for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, _int_lists(packed)], [*batch.schema.names, "ids"])
 
@@ -329,7 +339,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
     longest = pieces.longest
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 n, border, part = zip(*chunks(text, chunk, longest), strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -341,7 +351,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
     parts = giant.select("__uid", text_col).mapInArrow(cut, kind).repartition("uid", "n")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             border, part = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             found = [np.array(transfer(t, b, shared.value), np.int32).ravel().tolist() for t, b in zip(part, border, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], [*batch.schema.names, "matrix"])
@@ -357,7 +367,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
     states = moved.select("uid", "n", "matrix").groupBy("uid").applyInArrow(scan, "uid bigint, n int, states array<int>")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = zip(*(batch.column(c).to_pylist() for c in ("part", "border", "states")), strict=True)
             packed = [trace(t, b, (s[0], s[1]), (s[2], s[3]), shared.value) for t, b, s in rows]
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("n"), _int_lists(packed)], ["uid", "n", "ids"])
@@ -373,7 +383,7 @@ def _decoded(spelled: list[bytes], place: int, name: str):
         flat = np.frombuffer(b"".join(spelled), np.uint8)
         sizes = np.array([len(s) for s in spelled])
         starts = np.cumsum(sizes) - sizes
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column(place)
             ids, counts = lists.flatten().to_numpy(zero_copy_only=False), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             width = sizes[ids]

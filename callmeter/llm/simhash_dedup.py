@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import components, stored
+from callmeter.llm.common import components, sliced, stored
 
 SEED = 42
 REFERENCES = 24
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id`` and ``fp`` (the 64 bits as a bigint) of each row; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).cast(pa.binary())
             found = [fingerprint(shingle_hashes(t.as_py() or b"", shingle)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
@@ -174,7 +174,7 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
 
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             contents, prints = [], []
             for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
                 hashes = shingle_set(text.as_py() or b"", size)
@@ -244,7 +244,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(min_similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -281,7 +281,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.
     wanted = pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingle_set(t.as_py() or b"", shingle).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["uid", "set"])
 
