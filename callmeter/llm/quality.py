@@ -36,7 +36,7 @@ LABELLERS = (
     ("piped", 0.02, 0.2),  # bars for each word
     ("repeated_lines", 0.2, 0.5),  # share of lines that stood before
     ("echoed_words", 0.08, 0.3),  # share of words that repeat the word before or the one before that
-    ("long_words", 10.0, 16.0),  # mean length of a word
+    ("repeated_pairs", 0.4, 0.7),  # share of neighbouring words that stood together before
     ("marked_words", 0.05, 0.3),  # share of words that end in a symbol
 )
 
@@ -63,7 +63,7 @@ def figures(text: bytes) -> tuple[float, ...] | None:
         kinds[7] / n,
         1 - len(set(lines)) / len(lines),
         max(sum(map(eq, words, words[1:])), sum(map(eq, words, words[2:]))) / max(n, 10),
-        (len(text) - n) / n,
+        1 - len(set(zip(words, words[1:], strict=False))) / (n - 1) if n >= 10 else 0.0,
         sum(w[-1] in _SYMBOLS and len(w) > 1 for w in words) / n,
     )
 
