@@ -78,7 +78,7 @@ def _lines_in(leaves: frozenset[int] | None):
 def recurring_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED, leaf_limit: int = LEAF_LIMIT
 ) -> tuple[DataFrame, DataFrame]:
-    """Lines of recurring templates (``line``, ``template``, ``docs``, ``first``) and who holds them (``doc``, ``line``)."""
+    """Lines of recurring templates (``leaf``, ``key``, ``line``, ``template``, ``docs``, ``first``) and who holds which (``doc``, ``leaf``, ``key``)."""
     texts = docs.select(F.col(text_col).alias("text"))
     leaves = texts.mapInArrow(_leaf_counts, "leaf bigint, docs bigint").groupBy("leaf").agg(F.sum("docs").alias("docs"))
     leaves = stored(leaves.where(F.col("docs") >= min_docs).select("leaf"), "leaves")
@@ -89,22 +89,27 @@ def recurring_lines(
         held = rows.mapInArrow(_lines_in(known), schema)
     else:
         held = rows.mapInArrow(_lines_in(None), schema).join(leaves, "leaf", "left_semi")
-    held = stored(held.select("doc", "leaf", "line"), "lines")
+    # Beyond this table a line goes by its hash within its leaf: 128 bits in all.
+    held = stored(held.select("doc", "leaf", F.xxhash64("line").alias("key"), "line"), "lines")
 
-    distinct = stored(held.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "lines")
-    tokens = distinct.select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    distinct = stored(held.groupBy("leaf", "key").agg(F.first("line").alias("line"), F.count("*").alias("docs")), "lines")
+    held = held.select("doc", "leaf", "key")
+    tokens = distinct.select("leaf", "key", "docs", F.size(F.split("line", " ")).alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
     common = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     fixed = tokens.where(~F.col("token").rlike("[0-9]")).join(common, ["leaf", "place", "token"])
-    templates = fixed.groupBy("leaf", "line").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("kept"))
-    words = F.size(F.split("line", " "))
-    template = F.transform(F.sequence(F.lit(0), words - 1), lambda i: F.coalesce(F.col("kept")[i], F.lit(VARIABLE)))
-    templates = templates.where(F.size("kept") >= F.ceil(words * min_fixed)).select("leaf", "line", F.array_join(template, " ").alias("template"))
-    likely = templates.join(distinct, ["leaf", "line"]).groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
-    named = stored(templates.join(likely, ["leaf", "template"], "left_semi"), "templates")
+    templates = fixed.groupBy("leaf", "key").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("kept"), F.first("words").alias("words"), F.first("docs").alias("docs")
+    )
+    template = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda i: F.coalesce(F.col("kept")[i], F.lit(VARIABLE)))
+    templates = templates.where(F.size("kept") >= F.ceil(F.col("words") * min_fixed))
+    templates = stored(templates.select("leaf", "key", "docs", F.array_join(template, " ").alias("template")), "templates")
+    likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
+    named = stored(templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template"), "templates")
     # A document counts once for a template, however many lines of it it holds.
-    spread = held.join(named, ["leaf", "line"]).select("leaf", "template", "doc").distinct()
+    spread = held.join(named, ["leaf", "key"]).select("leaf", "template", "doc").distinct()
     spread = spread.groupBy("leaf", "template").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= min_docs)
-    return stored(named.join(spread, ["leaf", "template"]).select("line", "template", "docs", "first"), "templates"), held
+    found = named.join(spread, ["leaf", "template"]).join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
+    return stored(found.select("leaf", "key", "line", "template", "docs", "first"), "templates"), held
 
 
 def _rewritten(text: bytes | None, drop: dict[bytes, object] | frozenset[bytes], doc: object) -> tuple[bytes | None, int, int, bool]:
@@ -165,7 +170,7 @@ def without_recurring_lines(
 
         return docs.mapInArrow(run, schema)
 
-    drop = held.join(lines, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("__drop"))
+    drop = held.join(lines, ["leaf", "key"]).where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("__drop"))
     joined = docs.join(drop, docs[id_col].eqNullSafe(drop["doc"]), "left").drop(drop["doc"])
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -255,6 +255,15 @@ def _verified(min_similarity: float):
     return run
 
 
+#: Names of rows (8 bytes each) that may go to all tasks, so that texts need not be shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def _matched(rows: DataFrame, names: DataFrame, on: str, how: str) -> DataFrame:
+    """Semi or anti join of texts with a stored table of names; the names are broadcast if they are few."""
+    return rows.join(F.broadcast(names) if names.count() <= BROADCAST_ROWS else names, on, how)
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of texts whose sets of word shingles have a Jaccard similarity of 0.8 or more.
 
@@ -285,7 +294,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.
             found = [shingle_set(t.as_py() or b"", shingle).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["uid", "set"])
 
-    held = stored(named.select("uid", "t").join(wanted, "uid", "left_semi").mapInArrow(sets, "uid bigint, set binary").dropDuplicates(["uid"]), "similar")
+    held = stored(_matched(named.select("uid", "t"), stored(wanted, "similar"), "uid", "left_semi").mapInArrow(sets, "uid bigint, set binary").dropDuplicates(["uid"]), "similar")
     both = pairs.join(held.select(F.col("uid").alias("a"), F.col("set").alias("x")), "a")
     both = both.join(held.select(F.col("uid").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
     found = components(both.mapInArrow(_verified(min_similarity), "a bigint, b bigint"))
@@ -302,7 +311,8 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, min_similarity: f
     groups = stored(similar_groups(docs, shingle, min_similarity, id_col, text_col), "similar")
     best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("k")).select(F.col("k.uid").alias("__uid"))
     repeated = groups.groupBy("uid").count().where("count > 1").select(F.col("uid").alias("__uid"))
-    kept = docs.withColumn("__uid", _row_key(docs, id_col, text_col)).join(best, "__uid", "left_semi")
+    gone = groups.select(F.col("uid").alias("__uid")).distinct().join(best, "__uid", "left_anti")
+    kept = _matched(docs.withColumn("__uid", _row_key(docs, id_col, text_col)), stored(gone, "similar"), "__uid", "left_anti")
     if repeated.isEmpty():
         return kept.drop("__uid")
     once = kept.join(repeated, "__uid", "left_semi").dropDuplicates(["__uid"])
