@@ -210,9 +210,9 @@ def prepare(counts: DataFrame, vocabulary: Vocabulary) -> Model:
     follow[KNOWN + 1] = begin * 1e6
     follow = (follow + 5 * usual) / (follow.sum(1, keepdims=True) + 5)
     grouped = follow.reshape(-1, GROUPS, PER_GROUP)
-    totals = grouped.sum(2)
+    totals = np.maximum(grouped.sum(2), 1e-20)
     direct1 = np.log(totals).astype(np.float32)
-    direct2 = np.log(grouped / totals[:, :, None]).astype(np.float32)
+    direct2 = np.log(np.maximum(grouped / totals[:, :, None], 1e-20)).astype(np.float32)
     rng = np.random.default_rng(42)
     shapes = {"e": (KNOWN + 2, WIDTH), "q": (WIDTH, KEY), "k": (WIDTH, KEY), "v": (WIDTH, VALUE)}
     weights = {n: (rng.standard_normal(s) * (0.3 if n == "e" else 0.25)).astype(np.float32) for n, s in shapes.items()}

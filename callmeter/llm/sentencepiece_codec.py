@@ -374,7 +374,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
 
     solved = moved.drop("matrix").join(states, ["uid", "n"]).mapInArrow(traced, "uid bigint, n int, ids array<int>")
     whole = solved.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "ids"))), lambda x: x.ids)).alias("ids"))
-    joined = giant.join(whole, F.col("__uid") == F.col("uid")).select(*docs.columns, "ids")
+    joined = giant.join(whole.withColumnRenamed("uid", "__uid"), "__uid").select(*docs.columns, "ids")
     return short.unionByName(joined)
 
 
