@@ -64,15 +64,15 @@ def sigmoid(logit: Column) -> Column:
 
 
 def decide(score: Column, *, threshold: float = DECISION_THRESHOLD) -> Column:
-    """1 where the score reaches the threshold, else 0; null stays null."""
-    return (score >= F.lit(threshold)).cast("int")
+    """1 where the score reaches the threshold, else 0; null if the score is null or NaN."""
+    return F.when(~F.isnan(score), (score >= F.lit(threshold)).cast("int"))
 
 
 def _by_tier(score: Column, texts: Sequence[str]) -> Column:
     steps = F
     for bound, text in zip(RISK_BOUNDS, texts):
         steps = steps.when(score < F.lit(bound), F.lit(text))
-    return steps.when(score.isNotNull(), F.lit(texts[-1]))
+    return steps.when(score.isNotNull() & ~F.isnan(score), F.lit(texts[-1]))
 
 
 def risk_tier(score: Column, *, wording: str = "en") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.columns import any_of
 from callmeter.operators.reshape import cell, one_row_per_column
+from callmeter.schema import as_number
 
 EXTREME_THRESHOLD = 6.0
 CLEAN, ANOMALY, UNKNOWN = "clean", "anomaly", "unknown"
@@ -28,15 +29,21 @@ def fill_zero(df: DataFrame, *, columns: Sequence[str] | None = None) -> DataFra
     return df.fillna(0, subset=list(columns) if columns is not None else None)
 
 
+def _finite(name: str) -> Column:
+    """As double; null for NaN and the infinities, which would leave a column without statistics."""
+    value = F.col(name).cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def _stats_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(
-        *[F.avg(c).alias(cell(c, "mean")) for c in columns],
-        *[F.stddev_samp(c).alias(cell(c, "stddev")) for c in columns],
+        *[F.avg(_finite(c)).alias(cell(c, "mean")) for c in columns],
+        *[F.stddev_samp(_finite(c)).alias(cell(c, "stddev")) for c in columns],
     )
 
 
 def zscore_stats(df: DataFrame, *, columns: Sequence[str]) -> DataFrame:
-    """Mean and sample deviation per column, from one pass."""
+    """Mean and sample deviation of a column's finite values, from one pass."""
     return one_row_per_column(_stats_row(df, columns), columns, ["mean", "stddev"])
 
 
@@ -47,7 +54,7 @@ def _extreme(
     # and a filter on its result can be pushed below it.
     stats = _stats_row(df, columns).first()
     return {
-        c: F.abs(F.try_divide(F.col(c) - stats[cell(c, "mean")], F.lit(stats[cell(c, "stddev")])))
+        c: F.abs(F.try_divide(as_number(c) - stats[cell(c, "mean")], F.lit(stats[cell(c, "stddev")])))
         > F.lit(threshold)
         # A column without spread (or with a single value) has no scores and no extremes.
         if stats[cell(c, "stddev")]
@@ -68,9 +75,10 @@ def zscore_status(
     df: DataFrame, *, columns: Sequence[str], threshold: float = EXTREME_THRESHOLD
 ) -> DataFrame:
     """Add ``status``: anomaly if any column is extreme, unknown if that cannot be told
-    because a value is missing, else clean. Every row gets exactly one."""
+    because a value is missing (null or NaN), else clean. An infinite value is extreme, in
+    its own row alone. Every row gets exactly one."""
     extreme = any_of(list(_extreme(df, columns, threshold).values()))
-    missing = any_of([F.col(c).isNull() for c in columns])
+    missing = any_of([as_number(c).isNull() for c in columns])
     return df.withColumn(
         "status",
         F.when(extreme, ANOMALY).when(missing, UNKNOWN).otherwise(CLEAN),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,8 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
-    Every executor must see the same files, so a machine-local temporary folder is used
-    only where driver and executors are one process (``local`` masters) and the cluster
-    names no folder.
+    Every executor must see the same files, so it is never a machine's own temporary folder:
+    where the cluster names no folder, files go below the warehouse, which always has a place.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="callmeter-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/callmeter/{purpose}-{uuid.uuid4().hex}"

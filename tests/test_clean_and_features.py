@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from callmeter.functions.columns import decide, risk_action, risk_tier
 from callmeter.operators import clean, features
 from callmeter.schema import DERIVED, KEY, LABEL, MEASURES
 
@@ -94,3 +95,19 @@ def test_base(spark, usage_rows):
     found = clean.base(df, drop=["phone_number"], label=LABEL)
     assert "phone_number" not in found.columns
     assert dict(found.dtypes)[LABEL] == "int"
+
+
+def test_one_bad_cell_spoils_only_its_row(spark):
+    rows = [(i, float(i % 7), 1.0) for i in range(100)]
+    rows += [(200, float("nan"), 1.0), (201, float("inf"), 1.0), (202, None, 1.0)]
+    table = spark.createDataFrame(rows, "k int, x double, y double")
+    status = {r.k: r.status for r in clean.zscore_status(table, columns=["x", "y"]).collect()}
+    assert [status[k] for k in (200, 201, 202)] == ["unknown", "anomaly", "unknown"]
+    assert {status[k] for k in range(100)} == {"clean"}
+
+
+def test_nan_scores_are_not_decided(spark):
+    row = spark.createDataFrame([(float("nan"),)], "s double").select(
+        decide(F.col("s")).alias("d"), risk_tier(F.col("s")).alias("t"), risk_action(F.col("s")).alias("a")
+    ).first()
+    assert (row.d, row.t, row.a) == (None, None, None)
