@@ -10,7 +10,7 @@ a class within it, and takes the piece's share of its class from the corpus:
 - *Attention*: one causal self-attention layer adds what the context says. It is trained in
   numpy: a start on a small sample of documents, then every partition of the training
   documents goes on by itself and the weights are averaged. Each document takes part with
-  some of its windows (``SHARE``, at least one).
+  one in ``SHARE`` of its stretches, with one at least.
 
 A text is scored in windows of ``2 * BLOCK`` ids that overlap by half: each id is scored
 once, in the second half of its window, so that it sees ``BLOCK`` ids at least (all there are
@@ -40,7 +40,8 @@ KNOWN = 2046  # pieces with a vector of their own
 SINGLE = 448  # pieces with a class of their own
 GROUPS, PER_GROUP = 16, 32
 WIDTH, KEY, VALUE = 16, 12, 24
-SHARE = 16  # one window in so many is trained on
+SHARE = 16  # one stretch in so many is trained on
+STRETCH = 64  # words
 START_DOCS = 400  # documents of the start sample
 HEADS = 60_000  # words looked up without a join
 END = b"\n"  # no word holds it
@@ -353,19 +354,29 @@ def gradients(model: Model, ids: np.ndarray, joined: np.ndarray, target: np.ndar
     return out
 
 
+def stretches(words: list[bytes], share: int, vocabulary: Vocabulary) -> list[np.ndarray]:
+    """Ids of one in ``share`` of a text's stretches of ``STRETCH`` words, of one at least.
+
+    Which comes first follows from the text's length; only the last one has the text's end.
+    """
+    many = max(-(-len(words) // STRETCH), 1)
+    out = []
+    for n in range(len(words) % min(share, many), many, share):
+        ids = vocabulary.encode(words[n * STRETCH : (n + 1) * STRETCH])
+        out.append(ids if n == many - 1 else ids[:-1])
+    return out
+
+
 class _Trainer:
     def __init__(self, model: Model, rate: float):
         self.model, self.rate, self.t, self.seen = model, rate, 0, 0
         self.m = {n: np.zeros_like(a) for n, a in model.weights.items()}
         self.s = {n: np.zeros_like(a) for n, a in model.weights.items()}
 
-    def learn(self, texts: list[np.ndarray], share: int) -> None:
-        ids, joined, target, text = windows(texts, self.model)
-        # Each text's first window drawn is set by its length, then every share-th.
-        first = np.searchsorted(text, text)
-        n = np.arange(len(text)) - first
-        size = np.bincount(text)[text] if len(text) else text
-        drawn = np.flatnonzero(n % share == size % np.minimum(share, np.maximum(size, 1)))
+    def learn(self, texts: list[np.ndarray]) -> None:
+        """Steps over all windows of the texts."""
+        ids, joined, target, _ = windows(texts, self.model)
+        drawn = np.arange(len(ids))
         for at in range(0, len(drawn), 128):
             some = drawn[at : at + 128]
             g = gradients(self.model, ids[some], joined[some], target[some])
@@ -397,7 +408,7 @@ def _trained(shared, share: int, rate: float):
         trainer = _Trainer(model, rate)
         for batch in sliced(batches):
             for some in _slabs(batch.column(0)):
-                trainer.learn([vocabulary.encode(words_of(t)) for t in some], share)
+                trainer.learn([ids for t in some for ids in stretches(words_of(t), share, vocabulary)])
         if trainer.seen:
             flat = np.concatenate([a.ravel() for _, a in sorted(model.weights.items())]).astype(np.float64) * trainer.seen
             cuts = range(0, len(flat), 4096)
@@ -417,7 +428,7 @@ def train(docs: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str =
     for rate in (0.02, 0.01, 0.005):
         start = _Trainer(model, rate)
         for _ in range(2):
-            start.learn(sample, 1)
+            start.learn(sample)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
     parts = texts.mapInArrow(_trained(shared, share, 0.004), "part int, seen bigint, sums array<double>")
     # One row a weight and partition, summed before the shuffle; the result is bounded by the weights.
