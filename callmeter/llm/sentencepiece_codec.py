@@ -7,7 +7,7 @@ the piece before it) whose steps weigh zero if the pieces go together, else minu
 a max-plus problem, solved from left to right.
 
 Units (a run of blanks and the letters or the punctuation behind it, a line break) are never
-crossed by a piece, so each distinct unit is solved once and remembered within a task.
+crossed by a piece, so a unit is solved on its own, depth first, and remembered within a worker.
 
 Giant texts are cut into chunks at any character, in a parallel scan: a chunk yields a
 transfer matrix from the states at its left border (how far before the border the last cut
@@ -22,6 +22,7 @@ piece mark in a text is spelled in bytes, so decoding gives back every text exac
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +38,30 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Texts longer than this are cut into chunks of this many characters.
 CHUNK = 32_768
-_CACHE = 150_000
+#: Units that a worker remembers (twice as many while older ones are at hand), and pairs of pieces.
+_CACHE, _PAIRS = 150_000, 300_000
+
+
+class Solved(dict):
+    """Packed ids of units, solved when first asked for.
+
+    When it is full its entries become the older half; those still in use come back from there.
+    """
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces, self.older = pieces, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.older.get(unit)
+        if found is None:
+            found = array("i", solve(unit, self.pieces)).tobytes()
+        if len(unit) <= 40:
+            if len(self) > _CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = found
+        return found
 
 
 @dataclass
@@ -57,10 +81,12 @@ class Pieces:
     behind: set[str] = field(default_factory=set)
     before: set[str] = field(default_factory=set)
     tails: dict[str, int] = field(default_factory=dict)
-    cache: dict[str, bytes] = field(default_factory=dict)
+    heads: dict[str, int] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    solved: Solved = field(init=False)
 
     def __post_init__(self) -> None:
+        self.solved = Solved(self)
         self.marks = {chr(c) for c in range(33, 127) if not chr(c).isalpha()}
         joined = {(x, y) for p in self.ids for x, y in zip(p, p[1:], strict=False)}
         # A blank inside a piece, behind something else, would tie units together.
@@ -69,6 +95,7 @@ class Pieces:
         self.before = {x for x, y in joined if x in self.marks and y not in self.marks}
         for p in self.ids:
             self.tails[p[-2:]] = max(self.tails.get(p[-2:], 1), len(p))
+            self.heads[p[:3]] = max(self.heads.get(p[:3], 1), len(p))
         m, left, right = (re.escape("".join(sorted(x))) for x in (self.marks, self.behind, self.before))
         word = rf"(?:[^ \n{m}]+|[{m}]+)"
         more = (rf"(?<![ {m}])[{left}][{m}]*" if left else "(?!)") + "|" + (rf"(?<=[{right}])[^ \n{m}]+" if right else "(?!)")
@@ -89,7 +116,7 @@ class Pieces:
         key = left, right
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > _CACHE:
+            if len(self.pairs) > _PAIRS:
                 self.pairs.clear()
             found = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
         return found
@@ -147,40 +174,39 @@ def _ids(parts: list[str], pieces: Pieces) -> list[int]:
 
 
 def solve(unit: str, pieces: Pieces) -> list[int]:
-    """Ids of a unit. From a start that is known, each place has one piece that may end there."""
-    last = [0] * (len(unit) + 1)
-    ids, tails, pairs = pieces.ids, pieces.tails, pieces.pairs
-    for end in range(1, len(unit) + 1):
-        for n in range(min(end, tails.get(unit[end - 2 : end], 1)) if end > 1 else 1, 0, -1):
-            at = end - n
-            piece = unit[at:end]
-            if n > 1 and piece not in ids:
-                continue
-            left = unit[at - last[at] : at]
-            good = pairs.get((left, piece))
-            if good or (good is None and pieces.together(left, piece)):
-                last[end] = n
-                break
-    parts, end = [], len(unit)
-    while end:
-        parts.append(unit[end - last[end] : end])
-        end -= last[end]
-    return _ids(parts[::-1], pieces)
+    """Ids of a unit: its one path of weight zero, found depth first.
+
+    From a start that is known, each place is reached by one path at most, so a place that
+    leads nowhere is never entered again. Longer pieces are tried first.
+    """
+    ids, heads, pairs = pieces.ids, pieces.heads, pieces.pairs
+    size, at, left = len(unit), 0, ""
+    path: list[str] = []
+    closed: set[int] = set()
+    n = min(size, heads.get(unit[:3], 2))
+    while at < size:
+        while n:
+            piece = unit[at : at + n]
+            if (n == 1 or piece in ids) and at + n not in closed:
+                good = pairs.get((left, piece))
+                if good or (good is None and pieces.together(left, piece)):
+                    break
+            n -= 1
+        if n:
+            path.append(piece)
+            at, left = at + n, piece
+            n = min(size - at, heads.get(unit[at : at + 3], 2))
+        else:
+            closed.add(at)
+            n = len(path.pop())
+            at, left = at - n, path[-1] if path else ""
+            n -= 1
+    return _ids(path, pieces)
 
 
 def encode(units: list[str], pieces: Pieces) -> bytes:
     """Ids of units as packed 32-bit integers."""
-    cache, out = pieces.cache, []
-    for unit in units:
-        ids = cache.get(unit)
-        if ids is None:
-            if len(cache) > _CACHE:
-                cache.clear()
-            ids = np.array(solve(unit, pieces), "<i4").tobytes()
-            if len(unit) <= 40:
-                cache[unit] = ids
-        out.append(ids)
-    return b"".join(out)
+    return b"".join(map(pieces.solved.__getitem__, units))
 
 
 def chunks(text: str, size: int, longest: int) -> list[tuple[int, int, str]]:
