@@ -103,13 +103,15 @@ class Pieces:
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: the best-scored neighbours first, the left one of equals."""
-        parts = list(text)
-        while True:
-            ways = [(self.scores.get(x + y, -np.inf), -i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False))]
-            if not ways or (best := max(ways))[0] == -np.inf:
-                return parts
-            i = -best[1]
+        parts, scores, never = list(text), self.scores, -np.inf
+        ways = [scores.get(x + y, never) for x, y in zip(parts, parts[1:], strict=False)]
+        while ways and (best := max(ways)) != never:
+            i = ways.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ways[i]
+            for k in range(max(i - 1, 0), min(i + 1, len(ways))):
+                ways[k] = scores.get(parts[k] + parts[k + 1], never)
+        return parts
 
     def together(self, left: str, right: str) -> bool:
         """Whether two pieces may stand side by side; nothing may stand left of a unit's first."""
