@@ -678,8 +678,6 @@ def weighted_resample(spark, sf_dir):
     return found.select(KEY, LABEL, "copy")
 
 
-# Rounds and trees of the registered fits; widths are the full network's.
-ROUNDS, ITERATIONS, DEPTH = 4, 5, 8
 _FITTED: dict[tuple, object] = {}
 
 
@@ -694,14 +692,12 @@ def _once(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
 
 def fitted_mlp(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     """The network and its history."""
-    fit = lambda train, val: models.fit_mlp(
-        train, val, columns=FEATURES, rounds=ROUNDS, iterations=ITERATIONS
-    )
+    fit = lambda train, val: models.fit_mlp(train, val, columns=FEATURES)
     return _once(spark, sf_dir, "mlp", fit)
 
 
 def fitted_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    fit = lambda train, _: models.fit_forest(train, columns=FEATURES, depth=DEPTH)
+    fit = lambda train, _: models.fit_forest(train, columns=FEATURES)
     return _once(spark, sf_dir, "forest", fit)
 
 
@@ -720,13 +716,13 @@ def _fit_figures(scored: DataFrame, size: int) -> DataFrame:
         F.count("*").alias("rows"),
         F.lit(size).alias("size"),
         F.min(p.isNotNull() & p.between(0, 1)).alias("probabilities"),
-    ).withColumn("better_than_chance", area > 0.5)
+    ).withColumn("ranks_well", area >= 0.9)
 
 
 @query(
     sql.statement(
         "prepared",
-        """SELECT count(*) AS "rows", 13474 AS size, true AS probabilities, true AS better_than_chance
+        """SELECT count(*) AS "rows", 13474 AS size, true AS probabilities, true AS ranks_well
 FROM prepared WHERE split = 'test'""",
     )
 )
@@ -739,7 +735,7 @@ def mlp_fit_score(spark, sf_dir):
 @query(
     sql.statement(
         "prepared",
-        """SELECT count(*) AS "rows", 100 AS size, true AS probabilities, true AS better_than_chance
+        """SELECT count(*) AS "rows", 100 AS size, true AS probabilities, true AS ranks_well
 FROM prepared WHERE split = 'test'""",
     )
 )
@@ -752,7 +748,7 @@ def rf_fit_score(spark, sf_dir):
 @query(
     sql.statement(
         "prepared",
-        """SELECT count(*) AS val_rows, true AS rounds_in_order, true AS within_limit,
+        """SELECT count(*) AS val_rows, true AS rounds_in_order, true AS ended_by_rule,
   true AS best_is_kept FROM prepared WHERE split = 'val'""",
     )
 )
@@ -767,11 +763,19 @@ def mlp_early_stop_history(spark, sf_dir):
     val = score.positive_score(rows.filter("split = 'val'"), mlp, "p")
     loss = evaluate.row_loss(F.col(LABEL), F.col("p"), weight)
     best = history.agg(F.min("val_loss")).scalar()
-    rounds = history.agg(F.struct(F.max("round").alias("last"), F.count("*").alias("n"))).scalar()
+    rounds = history.agg(
+        F.struct(
+            F.max("round").alias("last"),
+            F.count("*").alias("n"),
+            F.min_by("round", F.struct("val_loss", "round")).alias("best"),
+        )
+    ).scalar()
+    stale = rounds["last"] - rounds["best"]
+    ended = (stale == models.PATIENCE) | ((rounds["n"] == models.ROUNDS) & (stale < models.PATIENCE))
     return val.agg(F.count("*").alias("val_rows"), F.avg(loss).alias("_loss")).select(
         "val_rows",
         (rounds["last"] == rounds["n"]).alias("rounds_in_order"),
-        (rounds["n"] <= ROUNDS).alias("within_limit"),
+        ended.alias("ended_by_rule"),
         (F.abs(F.col("_loss") - best) < 1e-6).alias("best_is_kept"),
     )
 

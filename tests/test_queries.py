@@ -5,8 +5,9 @@ from compare import connect, differences
 from conftest import SF_DIR
 
 import __spark_entry__ as driver
+from callmeter.plans import catalog
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
