@@ -148,25 +148,28 @@ def weighted_resample(
     return df.select("*", F.explode(taken).alias("copy"))
 
 
+#: Equal rows that go to a partition together.
+_TOGETHER = 100
+
+
 def _placed(df: DataFrame, key: str) -> DataFrame:
-    """Rows placed and ordered by key, over all cores: fits are heavy on computing, so
-    even a small table is worth spreading out. Nothing depends on how the input lay.
+    """Rows placed by their content, over all cores, and ordered by key and content.
 
-    A key with more rows than two even partitions would fill its partition alone; the rows
-    of such keys (fewer than half as many as there are partitions) are scattered instead.
+    Fits are heavy on computing, so even a small table is worth spreading out. Where a row
+    goes depends on nothing but the row, and rows that share a key, or have none, spread as
+    others do. Equal rows are counted before the shuffle and dealt out in portions.
     """
     spark = df.sparkSession
     n = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
-    even = sizes.agg(F.sum("n") / n).scalar()
-    hot = [row[key] for row in sizes.filter(F.col("n") > 2 * even).select(key).collect()]
-    if not hot:
-        return df.repartition(n, key).sortWithinPartitions(key)
-    salt = F.when(F.col(key).isin(hot), F.monotonically_increasing_id() % n).otherwise(0)
-    scattered = df.withColumn("_salt", salt).repartition(n, key, "_salt")
-    return scattered.sortWithinPartitions(key).drop("_salt")
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    counted = counted.withColumn("_content", F.xxhash64(*df.columns))
+    portions = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _TOGETHER))
+    dealt = counted.withColumn("_portion", F.explode(portions)).repartition(n, "_content", "_portion")
+    size = F.least(F.lit(_TOGETHER), F.col("_n") - F.col("_portion") * _TOGETHER)
+    placed = dealt.sortWithinPartitions(key, "_content", "_portion")
+    return placed.select(*df.columns, F.explode(F.array_repeat(F.lit(0), size.cast("int"))).alias("_one")).drop("_one")
 
 
 def parameter_count(model: PipelineModel) -> int:
@@ -202,14 +205,17 @@ def fit_mlp(
     scaler = fit_scaler(train, columns=columns)
     pos_weight = float(class_weights(train, label=label, factor=factor).first()["pos_weight"])
     # The solver reads its rows once per iteration, so both sets are scaled and held once.
-    # Placing rows by key makes the fit independent of how the input was partitioned.
-    scaled = scale(
+    # Rows are placed before they are scaled: the scaler's last digits depend on the input's layout.
+    both = (
         train.select(*columns, label, key)
         .withColumn("_part", F.lit("train"))
-        .unionByName(val.select(*columns, label, key).withColumn("_part", F.lit("val"))),
-        scaler,
-    ).select("_part", key, F.col(label).cast("double").alias("_y"), "features")
-    held = _placed(scaled, key).persist(StorageLevel.MEMORY_AND_DISK)
+        .unionByName(val.select(*columns, label, key).withColumn("_part", F.lit("val")))
+    )
+    held = (
+        scale(_placed(both, key), scaler)
+        .select("_part", key, F.col(label).cast("double").alias("_y"), "features")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     fitting = weighted_resample(
         held.filter(F.col("_part") == "train"), label="_y", key=key, weight=pos_weight, seed=seed
     ).select("features", "_y")
