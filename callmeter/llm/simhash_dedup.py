@@ -144,13 +144,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) ->
 # fingerprint's bits, far more than a grid search with equal coordinates bears. So texts get
 # eight fingerprints, read as 32 coordinates of 16 bits (each is the row of distances to 16
 # one-bit references), and texts that agree in one coordinate meet. Within such a cell every
-# text is compared with the leaders met so far; pairs found this way are verified by the
-# shingles themselves.
+# text is compared with all others; pairs found this way are verified by the shingles
+# themselves. So that a group of copies does not give the square of its size in pairs, each
+# text first names its closest partner and the one of smallest name, twice; at last all close
+# pairs whose texts are not linked yet are verified.
 PRINTS, BAND_BITS = 8, 16
 CLOSE_BITS = 64  # of the 256 of the first four fingerprints; unrelated texts differ in 128 or so
 _ODD = (np.random.default_rng(SEED).integers(0, 2**63, PRINTS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_LEADERS = 4096  # leaders compared at a time
+CELL_ROWS = 1024  # texts of a cell that one task holds; larger cells are split
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -175,14 +177,15 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            contents, prints = [], []
+            contents, prints, sizes = [], [], []
             for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
                 hashes = shingle_set(text.as_py() or b"", size)
                 contents.append(xxhash.xxh128_digest(hashes.tobytes()))
                 prints.append(fingerprint_set(hashes))
+                sizes.append(len(hashes))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(contents, pa.binary()), pa.array(prints, pa.list_(pa.int64()))],
-                [*batch.schema.names[:-1], "content", "prints"],
+                [*batch.columns[:-1], pa.array(contents, pa.binary()), pa.array(prints, pa.list_(pa.int64())), pa.array(sizes, pa.int32())],
+                [*batch.schema.names[:-1], "content", "prints", "size"],
             )
 
     return run
@@ -193,55 +196,160 @@ def _bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return sum(np.bitwise_count(x[:, None, i] ^ y[None, :, i]).astype(np.int16) for i in range(x.shape[1]))
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text of a cell with the first leader close to it, and with its closest neighbour in the block.
-
-    Leaders are texts without a leader of their own: a group of copies has one, and unrelated
-    texts meet in one of 65,536 cells by chance. A leader takes 40 bytes; none is given up.
-    """
-    key, ids, prints = None, np.empty(0, np.int64), np.empty((0, 4), np.uint64)
-    for batch in batches:
-        cells = np.stack([batch.column("band").to_numpy(), batch.column("cell").to_numpy()], axis=1)
-        uid = batch.column("uid").to_numpy()
-        near = np.stack([batch.column(f"f{i}").to_numpy() for i in range(4)], axis=1).view(np.uint64)
-        cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(1)) + 1), len(uid)]
-        a, b = [], []
+class _Rows:
+    """Texts of cells: names, labels, numbers of shingles, fingerprints."""
+
+    def __init__(self, uid: np.ndarray, label: np.ndarray, size: np.ndarray, prints: np.ndarray):
+        self.uid, self.label, self.size, self.prints = uid, label, size, prints
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> _Rows:
+        prints = np.stack([batch.column(f"f{i}").to_numpy() for i in range(4)], axis=1).view(np.uint64)
+        return cls(batch.column("uid").to_numpy(), batch.column("label").to_numpy(), batch.column("size").to_numpy(), prints)
+
+    def take(self, at: slice | np.ndarray) -> _Rows:
+        return _Rows(self.uid[at], self.label[at], self.size[at], self.prints[at])
+
+    @classmethod
+    def joined(cls, parts: list[_Rows]) -> _Rows:
+        return cls(*(np.concatenate([getattr(p, n) for p in parts]) for n in ("uid", "label", "size", "prints")))
+
+
+def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _chosen(x: np.ndarray, y: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of names, those with each text's closest partner and with its partner of smallest name."""
+    x, y, apart = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([apart, apart])
+    near, low = np.lexsort((y, apart, x)), np.lexsort((y, x))
+    first = np.concatenate([order[np.diff(x[order], prepend=x[order][:1] - 1) != 0] for order in (near, low)])
+    return x[first], y[first]
+
+
+def _light_pairs(every: bool, min_similarity: float):
+    """Pairs of cells that one task holds whole; a batch's cells are compared at once, place by place."""
+
+    def met(names: np.ndarray, rows: _Rows) -> pa.RecordBatch | None:
+        starts = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]).any(1)]))
+        counts = np.diff(starts, append=len(names))
+        behind = np.repeat(starts + counts, counts) - np.arange(len(names)) - 1  # texts of the cell that follow
+        a, b, bits = [], [], []
+        i = np.arange(len(names))
+        for d in range(1, int(counts.max())):
+            i = i[behind[i] >= d]
+            apart = np.bitwise_count(rows.prints[i] ^ rows.prints[i + d]).astype(np.int16).sum(1)
+            good = (apart <= CLOSE_BITS) & (rows.label[i] != rows.label[i + d])
+            x, y = i[good], i[good] + d
+            fits = np.minimum(rows.size[x], rows.size[y]) >= min_similarity * np.maximum(rows.size[x], rows.size[y])
+            a.append(x[fits])
+            b.append(y[fits])
+            bits.append(apart[good][fits])
+        if not sum(map(len, a)):
+            return None
+        x, y, apart = np.concatenate(a), np.concatenate(b), np.concatenate(bits)
+        if every:
+            return _pairs_batch(rows.uid[x], rows.uid[y])
+        found = []
+        cell = np.repeat(np.arange(len(starts)), counts)[x]
+        order = np.argsort(cell, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(cell[order])) + 1), len(order)]
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            if s == e:
+            one = order[s:e]
+            found.append(_chosen(rows.uid[x[one]], rows.uid[y[one]], apart[one]))
+        return _pairs_batch(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rows = None, None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if tuple(cells[s]) != key:
-                key, ids, prints = tuple(cells[s]), ids[:0], prints[:0]
-            for at in range(s, e, 512):
-                x, mine = near[at : min(at + 512, e)], uid[at : min(at + 512, e)]
-                open_ = np.ones(len(x), bool)
-                for low in range(0, len(ids), _LEADERS):
-                    left = np.flatnonzero(open_)
-                    far = _bits(x[left], prints[low : low + _LEADERS]) > CLOSE_BITS
-                    first = far.argmin(1)
-                    near_one = ~far[np.arange(len(left)), first]
-                    a.append(mine[left[near_one]])
-                    b.append(ids[low + first[near_one]])
-                    open_[left[near_one]] = False
-                if len(x) > 1:
-                    apart = _bits(x, x)
-                    np.fill_diagonal(apart, 999)
-                    nearest = apart.argmin(1)
-                    good = apart[np.arange(len(x)), nearest] <= CLOSE_BITS
-                    a.append(mine[good])
-                    b.append(mine[nearest[good]])
-                    lead = np.arange(len(x))
-                    for i in np.flatnonzero(open_):  # a block's own leaders
-                        if lead[i] == i:
-                            follow = np.flatnonzero(open_ & (apart[i] <= CLOSE_BITS) & (lead == np.arange(len(x))))
-                            follow = follow[follow > i]
-                            lead[follow] = i
-                            a.append(mine[follow])
-                            b.append(np.full(len(follow), mine[i]))
-                    open_ &= lead == np.arange(len(x))
-                ids = np.concatenate([ids, mine[open_]])
-                prints = np.concatenate([prints, x[open_]])
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            new, own = np.stack([batch.column("band").to_numpy(), batch.column("cell").to_numpy()], axis=1), _Rows.of(batch)
+            names, rows = (new, own) if names is None else (np.concatenate([names, new]), _Rows.joined([rows, own]))
+            last = len(names) - int((names == names[-1]).all(1)[::-1].argmin() or len(names))  # the last cell may go on
+            if last and (out := met(names[:last], rows.take(slice(last)))):
+                yield out
+            names, rows = names[last:], rows.take(slice(last, None))
+        if names is not None and (out := met(names, rows)):
+            yield out
+
+    return run
+
+
+def _heavy_pairs(every: bool, min_similarity: float):
+    """Pairs of large cells: the stored texts of each part are met by all texts of the cell, in order of their names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept, store, near, close, low = None, [], None, None, None, None
+
+        def chosen() -> pa.RecordBatch | None:
+            if every or store is None:
+                return None
+            has = close <= CLOSE_BITS
+            return _pairs_batch(np.concatenate([store.uid[has]] * 2), np.concatenate([near[has], low[has]]))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "cell", "part", "role")], axis=1)
+            rows = _Rows.of(batch)
+            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1), len(names)]
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if tuple(names[s][:3]) != key:
+                    if out := chosen():
+                        yield out
+                    key, kept, store = tuple(names[s][:3]), [], None
+                if names[s][3] == 0:
+                    kept.append(rows.take(slice(s, e)))
+                    continue
+                if not kept:  # no text fell to this part
+                    continue
+                if store is None:
+                    store = _Rows.joined(kept)
+                    near, low = np.zeros(len(store.uid), np.int64), np.zeros(len(store.uid), np.int64)
+                    close = np.full(len(store.uid), 999, np.int16)
+                for at in range(s, e, 512):
+                    x = rows.take(slice(at, min(at + 512, e)))
+                    apart = _bits(x.prints, store.prints)
+                    sizes = x.size[:, None], store.size[None]
+                    apart[(x.label[:, None] == store.label) | (np.minimum(*sizes) < min_similarity * np.maximum(*sizes))] = 999
+                    good = apart <= CLOSE_BITS
+                    if every:
+                        i, j = np.nonzero(good & (x.uid[:, None] < store.uid))
+                        if len(i):
+                            yield _pairs_batch(x.uid[i], store.uid[j])
+                        continue
+                    first, least = good.argmax(0), apart.argmin(0)
+                    here = np.arange(len(store.uid))
+                    new = good[first, here] & (close > CLOSE_BITS)
+                    low[new] = x.uid[first[new]]
+                    better = good[least, here] & (apart[least, here] < close)
+                    near[better] = x.uid[least[better]]
+                    close[better] = apart[least, here][better]
+        if out := chosen():
+            yield out
+
+    return run
+
+
+def _pairs(cells: DataFrame, every: bool, min_similarity: float) -> DataFrame:
+    """Pairs (``a`` > ``b``) of close texts of a cell that differ in ``label``.
+
+    All texts of a cell are compared. With ``every`` all pairs come, else two for each text
+    and cell. Cells beyond ``CELL_ROWS`` texts are split: each part is met by the whole cell.
+    """
+    heavy = cells.groupBy("band", "cell").count().where(F.col("count") > CELL_ROWS)
+    heavy = stored(heavy.select("band", "cell", F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("parts")), "similar")
+    light = cells if (none := heavy.isEmpty()) else cells.join(heavy, ["band", "cell"], "left_anti")
+    light = light.repartition("band", "cell").sortWithinPartitions("band", "cell", "uid")
+    found = light.mapInArrow(_light_pairs(every, min_similarity), "a bigint, b bigint")
+    if not none:
+        many = cells.join(heavy, ["band", "cell"])
+        store = many.withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts").cast("bigint")).cast("int")).withColumn("role", F.lit(0))
+        stream = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("role", F.lit(1))
+        met = store.unionByName(stream).drop("parts").repartition("band", "cell", "part").sortWithinPartitions("band", "cell", "part", "role", "uid")
+        found = found.union(met.mapInArrow(_heavy_pairs(every, min_similarity), "a bigint, b bigint"))
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _verified(min_similarity: float):
@@ -270,36 +378,49 @@ def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.
     """Groups of texts whose sets of word shingles have a Jaccard similarity of 0.8 or more.
 
     Returns for each row ``uid`` (its name), ``doc_id`` and ``group`` (texts of equal content
-    or linked, directly or in steps, share it). Every link is verified; the search finds a
-    pair at 0.8 with a probability of 0.92, at 0.9 with 0.998. Texts without a word are equal.
+    or linked, directly or in steps, share it). Every link is verified, and every pair of a
+    cell within ``CLOSE_BITS`` is verified or linked in steps; a pair at 0.8 shares a cell
+    with a probability of 0.92, at 0.9 with 0.998. Texts without a word are equal.
     """
     named = docs.select(_row_key(docs, id_col, text_col).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = stored(named.mapInArrow(_signatures(shingle), f"uid bigint, doc_id {kind}, content binary, prints array<bigint>"), "similar")
-    distinct = rows.groupBy("content").agg(F.min("uid").alias("rep"), F.first("prints").alias("prints"))
+    rows = stored(named.mapInArrow(_signatures(shingle), f"uid bigint, doc_id {kind}, content binary, prints array<bigint>, size int"), "similar")
+    distinct = rows.groupBy("content").agg(F.min("uid").alias("rep"), F.first("prints").alias("prints"), F.first("size").alias("size"))
     distinct = stored(distinct, "similar")
     per = 64 // BAND_BITS
     cell = [
         F.struct(F.lit(n).alias("band"), F.shiftrightunsigned(F.col("prints")[n // per], BAND_BITS * (n % per)).bitwiseAND((1 << BAND_BITS) - 1).alias("cell"))
         for n in range(PRINTS * per)
     ]
-    met = distinct.select(F.col("rep").alias("uid"), *(F.col("prints")[i].alias(f"f{i}") for i in range(4)), F.explode(F.array(*cell)).alias("x"))
-    met = met.select("x.band", "x.cell", "uid", *(f"f{i}" for i in range(4)))
-    met = met.repartition("band", "cell").sortWithinPartitions("band", "cell", "uid")
-    pairs = met.mapInArrow(_close_pairs, "a bigint, b bigint").where("a <> b")
-    pairs = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "similar")
+    near = [f"f{i}" for i in range(4)]
+    met = distinct.select(F.col("rep").alias("uid"), F.col("rep").alias("label"), "size", *(F.col("prints")[i].alias(n) for i, n in enumerate(near)), F.explode(F.array(*cell)).alias("x"))
+    met = met.select("x.band", "x.cell", "uid", "label", "size", *near)
+    pairs = stored(_pairs(met, False, min_similarity), "similar")
 
-    wanted = pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct()
+    # Texts that are close to none in any of their cells are in no pair and need not be looked at again.
+    wanted = stored(pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct(), "similar")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             found = [shingle_set(t.as_py() or b"", shingle).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["uid", "set"])
 
-    held = stored(_matched(named.select("uid", "t"), stored(wanted, "similar"), "uid", "left_semi").mapInArrow(sets, "uid bigint, set binary").dropDuplicates(["uid"]), "similar")
-    both = pairs.join(held.select(F.col("uid").alias("a"), F.col("set").alias("x")), "a")
-    both = both.join(held.select(F.col("uid").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
-    found = components(both.mapInArrow(_verified(min_similarity), "a bigint, b bigint"))
+    held = stored(_matched(named.select("uid", "t"), wanted, "uid", "left_semi").mapInArrow(sets, "uid bigint, set binary").dropDuplicates(["uid"]), "similar")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(held.select(F.col("uid").alias("a"), F.col("set").alias("x")), "a")
+        both = both.join(held.select(F.col("uid").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
+        return stored(both.mapInArrow(_verified(min_similarity), "a bigint, b bigint"), "similar")
+
+    linked = links(pairs)
+    found = stored(components(linked), "similar")
+    met = stored(_matched(met, wanted, "uid", "left_semi"), "similar")
+    for every in (False, True):
+        label = F.coalesce("component", "uid").alias("label")
+        now = met.drop("label").join(found, F.col("uid") == F.col("node"), "left").select("band", "cell", "uid", label, "size", *near)
+        more = stored(_pairs(now, every, min_similarity).join(pairs, ["a", "b"], "left_anti"), "similar")
+        pairs, linked = pairs.union(more), linked.union(links(more))
+        found = stored(components(linked), "similar")
     group = distinct.select("content", "rep").join(found, F.col("rep") == F.col("node"), "left")
     group = group.select("content", F.coalesce("component", "rep").alias("group"))
     return rows.select("uid", "doc_id", "content").join(group, "content").select("uid", "doc_id", "group")

@@ -303,3 +303,22 @@ def test_licences(spark, docs, odd, empty):
     assert found[9002].labels == "mit" and found[9002].score > 0.5
     assert [r.n_words for r in license_scan.scan(odd).orderBy("doc_id").collect() if r.doc_id in (1, 2, 4)] == [0, 0, 0]
     assert license_scan.scan(empty).count() == 0
+
+
+def test_copies_with_edits_of_their_own_meet_their_base(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(300)]
+    texts = [list(base) for _ in range(1500)]
+    for copy in texts[1:]:
+        for place in rng.sample(range(5, 295, 6), 5):
+            copy[place] = word()
+    sets = [simhash_dedup.shingle_set(" ".join(t).encode(), 5) for t in texts[:50]]
+    alike = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    assert all(alike(sets[0], x) >= 0.8 for x in sets) and np.mean([alike(x, y) < 0.8 for x, y in zip(sets[1:], sets[2:], strict=False)]) > 0.9
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for rows in (4096, 200):
+        monkeypatch.setattr(simhash_dedup, "CELL_ROWS", rows, raising=False)
+        # About 3 in 100 share no cell with the base.
+        n = simhash_dedup.similar_groups(table).select("group").distinct().count()
+        assert n <= 100
