@@ -2,9 +2,11 @@
 
 The tree has a fixed depth: a line's number of tokens, then its first three tokens (those
 with a digit count as variable), lead to a leaf. Within a leaf a token stays part of the
-template if enough documents have it at its place; other tokens are variable fields. A
-template recurs if lines of it stand in ``min_docs`` documents or more. Its lines are
-dropped, but for those in the first of these documents, so no content is lost entirely.
+template if enough documents have it at its place; other tokens are variable fields. How
+many are enough is tried from ``min_docs`` on in steps of two: where values of a field recur
+too, a line falls back to a more general template. A template recurs if lines of it stand in
+``min_docs`` documents or more. Its lines are dropped,
+but for those in the first of these documents, so no content is lost entirely.
 
 Only lines in leaves that recur at all are shuffled, and leaves are counted within tasks
 first. What the last pass needs to know goes to all tasks if it is small; beyond a limit the
@@ -26,6 +28,8 @@ from callmeter.llm.common import sliced, stored
 DEPTH = 3
 MIN_DOCS = 10
 MIN_FIXED = 0.6
+#: Lines of so many words or more go if they recur as they are in so many documents.
+LONG_WORDS, LONG_DOCS = 50, 2
 VARIABLE = "<*>"
 #: Leaves, and lines to drop, that go to all tasks; beyond it they are joined.
 LEAF_LIMIT, LINE_LIMIT, LINE_BYTES = 1_000_000, 100_000, 32_000_000
@@ -41,20 +45,21 @@ def leaf(tokens: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b"\x1f".join([str(len(tokens)).encode(), *lead])) - 2**63
 
 
-def _leaf_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[int] = Counter()
+def _leaf_counts(batches: Iterator[pa.RecordBatch], long_words: int) -> Iterator[pa.RecordBatch]:
+    counts: Counter[tuple[int, bool]] = Counter()
     for batch in sliced(batches):
         for text in batch.column(0).cast(pa.binary()):
             lines = {tuple(t) for line in set((text.as_py() or b"").split(b"\n")) if (t := _tokens(line))}
-            counts.update({leaf(list(t)) for t in lines})
+            counts.update({(leaf(list(t)), len(t) >= long_words) for t in lines})
         if len(counts) > 500_000:
             yield _counted(counts)
             counts.clear()
     yield _counted(counts)
 
 
-def _counted(counts: Counter[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["leaf", "docs"])
+def _counted(counts: Counter[tuple[int, bool]]) -> pa.RecordBatch:
+    leaves, long = [c[0] for c in counts], [c[1] for c in counts]
+    return pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array(long, pa.bool_()), pa.array(list(counts.values()), pa.int64())], ["leaf", "long", "docs"])
 
 
 def _lines_in(leaves: frozenset[int] | None):
@@ -76,12 +81,19 @@ def _lines_in(leaves: frozenset[int] | None):
 
 
 def recurring_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED, leaf_limit: int = LEAF_LIMIT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_docs: int = MIN_DOCS,
+    min_fixed: float = MIN_FIXED,
+    leaf_limit: int = LEAF_LIMIT,
+    long_words: int = LONG_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of recurring templates (``leaf``, ``key``, ``line``, ``template``, ``docs``, ``first``) and who holds which (``doc``, ``leaf``, ``key``)."""
     texts = docs.select(F.col(text_col).alias("text"))
-    leaves = texts.mapInArrow(_leaf_counts, "leaf bigint, docs bigint").groupBy("leaf").agg(F.sum("docs").alias("docs"))
-    leaves = stored(leaves.where(F.col("docs") >= min_docs).select("leaf"), "leaves")
+    counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint")
+    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"))
+    leaves = stored(leaves.where(F.col("docs") >= F.when(F.col("long"), LONG_DOCS).otherwise(min_docs)).select("leaf"), "leaves")
     kind = docs.schema[id_col].dataType.simpleString()
     rows, schema = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, leaf bigint, line string"
     if leaves.count() <= leaf_limit:
@@ -94,21 +106,31 @@ def recurring_lines(
 
     distinct = stored(held.groupBy("leaf", "key").agg(F.first("line").alias("line"), F.count("*").alias("docs")), "lines")
     held = held.select("doc", "leaf", "key")
-    tokens = distinct.select("leaf", "key", "docs", F.size(F.split("line", " ")).alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
+    words = F.size(F.split("line", " "))
+    tokens = distinct.select("leaf", "key", "docs", words.alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
     common = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    common = common.withColumn("level", F.floor(F.log2(F.col("support") / min_docs)).cast("int"))
     fixed = tokens.where(~F.col("token").rlike("[0-9]")).join(common, ["leaf", "place", "token"])
-    templates = fixed.groupBy("leaf", "key").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("kept"), F.first("words").alias("words"), F.first("docs").alias("docs")
-    )
-    template = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda i: F.coalesce(F.col("kept")[i], F.lit(VARIABLE)))
-    templates = templates.where(F.size("kept") >= F.ceil(F.col("words") * min_fixed))
-    templates = stored(templates.select("leaf", "key", "docs", F.array_join(template, " ").alias("template")), "templates")
+    kept = fixed.groupBy("leaf", "key").agg(F.collect_list(F.struct("place", "token", "level")).alias("kept"), F.first("words").alias("words"), F.first("docs").alias("docs"))
+    least = F.ceil(F.col("words") * min_fixed)
+    # From the most specific template to the most general: tokens of a level and above stay.
+    kept = kept.where(F.size("kept") >= least).withColumn("from", F.explode(F.array_distinct(F.transform("kept", lambda x: x["level"]))))
+    kept = kept.withColumn("kept", F.filter("kept", lambda x: x["level"] >= F.col("from"))).where(F.size("kept") >= least)
+    kept = kept.withColumn("map", F.map_from_entries(F.transform("kept", lambda x: F.struct(x["place"], x["token"]))))
+    template = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda i: F.coalesce(F.col("map")[i], F.lit(VARIABLE)))
+    templates = stored(kept.select("leaf", "key", "docs", F.size("kept").alias("fixed"), F.array_join(template, " ").alias("template")), "templates")
     likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
-    named = stored(templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template"), "templates")
+    named = templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
+    named = stored(named, "templates")
     # A document counts once for a template, however many lines of it it holds.
-    spread = held.join(named, ["leaf", "key"]).select("leaf", "template", "doc").distinct()
-    spread = spread.groupBy("leaf", "template").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= min_docs)
-    found = named.join(spread, ["leaf", "template"]).join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
+    group = ["leaf", "template", (F.col("fixed") == 0).alias("exact")]
+    spread = held.join(named, ["leaf", "key"]).select(*group, "least", "doc").distinct()
+    spread = spread.groupBy("leaf", "template", "exact").agg(F.count("*").alias("docs"), F.min("doc").alias("first"), F.first("least").alias("least"))
+    spread = spread.where(F.col("docs") >= F.col("least")).drop("least")
+    named = named.select("key", "fixed", *group).join(spread, ["leaf", "template", "exact"])
+    # A line goes by its most specific template that recurs.
+    named = named.groupBy("leaf", "key").agg(F.max(F.struct("fixed", "template", "docs", "first")).alias("best")).select("leaf", "key", "best.template", "best.docs", "best.first")
+    found = named.join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
     return stored(found.select("leaf", "key", "line", "template", "docs", "first"), "templates"), held
 
 
