@@ -326,14 +326,15 @@ def test_copies_with_edits_of_their_own_meet_their_base(spark, monkeypatch):
 
 def test_lines_with_recurring_fields_long_lines_and_digits(spark):
     name = lambda n: "n" + "abcdefghij"[n // 10] + "abcdefghij"[n % 10]
+    long = " ".join(f"word{chr(97 + n % 26)}{chr(97 + n // 26)}" for n in range(60))
     rows = []
     for i in range(1200):
         text = f"own line {name(i % 100)}{name(i // 100)}\nThis article was written by {name(i % 30)} {name(30 + i // 30)} for our readers"
-        rows.append((i, text + "\nin nine 1 2" * (i < 9)))
+        rows.append((i, text + f"\n{long}" * (i in (3, 7)) + "\nin nine 1 2" * (i < 9)))
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     for limits in ({}, {"leaf_limit": 0, "line_limit": 0}):
         out = {r.doc_id: r.text.split("\n")[1:] for r in line_dedup.without_recurring_lines(table, **limits).collect()}
         assert out[0] == rows[0][1].split("\n")[1:]
         # The first document of a variant that recurs itself keeps its line.
-        assert out[3][1:] == ["in nine 1 2"] and out[7][1:] == ["in nine 1 2"] and out[10][1:] == []
+        assert out[3][1:] == [long, "in nine 1 2"] and out[7][1:] == ["in nine 1 2"] and out[10][1:] == []
         assert not any(out[i] for i in range(30, 1200))
