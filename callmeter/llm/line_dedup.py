@@ -5,8 +5,8 @@ with a digit count as variable), lead to a leaf. Within a leaf a token stays par
 template if enough documents have it at its place; other tokens are variable fields. How
 many are enough is tried from ``min_docs`` on in steps of two: where values of a field recur
 too, a line falls back to a more general template. A template recurs if lines of it stand in
-``min_docs`` documents or more; so do lines of ``LONG_WORDS`` words in
-``LONG_DOCS`` documents. Such lines are dropped,
+``min_docs`` documents or more; so do lines that stand there as they are, whatever their
+tokens, and lines of ``LONG_WORDS`` words in ``LONG_DOCS`` documents. Such lines are dropped,
 but for those in the first of these documents, so no content is lost entirely.
 
 Only lines in leaves that recur at all are shuffled, and leaves are counted within tasks
@@ -122,8 +122,8 @@ def recurring_lines(
     templates = stored(kept.select("leaf", "key", "docs", F.size("kept").alias("fixed"), F.array_join(template, " ").alias("template")), "templates")
     likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
     named = templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
-    # Long lines recur as they are in two documents.
-    need = F.when(words >= long_words, LONG_DOCS)
+    # Lines that recur as they are need no fixed tokens; long ones recur in two documents.
+    need = F.when(words >= long_words, LONG_DOCS).otherwise(min_docs)
     exact = distinct.where(F.col("docs") >= need).select("leaf", "key", F.col("line").alias("template"), F.lit(0).alias("fixed"), need.alias("least"))
     named = stored(named.union(exact), "templates")
     # A document counts once for a template, however many lines of it it holds.

@@ -330,7 +330,7 @@ def test_lines_with_recurring_fields_long_lines_and_digits(spark):
     rows = []
     for i in range(1200):
         text = f"own line {name(i % 100)}{name(i // 100)}\nThis article was written by {name(i % 30)} {name(30 + i // 30)} for our readers"
-        rows.append((i, text + f"\n{long}" * (i in (3, 7)) + "\nin nine 1 2" * (i < 9)))
+        rows.append((i, text + "\nPage 3 of 10\n555 0199" * (i < 12) + f"\n{long}" * (i in (3, 7)) + "\nin nine 1 2" * (i < 9)))
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     for limits in ({}, {"leaf_limit": 0, "line_limit": 0}):
         out = {r.doc_id: r.text.split("\n")[1:] for r in line_dedup.without_recurring_lines(table, **limits).collect()}
