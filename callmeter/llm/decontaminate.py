@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping segments, so that a passage taken from an item holds
-one of them in full. Of a segment's q-grams each edit spoils q at most; an occurrence within
+Benchmark items are cut into overlapping segments, so that a passage of 75 characters or more
+(about 13 words) taken from an item holds one of them in full, as does a whole item. Of a segment's q-grams each edit spoils q at most; an occurrence within
 the edit budget k therefore shares at least (number of q-grams - k q) of them, on diagonals
 (place in the document minus place in the segment) that lie within 2 k of each other. The
 shared q-grams are counted in overlapping diagonal bands, bands that reach the bound are
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from callmeter.llm.common import sliced, union_all
 
 Q = 8
-SEGMENT = 120
+#: Characters of a segment and between their beginnings.
+SEGMENT, STRIDE = 60, 16
 EDIT_RATE = 0.1
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 _BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that are searched at a time.
@@ -66,12 +67,12 @@ def _slot(grams: np.ndarray) -> np.ndarray:
     return ((grams * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
-def build_index(items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: float = EDIT_RATE) -> Index:
+def build_index(items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: float = EDIT_RATE, stride: int = STRIDE) -> Index:
     """Index of items (id, normalised text); those shorter than a q-gram hold nothing to search for."""
     owner, segments, offsets = [], [], []
     for item, text in items:
         last = max(len(text) - segment, 0)
-        for at in sorted({*range(0, last, segment // 2), last}):
+        for at in sorted({*range(0, last, stride), last}):
             if len(text) >= Q:
                 owner.append(item)
                 segments.append(text[at : at + segment])
@@ -196,13 +197,16 @@ def search(texts: list[bytes], index: Index, seen: np.ndarray) -> Iterator[tuple
             yield doc, item, e, start
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, rate: float, block_chars: int) -> Iterator[Index]:
-    rows = benchmark.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, rate: float, block_chars: int) -> Iterator[tuple[Index, list[int | None]]]:
+    """Index of each block; its items are places in the list of ids that comes with it."""
+    rows = benchmark.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).where("t is not null")
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n = -(-total // block_chars)
     for b in range(n):
         block: list[Row] = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
-        yield build_index(sorted((r.i, plain(r.t.encode())) for r in block), rate=rate)
+        ids = sorted({r.i for r in block}, key=lambda i: (i is None, i or 0))
+        place = {i: n for n, i in enumerate(ids)}
+        yield build_index(sorted((place[r.i], plain(r.t.encode())) for r in block), rate=rate), ids
 
 
 def _shared(docs: DataFrame, index: Index):
@@ -229,21 +233,21 @@ def matches(
     of the item's segments, at most ``rate`` of its length, and where it starts in the
     normalised text (a smaller ``start`` wins ties). Null and empty texts and items match
     nothing, nor do items of under eight characters; repeated document rows are reported
-    each, repeated items once. Columns besides those named are not read.
+    each, repeated items once, items without an id as one without. Columns besides those named are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = f"doc_id {kind}, item_id bigint, edits int, start int"
     found = []
-    for index in _blocks(benchmark, "item_id", "text", rate, block_chars):
+    for index, ids in _blocks(benchmark, "item_id", "text", rate, block_chars):
         shared = _shared(docs, index)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, ids=ids) -> Iterator[pa.RecordBatch]:
             index, seen = shared.value
             for batch in sliced(batches):
                 hits = list(search(_plain_texts(batch.column(1)), index, seen))
                 where = pa.array([h[0] for h in hits], pa.int64())
-                columns = [pa.array([h[c] for h in hits], t) for c, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()))]
+                columns = [pa.array([ids[h[1]] for h in hits], pa.int64()), *(pa.array([h[c] for h in hits], pa.int32()) for c in (2, 3))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(where), *columns], ["doc_id", "item_id", "edits", "start"])
 
         found.append(rows.mapInArrow(run, schema))
@@ -254,7 +258,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The documents that hold no benchmark item, all their columns unchanged; rows stay where they lie."""
     place = docs.columns.index(text_col)
     out = docs
-    for index in _blocks(benchmark, "item_id", "text", rate, block_chars):
+    for index, _ in _blocks(benchmark, "item_id", "text", rate, block_chars):
         shared = _shared(docs, index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

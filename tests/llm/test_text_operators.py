@@ -338,3 +338,18 @@ def test_lines_with_recurring_fields_long_lines_and_digits(spark):
         # The first document of a variant that recurs itself keeps its line.
         assert out[3][1:] == [long, "in nine 1 2"] and out[7][1:] == ["in nine 1 2"] and out[10][1:] == []
         assert not any(out[i] for i in range(30, 1200))
+
+
+def test_decontamination_finds_excerpts_and_items_without_id(spark):
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    items = {r.item_id: decontaminate.plain(r.text.encode()) for r in bench.limit(8).collect()}
+    index = decontaminate.build_index(list(items.items()))
+    seen = np.zeros(1 << 22, bool)
+    seen[decontaminate._slot(index.grams)] = True
+    planted = [(i, b"before it " + t[at : at + 75] + b" and behind") for i, t in items.items() for at in range(max(len(t) - 74, 1))]
+    found = {(n, i) for n, i, _, _ in decontaminate.search([t for _, t in planted], index, seen)}
+    assert {(n, i) for n, (i, _) in enumerate(planted)} <= found
+    lone = spark.createDataFrame([(None, "an item that has no id at all but says quite a lot of things")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "here is an item that has no id at all but says quite a lot of things"), (2, "other text")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.matches(docs, lone).collect()] == [(1, None)]
+    assert [r.doc_id for r in decontaminate.without_benchmark(docs, lone).collect()] == [2]
