@@ -9,8 +9,7 @@ a class within it, and takes the piece's share of its class from the corpus:
   the whole corpus without a further pass over the text.
 - *Attention*: one causal self-attention layer adds what the context says. It is trained in
   numpy: a start on a small sample of documents, then every partition of the training
-  documents goes on by itself and the weights are averaged. Each document takes part with
-  one in ``SHARE`` of its stretches, with one at least.
+  documents goes on by itself, over all of their texts, and the weights are averaged.
 
 A text is scored in windows of ``2 * BLOCK`` ids that overlap by half: each id is scored
 once, in the second half of its window, so that it sees ``BLOCK`` ids at least (all there are
@@ -40,7 +39,7 @@ KNOWN = 2046  # pieces with a vector of their own
 SINGLE = 448  # pieces with a class of their own
 GROUPS, PER_GROUP = 16, 32
 WIDTH, KEY, VALUE = 16, 12, 24
-SHARE = 16  # one stretch in so many is trained on
+SHARE = 1  # one stretch in so many is trained on; 1: whole texts
 STRETCH = 64  # words
 START_DOCS = 400  # documents of the start sample
 HEADS = 60_000  # words looked up without a join
@@ -357,8 +356,10 @@ def gradients(model: Model, ids: np.ndarray, joined: np.ndarray, target: np.ndar
 def stretches(words: list[bytes], share: int, vocabulary: Vocabulary) -> list[np.ndarray]:
     """Ids of one in ``share`` of a text's stretches of ``STRETCH`` words, of one at least.
 
-    Which comes first follows from the text's length; only the last one has the text's end.
+    With a share of 1 the text is one stretch. Else, which comes first follows from the text's length; only the last one has the text's end.
     """
+    if share == 1:
+        return [vocabulary.encode(words)]
     many = max(-(-len(words) // STRETCH), 1)
     out = []
     for n in range(len(words) % min(share, many), many, share):

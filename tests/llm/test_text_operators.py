@@ -353,3 +353,10 @@ def test_decontamination_finds_excerpts_and_items_without_id(spark):
     docs = spark.createDataFrame([(1, "here is an item that has no id at all but says quite a lot of things"), (2, "other text")], "doc_id bigint, text string")
     assert [(r.doc_id, r.item_id) for r in decontaminate.matches(docs, lone).collect()] == [(1, None)]
     assert [r.doc_id for r in decontaminate.without_benchmark(docs, lone).collect()] == [2]
+
+
+def test_lm_trains_on_whole_texts():
+    vocabulary = lm_score.load_vocabulary()
+    words = [b"word%d" % n for n in range(1000)]
+    parts = lm_score.stretches(words, lm_score.SHARE, vocabulary)
+    assert np.concatenate(parts).tolist() == vocabulary.encode(words).tolist()
