@@ -380,7 +380,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.
     Returns for each row ``uid`` (its name), ``doc_id`` and ``group`` (texts of equal content
     or linked, directly or in steps, share it). Every link is verified, and every pair of a
     cell within ``CLOSE_BITS`` is verified or linked in steps; a pair at 0.8 shares a cell
-    with a probability of 0.92, at 0.9 with 0.998. Texts without a word are equal.
+    with a probability of 0.92 for most sizes, at 0.9 with 0.998; by the reviewer's simulation
+    with 0.69 only for 4 against 5 shingles and 0.86 for 12 against 15. Texts without a word are equal.
     """
     named = docs.select(_row_key(docs, id_col, text_col).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
