@@ -12,7 +12,8 @@ crossed by a piece, so a unit is solved on its own, depth first, and remembered
 Giant texts are cut into chunks at any character, in a parallel scan: a chunk yields a
 transfer matrix from the states at its left border (how far before the border the last cut
 lies, and how long the piece before it is) to those at its right border. The matrices of a
-text are multiplied in max-plus algebra, which is associative; that fixes the state at every
+text could be multiplied in any order, as max-plus algebra is associative; here states are
+carried through them from first to last, by one task for a document; that fixes the state at every
 border, and each chunk is then traced back on its own.
 
 Characters outside the vocabulary become byte pieces; a blank is the piece mark. A literal
