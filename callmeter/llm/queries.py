@@ -15,6 +15,7 @@ from callmeter.llm import (
     license_scan,
     line_dedup,
     lm_score,
+    periodic_runs,
     quality,
     sentencepiece_codec,
     simhash_dedup,
@@ -77,6 +78,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(
+        periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")), id_col="id", text_col="text"
+    )
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    figures = found.select(
+        "id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest.alias("longest"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return figures.select(
+        F.col("id").alias("doc_id"),
+        "n_runs",
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.expr("-1000 * longest.less div longest.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_language_id,
         op10_license_scan,
+        op13_periodic_runs,
     )
 }
 
