@@ -19,6 +19,7 @@ from callmeter.llm import (
     quality,
     sentencepiece_codec,
     simhash_dedup,
+    topk_search,
 )
 from callmeter.llm.common import table
 
@@ -78,6 +79,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(
         periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")), id_col="id", text_col="text"
@@ -117,8 +122,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_language_id,
         op10_license_scan,
+        op11_topk_search,
         op13_periodic_runs,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_topk_search": """
+WITH v AS (SELECT row_number() OVER () AS place, vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL),
+c AS (
+  SELECT place, vec_id, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS i, len(embedding) AS n FROM v),
+usable AS (
+  SELECT place, vec_id, i, n, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM c
+  WHERE place NOT IN (SELECT place FROM c WHERE x IS NULL OR NOT isfinite(x))),
+scored AS (
+  SELECT q.vec_id AS query_id, q.place AS query, x.vec_id AS vec_id, CAST(sum(q.x * x.x) AS BIGINT) AS score
+  FROM usable q JOIN usable x ON q.i = x.i AND q.n = x.n AND q.place <> x.place
+  WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, q.place, x.vec_id, x.place),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id ASC NULLS LAST) AS INT) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
