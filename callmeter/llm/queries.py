@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callmeter.llm import (
     chat_format,
+    collocations,
     decontaminate,
     embed_dedup,
     langid,
@@ -83,6 +84,10 @@ def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(
         periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")), id_col="id", text_col="text"
@@ -123,11 +128,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_license_scan,
         op11_topk_search,
+        op12_collocations,
         op13_periodic_runs,
     )
 }
 
 ORACLE: dict[str, str] = {
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+size AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w WHERE len(ws) > 0),
+f AS (
+  SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS a
+  FROM places, (VALUES (1), (2), (3)) AS sizes(m) WHERE i + m - 1 <= len(ws)
+  GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, array_to_string(string_split(phrase, ' ')[1:2], ' ') AS phrase, a FROM f WHERE m = 3
+    UNION ALL
+    SELECT lang, array_to_string(string_split(phrase, ' ')[2:3], ' '), a FROM f WHERE m = 3) GROUP BY lang, phrase),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k,
+    array_to_string(string_split(c.phrase, ' ')[1:k], ' ') AS lhs,
+    array_to_string(string_split(c.phrase, ' ')[k + 1 :], ' ') AS rhs
+  FROM f c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase, (VALUES (1), (2)) AS cutting(k)
+  WHERE c.m > k AND NOT coalesce(100 * g.most >= 50 * c.a, false) AND c.m > 1),
+scored AS (
+  SELECT u.lang, u.phrase, u.a, l.a AS l, r.a AS r, k,
+    CAST((1000000::HUGEINT * u.a * u.a) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM cuts u JOIN f l ON l.lang = u.lang AND l.phrase = u.lhs JOIN f r ON r.lang = u.lang AND r.phrase = u.rhs),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE cut = 1)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN size USING (lang) WHERE rank <= 2000""",
     "op11_topk_search": """
 WITH v AS (SELECT row_number() OVER () AS place, vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL),
 c AS (
