@@ -5,8 +5,11 @@ Scaling is a stage of the model itself, so training and scoring always share it.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,14 +19,15 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import DECISION_THRESHOLD, decide, hash_number
 from callmeter.operators.evaluate import row_loss
 from callmeter.operators.reshape import cell, one_row_per_column
 from callmeter.schema import KEY, LABEL
-from callmeter.sources.usage_io import save_model
+from callmeter.sources.folders import Publication
 
 # Widths of the network's hidden layers, rounds, patience, weight factor.
 HIDDEN = (128, 64, 32)
@@ -139,10 +143,12 @@ def weighted_resample(
     """Repeat positive rows to carry their weight into a model without weights.
 
     Adds ``copy`` (from 1). A weight below 1 thins the positives out. No shuffle. Without
-    ``weight`` it is the ``pos_weight`` of ``class_weights``.
+    ``weight`` it is the ``pos_weight`` of ``class_weights``; a ValueError if a class has no rows.
     """
     if weight is None:
         weight = class_weights(df, label=label).first()["pos_weight"]
+        if not weight:
+            raise ValueError("a weight follows from rows of both classes; give one")
     n = copies(F.col(label), F.col(key), weight, seed=seed)
     taken = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     return df.select("*", F.explode(taken).alias("copy"))
@@ -176,6 +182,36 @@ def parameter_count(model: PipelineModel) -> int:
     return model.stages[-1].weights.size
 
 
+@dataclass
+class Training:
+    """Where a fit in rounds stands: all it needs to go on."""
+
+    settings: str
+    pos_weight: float
+    weights: list[float] | None = None
+    best_loss: float = math.inf
+    stale: int = 0
+    history: list[tuple] = field(default_factory=list)
+
+    HISTORY = "round int, train_loss double, val_loss double, train_f1 double, val_f1 double"
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        row = (self.settings, self.pos_weight, self.weights, self.best_loss, self.stale, self.history)
+        history = "array<struct<round:int,train_loss:double,val_loss:double,train_f1:double,val_f1:double>>"
+        kind = f"settings string, pos_weight double, weights array<double>, best_loss double, stale int, history {history}"
+        spark.createDataFrame([row], kind).coalesce(1).write.parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Training:
+        row = spark.read.parquet(path).first()
+        return cls(**{**row.asDict(), "history": [tuple(h) for h in row["history"]]})
+
+
+def _settings(**what) -> str:
+    """Names what must be the same for a fit to be continued."""
+    return hashlib.sha256(json.dumps(what, sort_keys=True).encode()).hexdigest()
+
+
 def fit_mlp(
     train: DataFrame,
     val: DataFrame,
@@ -191,19 +227,45 @@ def fit_mlp(
     factor: float = WEIGHT_FACTOR,
     seed: int = SEED,
     save_best: str | None = None,
+    resume: bool = False,
 ) -> tuple[PipelineModel, DataFrame]:
     """Train a perceptron in rounds and keep the one with the lowest validation loss.
 
     Each round continues from the weights of the last for a few solver iterations, then
     one pass measures loss and F1 on both sets. Training ends after ``patience`` rounds
-    without a lower validation loss. Positives are weighted by repetition. With
-    ``save_best`` each new best model is also written there, so a lost driver costs at
-    most the rounds since.
+    without a lower validation loss. Positives are weighted by repetition.
+
+    With ``save_best`` every round publishes the state of the training there, and the best
+    model if it is new. ``resume`` continues from what was published last: with the scaler,
+    weights, history and count of stale rounds of then, so that the rounds are those of a
+    fit that was never interrupted. ``rounds`` and ``patience`` may differ; if anything else
+    does, or the data has other class sizes, it raises. Without a state it starts anew.
 
     Returns the best model (assembler, scaler, network) and the history, a row per round.
+    Raises ValueError if there are no validation rows, or no rows of either class to train on.
     """
-    scaler = fit_scaler(train, columns=columns)
-    pos_weight = float(class_weights(train, label=label, factor=factor).first()["pos_weight"])
+    spark = train.sparkSession
+    published = Publication(spark, save_best) if save_best else None
+    sizes = class_weights(train, label=label, factor=factor).first()
+    if not (sizes["positives"] and sizes["negatives"]):
+        raise ValueError(f"training needs rows of both classes, it has {sizes['positives']} positives and {sizes['negatives']} negatives")
+    settings = _settings(
+        columns=list(columns), label=label, key=key, hidden=list(hidden), iterations=iterations,
+        threshold=threshold, factor=factor, seed=seed, sizes=[sizes["negatives"], sizes["positives"]],
+    )
+    parts = published.current() if published and resume else {}
+    if parts:
+        state, best = Training.load(spark, parts["state"]), PipelineModel.load(parts["model"])
+        if state.settings != settings:
+            raise ValueError(f"{save_best} holds a training with other settings or other rows")
+        scaler, best = PipelineModel(stages=best.stages[:2]), best.stages[2]
+    else:
+        state, best = Training(settings, float(sizes["pos_weight"])), None
+        scaler = fit_scaler(train, columns=columns)
+    finished = lambda: len(state.history) >= rounds or state.stale >= patience
+    if finished():
+        return PipelineModel(stages=[*scaler.stages, best]), spark.createDataFrame(state.history, Training.HISTORY)
+
     # The solver reads its rows once per iteration, so both sets are scaled and held once.
     # Rows are placed before they are scaled: the scaler's last digits depend on the input's layout.
     both = (
@@ -217,7 +279,7 @@ def fit_mlp(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     fitting = weighted_resample(
-        held.filter(F.col("_part") == "train"), label="_y", key=key, weight=pos_weight, seed=seed
+        held.filter(F.col("_part") == "train"), label="_y", key=key, weight=state.pos_weight, seed=seed
     ).select("features", "_y")
 
     network = MultilayerPerceptronClassifier(
@@ -230,27 +292,29 @@ def fit_mlp(
         maxIter=iterations,
         seed=seed,
     )
-    best, best_loss, history, stale = None, float("inf"), [], 0
     try:
-        for number in range(1, rounds + 1):
+        while not finished():
+            if state.weights is not None:
+                network.setInitialWeights(Vectors.dense(state.weights))
             model = network.fit(fitting)
-            figures = _round_figures(model.transform(held), pos_weight, threshold)
-            history.append((number, *figures))
-            if figures[1] < best_loss:
-                best, best_loss, stale = model, figures[1], 0
-                if save_best:
-                    save_model(PipelineModel(stages=[*scaler.stages, best]), save_best)
+            figures = _round_figures(model.transform(held), state.pos_weight, threshold)
+            state.weights = [float(w) for w in model.weights]
+            state.history.append((len(state.history) + 1, *figures))
+            better = figures[1] < state.best_loss
+            if better:
+                best, state.best_loss, state.stale = model, figures[1], 0
             else:
-                stale += 1
-                if stale >= patience:
-                    break
-            network.setInitialWeights(model.weights)
+                state.stale += 1
+            if best is None:
+                raise ValueError(f"the validation loss of the first round is {figures[1]}")
+            if published:
+                found = PipelineModel(stages=[*scaler.stages, best])
+                published.publish(
+                    {"model": found.save if better else None, "state": lambda path: state.save(spark, path)}
+                )
     finally:
         held.unpersist()
-    rows = train.sparkSession.createDataFrame(
-        history, "round int, train_loss double, val_loss double, train_f1 double, val_f1 double"
-    )
-    return PipelineModel(stages=[*scaler.stages, best]), rows
+    return PipelineModel(stages=[*scaler.stages, best]), spark.createDataFrame(state.history, Training.HISTORY)
 
 
 def _round_figures(
@@ -270,6 +334,8 @@ def _round_figures(
         )
         .collect()
     }
+    if "val" not in by_part:
+        raise ValueError("there are no validation rows to measure a round on")
     return tuple(by_part[part][figure] for figure in ("loss", "f1") for part in ("train", "val"))
 
 

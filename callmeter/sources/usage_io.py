@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callmeter.sources.folders import Publication
+
 
 def read_usage_csv(
     spark: SparkSession, path: str, *, schema: T.StructType | None = None
@@ -142,8 +144,13 @@ def storage_text(report: DataFrame) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Save a model; one that is there already stays readable until the new one is complete."""
+    Publication(SparkSession.active(), path).publish({"model": model.save})
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The last model that was saved completely."""
+    found = Publication(SparkSession.active(), path).current()
+    if "model" not in found:
+        raise FileNotFoundError(f"{path}: no complete model")
+    return PipelineModel.load(found["model"])

@@ -103,6 +103,49 @@ def test_no_patience_left(rows):
     assert history.count() < 30
 
 
+SMALL = dict(columns=COLUMNS, hidden=(4,), patience=3, iterations=4)
+
+
+def test_an_interrupted_fit_goes_on_where_it_was(spark, rows, tmp_path, monkeypatch):
+    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    whole, history = models.fit_mlp(train, val, rounds=6, **SMALL)
+    path, real, calls = str(tmp_path / "mlp"), models._round_figures, []
+
+    def cut(*args):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("the driver is lost")
+        return real(*args)
+
+    monkeypatch.setattr(models, "_round_figures", cut)
+    with pytest.raises(RuntimeError, match="lost"):
+        models.fit_mlp(train, val, rounds=6, save_best=path, **SMALL)
+    monkeypatch.setattr(models, "_round_figures", real)
+    resumed, again = models.fit_mlp(train.repartition(5), val, rounds=6, save_best=path, resume=True, **SMALL)
+    figures = lambda df: [tuple(r) for r in df.orderBy("round").collect()]
+    assert len(figures(history)) > 3
+    for a, b in zip(figures(history), figures(again), strict=True):
+        assert a == pytest.approx(b, abs=1e-7)
+    both = score.positive_score(score.positive_score(rows, whole, "a"), resumed, "b")
+    assert both.filter("abs(a - b) > 1e-6").count() == 0
+    # Nothing is left to do: the published result comes back as it is.
+    monkeypatch.setattr(models, "_round_figures", None)
+    last, figures_again = models.fit_mlp(train, val, rounds=6, save_best=path, resume=True, **SMALL)
+    assert figures(figures_again) == figures(again)
+    with pytest.raises(ValueError, match="other settings"):
+        models.fit_mlp(train, val, rounds=9, save_best=path, resume=True, **{**SMALL, "hidden": (5,)})
+
+
+def test_fits_name_what_they_lack(rows):
+    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    with pytest.raises(ValueError, match="no validation rows"):
+        models.fit_mlp(train, val.limit(0), rounds=2, **SMALL)
+    with pytest.raises(ValueError, match="both classes"):
+        models.fit_mlp(train.filter(F.col(LABEL) == 0), val, rounds=2, **SMALL)
+    with pytest.raises(ValueError, match="both classes"):
+        models.weighted_resample(train.filter(F.col(LABEL) == 1), label=LABEL, key=KEY)
+
+
 def test_saved_best_scores_the_same(spark, rows, trained):
     path, model, _ = trained
     again = usage_io.load_model(path)

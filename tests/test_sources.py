@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callmeter.schema import RECORD, SOURCE_SCHEMA, USAGE_SCHEMA, snake_names
-from callmeter.sources import usage_io
+from callmeter.sources import folders, usage_io
 from callmeter.sources.scratch import scratch_path
 
 
@@ -94,3 +94,99 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Cluster, "x")
+
+
+@pytest.mark.parametrize(
+    "master, warehouse, good",
+    [
+        ("spark://head:7077", "file:/tmp/warehouse", False),
+        ("spark://head:7077", "/tmp/warehouse", False),
+        ("local-cluster[3,2,1000]", "file:/tmp/warehouse", False),
+        ("spark://head:7077", "hdfs://store/warehouse", True),
+        ("local[4]", "file:/tmp/warehouse", True),
+        ("local", "/tmp/warehouse", True),
+    ],
+)
+def test_scratch_below_the_warehouse_only_where_it_is_shared(monkeypatch, master, warehouse, good):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default=None: warehouse if "warehouse" in name else default)
+
+        class sparkContext:
+            applicationId = "app-1"
+
+    Session.sparkContext.master = master
+    announced = []
+    monkeypatch.setattr(folders, "remove_at_end", lambda spark, path: announced.append(path))
+    if not good:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Session, "x")
+        return
+    assert scratch_path(Session, "x").startswith(f"{warehouse}/callmeter/app-1/x-")
+    assert announced in ([f"{warehouse}/callmeter/app-1"], [])
+
+
+def test_scratch_goes_when_the_application_ends(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+from pyspark.sql import SparkSession
+from callmeter.sources.scratch import scratch_path
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+spark.range(3).write.parquet(path := scratch_path(spark, "x"))
+print("ROWS", spark.read.parquet(path).count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd="/root/repo")
+    assert "ROWS 3" in done.stdout
+    assert list((tmp_path / "callmeter").iterdir()) == []
+
+
+def _texts(spark, path):
+    return [spark.read.text(p).first()[0] for p in path]
+
+
+def test_publication_changes_as_a_whole(spark, tmp_path):
+    place = folders.Publication(spark, str(tmp_path / "root"))
+    write = lambda text: lambda path: spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    assert place.current() == {}
+    place.publish({"a": write("a1"), "b": write("b1")})
+    place.publish({"a": None, "b": write("b2")})
+    assert _texts(spark, place.current().values()) == ["a1", "b2"]
+
+    def lost(path):
+        write("half")(path)
+        raise RuntimeError("the writer is lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        place.publish({"a": write("a3"), "b": lost})
+    assert _texts(spark, place.current().values()) == ["a1", "b2"]
+    assert len(folders.names(spark, place.root)) == 5  # what the lost writer left
+    place.publish({"a": write("a4"), "b": None})
+    assert _texts(spark, place.current().values()) == ["a4", "b2"]
+    assert len(folders.names(spark, place.root)) == 3
+
+
+def test_a_lost_move_of_the_pointer_changes_nothing(spark, tmp_path, monkeypatch):
+    place = folders.Publication(spark, str(tmp_path / "root"))
+    write = lambda text: lambda path: spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    place.publish({"a": write("a1")})
+    real = folders._write_text
+
+    def cut(spark, path, text):
+        real(spark, path, text[:5])
+        raise RuntimeError("the writer is lost")
+
+    monkeypatch.setattr(folders, "_write_text", cut)
+    with pytest.raises(RuntimeError, match="lost"):
+        place.publish({"a": write("a2")})
+    assert _texts(spark, place.current().values()) == ["a1"]
+
+
+def test_no_model_without_a_pointer(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    PipelineModel(stages=[]).save(str(tmp_path / "root" / "model-half"))
+    with pytest.raises(FileNotFoundError, match="no complete model"):
+        usage_io.load_model(str(tmp_path / "root"))
