@@ -32,7 +32,9 @@ from callmeter.llm.words import Words, mixed, split_words
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LEAST, LONGEST, SHARE, FIRST = 10, 3, 50, 2000
 #: Bytes of one language that are counted at once; longer texts are cut between words.
-PORTION = 8 << 20
+PORTION = 4 << 20
+#: Words of stripes that are merged at once.
+MERGED_WORDS = 1 << 18
 #: Counts that a part of a stripe receives, about; parts of the empty prefix are 2 to this power.
 PART, EMPTY_PARTS = 1 << 16, 10
 #: Bytes of the table of frequent phrases: eight for each, within these bounds (as powers of two).
@@ -224,7 +226,15 @@ def _merged(least: int, keep_all: bool):
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
+    """The batches in slices of about ``MERGED_WORDS`` words or a single stripe, and an end mark."""
+    for batch in batches:
+        words = np.cumsum(batch.column("counts").value_lengths().to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = words[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(words, before + MERGED_WORDS, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
     yield None
 
 
