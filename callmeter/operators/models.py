@@ -154,28 +154,63 @@ def weighted_resample(
     return df.select("*", F.explode(taken).alias("copy"))
 
 
-#: Equal rows that go to a partition together.
-_TOGETHER = 100
+#: Bytes of a partition of a fit: small ones up to a number of partitions, since fits are heavy on
+#: computing, then as many partitions until they are of the larger size.
+_SMALL_PART, _MANY_PARTS, _LARGE_PART = 1 << 19, 1024, 128 << 20
+
+
+def _parts(size: int) -> int:
+    """How many partitions rows of ``size`` bytes take; nothing but the data decides."""
+    return max(1, min(-(-size // _SMALL_PART), _MANY_PARTS), -(-size // _LARGE_PART))
+
+
+def _content(columns: Sequence[str]) -> Column:
+    """A row's content in 128 bits."""
+    plain = [F.col(c) for c in columns]
+    return F.struct(F.xxhash64(*plain).alias("a"), F.xxhash64(F.lit(1), *plain, F.lit(2)).alias("b"))
+
+
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of a row: eight for each value, and the letters of texts."""
+    letters = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return sum(letters, F.lit(8 * len(df.columns)).cast("long"))
 
 
 def _placed(df: DataFrame, key: str) -> DataFrame:
-    """Rows placed by their content, over all cores, and ordered by key and content.
+    """Rows placed by their content, in partitions sized by the data, ordered by key and content.
 
-    Fits are heavy on computing, so even a small table is worth spreading out. Where a row
-    goes depends on nothing but the row, and rows that share a key, or have none, spread as
-    others do. Equal rows are counted before the shuffle and dealt out in portions.
+    Where a row goes depends on nothing but the row, so that fits do not depend on how the input
+    lay, and rows that share a key, or have none, spread as others do. Rows move once. Counts
+    taken beforehand say how many bytes there are and which contents fill more than half a
+    partition (fewer than two for each partition); those rows are left out of the shuffle and
+    made anew from one copy and their count, in portions of a quarter of a partition at most.
     """
-    spark = df.sparkSession
-    n = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    counted = counted.withColumn("_content", F.xxhash64(*df.columns))
-    portions = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _TOGETHER))
-    dealt = counted.withColumn("_portion", F.explode(portions)).repartition(n, "_content", "_portion")
-    size = F.least(F.lit(_TOGETHER), F.col("_n") - F.col("_portion") * _TOGETHER)
-    placed = dealt.sortWithinPartitions(key, "_content", "_portion")
-    return placed.select(*df.columns, F.explode(F.array_repeat(F.lit(0), size.cast("int"))).alias("_one")).drop("_one")
+    columns = df.columns
+    counted = df.select(_content(columns).alias("_content"), _bytes(df).alias("_bytes"))
+    counted = counted.groupBy("_content").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")).persist()
+    try:
+        size = counted.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+        parts = _parts(size[0])
+        frequent = counted.where((F.col("_bytes") * 2 * parts > size[0]) & (F.col("_n") > 1) & F.lit(parts > 1))
+        heavy = {tuple(r["_content"]): r for r in frequent.collect()}
+    finally:
+        counted.unpersist()
+    rows = df.select("*", _content(columns).alias("_content"), F.lit(0).alias("_portion"), F.lit(1).alias("_copies"))
+    if heavy:
+        spark = df.sparkSession
+        listed = F.array(*(F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in heavy))
+        is_heavy = F.array_contains(listed, F.col("_content"))
+        made = []
+        for row in rows.where(is_heavy).dropDuplicates(["_content"]).collect():
+            found = heavy[tuple(row["_content"])]
+            n, portions = found["_n"], min(parts, found["_n"], -(-4 * parts * found["_bytes"] // size[0]))
+            made += [(*row[: len(columns)], row["_content"], i, n // portions + (i < n % portions)) for i in range(portions)]
+        rows = rows.where(~is_heavy).unionByName(spark.createDataFrame(made, rows.schema))
+    placed = rows.repartitionById(parts, F.pmod(F.col("_content.a") + F.col("_portion"), F.lit(parts)).cast("int"))
+    placed = placed.sortWithinPartitions(key, "_content", "_portion")
+    if not heavy:
+        return placed.select(*columns)
+    return placed.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_one")).drop("_one")
 
 
 def parameter_count(model: PipelineModel) -> int:

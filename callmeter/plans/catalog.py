@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.functions.columns import FOREST_THRESHOLD, decide, sigmoid
+from callmeter.functions.columns import FOREST_THRESHOLD, any_of, decide, sigmoid
 from callmeter.operators import (
     checks,
     clean,
@@ -748,8 +748,9 @@ def rf_fit_score(spark, sf_dir):
 @query(
     sql.statement(
         "prepared",
-        """SELECT count(*) AS val_rows, true AS rounds_in_order, true AS ended_by_rule,
-  true AS best_is_kept FROM prepared WHERE split = 'val'""",
+        """SELECT count(*) FILTER (WHERE split = 'train') AS train_rows,
+  count(*) FILTER (WHERE split = 'val') AS val_rows, true AS rounds_in_order, true AS ended_by_rule,
+  true AS best_is_kept, true AS losses_hold, true AS f1_hold FROM prepared WHERE split <> 'test'""",
     )
 )
 def mlp_early_stop_history(spark, sf_dir):
@@ -760,23 +761,59 @@ def mlp_early_stop_history(spark, sf_dir):
         .select("pos_weight")
         .scalar()
     )
-    val = score.positive_score(rows.filter("split = 'val'"), mlp, "p")
+    # Every figure of the best round, measured anew on the model that was kept.
+    measured = score.positive_score(rows.filter("split != 'test'"), mlp, "p")
     loss = evaluate.row_loss(F.col(LABEL), F.col("p"), weight)
-    best = history.agg(F.min("val_loss")).scalar()
-    rounds = history.agg(
-        F.struct(
-            F.max("round").alias("last"),
-            F.count("*").alias("n"),
-            F.min_by("round", F.struct("val_loss", "round")).alias("best"),
-        )
-    ).scalar()
-    stale = rounds["last"] - rounds["best"]
-    ended = (stale == models.PATIENCE) | ((rounds["n"] == models.ROUNDS) & (stale < models.PATIENCE))
-    return val.agg(F.count("*").alias("val_rows"), F.avg(loss).alias("_loss")).select(
+    best = history.orderBy("val_loss", "round").first()
+    last = history.agg(F.max("round").alias("last"), F.count("*").alias("n")).first()
+    stale = last["last"] - best["round"]
+    ended = stale == models.PATIENCE or (last["n"] == models.ROUNDS and stale < models.PATIENCE)
+    y, guess = F.col(LABEL), decide(F.col("p"))
+    of = lambda part, value: F.when(F.col("split") == part, value)
+    f1 = lambda part: F.try_divide(2 * F.sum(of(part, y * guess)), F.sum(of(part, y)) + F.sum(of(part, guess)))
+    near = lambda figure, name: F.abs(figure - F.lit(best[name])) < 1e-6
+    figures = measured.agg(
+        *[F.count(of(part, 1)).alias(f"{part}_rows") for part in ("train", "val")],
+        *[F.avg(of(part, loss)).alias(f"{part}_loss") for part in ("train", "val")],
+        *[F.coalesce(f1(part), F.lit(0.0)).alias(f"{part}_f1") for part in ("train", "val")],
+    )
+    c = F.col
+    return figures.select(
+        "train_rows",
         "val_rows",
-        (rounds["last"] == rounds["n"]).alias("rounds_in_order"),
-        ended.alias("ended_by_rule"),
-        (F.abs(F.col("_loss") - best) < 1e-6).alias("best_is_kept"),
+        F.lit(last["last"] == last["n"]).alias("rounds_in_order"),
+        F.lit(ended).alias("ended_by_rule"),
+        near(c("val_loss"), "val_loss").alias("best_is_kept"),
+        (near(c("train_loss"), "train_loss") & near(c("val_loss"), "val_loss")).alias("losses_hold"),
+        (near(c("train_f1"), "train_f1") & near(c("val_f1"), "val_f1")).alias("f1_hold"),
+    )
+
+
+@query(
+    sql.statement(
+        "prepared",
+        """SELECT count(*) AS "rows", 4 AS rounds, true AS same_history, true AS same_scores FROM prepared
+WHERE split = 'test'""",
+    )
+)
+def mlp_resumed_fit(spark, sf_dir):
+    """A fit that ended after two rounds and was resumed, beside one that ran through."""
+    train, val = _train(spark, sf_dir), prepared(spark, sf_dir).filter("split = 'val'")
+    small = {"columns": FEATURES, "hidden": (8,), "iterations": 3, "patience": 4}
+    whole, history = models.fit_mlp(train, val, rounds=4, **small)
+    path = scratch_path(spark, "training")
+    models.fit_mlp(train, val, rounds=2, save_best=path, **small)
+    resumed, again = models.fit_mlp(train, val, rounds=4, save_best=path, resume=True, **small)
+    figures = [c for c in history.columns if c != "round"]
+    paired = history.join(again.withColumnsRenamed({c: f"{c}_again" for c in figures}), "round", "full")
+    near = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) < 1e-6, F.lit(False))
+    rounds = paired.agg(F.count("*").alias("n"), F.min(any_of([~near(c, f"{c}_again") for c in figures]) == F.lit(False)).alias("same")).first()
+    scored = score.positive_score(score.positive_score(_test(spark, sf_dir), whole, "p"), resumed, "p_again")
+    return scored.agg(
+        F.count("*").alias("rows"),
+        F.lit(rounds["n"]).cast("int").alias("rounds"),
+        F.lit(rounds["same"]).alias("same_history"),
+        F.min(near("p", "p_again")).alias("same_scores"),
     )
 
 

@@ -165,13 +165,38 @@ def test_fits_do_not_depend_on_partitioning(rows):
     assert scored.filter("abs(a - b) > 1e-9").count() == 0
 
 
-def test_a_hot_key_does_not_fill_one_partition(spark):
-    ids = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    placed = models._placed(ids, "k")
-    sizes = [r["n"] for r in placed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / 8
-    plain = models._placed(spark.range(9000).toDF("k"), "k")
-    assert "_salt" not in plain._jdf.queryExecution().executedPlan().toString()
+def partition_sizes(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+
+
+def test_placement_is_one_shuffle_sized_by_the_data(spark):
+    ids = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(7).alias("k"), F.col("id").alias("x"))
+    placed = models._placed(ids, "k")  # three in four rows share a key
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Aggregate" not in plan
+    sizes = partition_sizes(placed)
+    assert len(sizes) == -(-200_000 * 16 // models._SMALL_PART) and sum(sizes) == 200_000
+    assert max(sizes) < 2 * 200_000 / len(sizes)
+    assert models._placed(ids.limit(100), "k").rdd.getNumPartitions() == 1
+
+
+def test_rows_equal_in_full_are_spread_and_kept(spark):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), F.when(F.col("id") % 4 == 0, F.col("id") % 100).alias("x"), F.lit("text").alias("t")
+    )
+    placed = [models._placed(df, "k") for df in (rows.repartition(2), rows.repartition(7, "x"))]
+    assert placed[0]._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2  # the other is this test's own
+    for df in placed:
+        sizes = partition_sizes(df)
+        assert sum(sizes) == 200_000 and max(sizes) < 2 * 200_000 / len(sizes)
+        assert df.exceptAll(rows).count() == 0
+    where = [df.groupBy(F.spark_partition_id().alias("p"), "k", "x").count() for df in placed]
+    assert where[0].exceptAll(where[1]).count() == 0
+
+
+def test_sizes_of_placements():
+    assert [models._parts(n) for n in (0, 1, 1 << 19, (1 << 19) + 1)] == [1, 1, 1, 2]
+    assert models._parts(10 << 30) == 1024 and models._parts(1 << 40) == 8192
 
 
 def test_stages_from_csv_to_predictions(spark, tmp_path):
