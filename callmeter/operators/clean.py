@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.columns import any_of
 from callmeter.operators.reshape import cell, one_row_per_column
-from callmeter.schema import as_number
+from callmeter.schema import as_finite, as_number
 
 EXTREME_THRESHOLD = 6.0
 CLEAN, ANOMALY, UNKNOWN = "clean", "anomaly", "unknown"
@@ -29,16 +29,10 @@ def fill_zero(df: DataFrame, *, columns: Sequence[str] | None = None) -> DataFra
     return df.fillna(0, subset=list(columns) if columns is not None else None)
 
 
-def _finite(name: str) -> Column:
-    """As double; null for NaN and the infinities, which would leave a column without statistics."""
-    value = F.col(name).cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
-
-
 def _stats_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(
-        *[F.avg(_finite(c)).alias(cell(c, "mean")) for c in columns],
-        *[F.stddev_samp(_finite(c)).alias(cell(c, "stddev")) for c in columns],
+        *[F.avg(as_finite(c)).alias(cell(c, "mean")) for c in columns],
+        *[F.stddev_samp(as_finite(c)).alias(cell(c, "stddev")) for c in columns],
     )
 
 

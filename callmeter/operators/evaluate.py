@@ -17,7 +17,8 @@ from callmeter.functions.columns import (
     POSITIVE_TEXT,
     decide,
 )
-from callmeter.operators.ordered import CELLS, quantile_edges, running_totals, with_cells
+from callmeter.operators.ordered import cell_edges, running_totals, with_cells
+from callmeter.sources.scratch import stored
 
 COUNTS = ("tn", "fp", "fn", "tp")
 
@@ -71,24 +72,24 @@ def _score_totals(
     score: str,
     groups: Sequence[str],
     digits: int | None,
-    cells: int,
+    cells: int | None,
 ) -> DataFrame:
     """Per distinct score, its positives and negatives and those of all smaller scores."""
     judged = _judged(df, label, score).select(
         *groups, F.col(label).alias("_y"), F.col(score).cast("double").alias("score")
     )
+    totals = [F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")]
     if digits is None:
-        marked = with_cells(
-            judged, ["score"], ["_cell"], quantile_edges(judged, ["score"], cells=cells)
-        )
+        # One row per distinct score, stored: the rows behind it are read (and scored) once,
+        # and both the sketch that sizes the cells and the totals start from there.
+        counted = stored(judged.groupBy(*groups, "score").agg(*totals), "score-counts")
+        per_score = with_cells(counted, ["score"], ["_cell"], cell_edges(counted, ["score"], cells=cells))
     else:
         # Rounded probabilities: about a thousand cells, each with at most
         # 10 ** (digits - 3) distinct scores, so no sketch pass is needed.
         rounded = judged.withColumn("score", F.round("score", digits))
         marked = rounded.withColumn("_cell", F.floor(F.col("score") * 1000))
-    per_score = marked.groupBy(*groups, "_cell", "score").agg(
-        F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")
-    )
+        per_score = marked.groupBy(*groups, "_cell", "score").agg(*totals)
     return running_totals(
         per_score, value="score", cell="_cell", amounts=["pos", "neg"], groups=groups
     )
@@ -101,12 +102,12 @@ def roc_auc(
     score: str,
     groups: Sequence[str] = (),
     digits: int | None = None,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """Area under the ROC curve; ties count half, null if only one class is present.
 
     Scores are grouped first and ordered cell by cell, so no task sorts all of them.
-    ``digits`` rounds probabilities beforehand, which saves the pass that sizes the cells.
+    ``digits`` rounds probabilities beforehand, which saves storing the counts by score.
     """
     totals = _score_totals(
         df, label=label, score=score, groups=groups, digits=digits, cells=cells
@@ -123,7 +124,7 @@ def roc_points(
     label: str,
     score: str,
     digits: int | None = None,
-    cells: int = CELLS,
+    cells: int | None = None,
     drop_collinear: bool = False,
 ) -> DataFrame:
     """False and true positive rate at each distinct score taken as threshold.
@@ -255,7 +256,7 @@ def compare(
     score: str,
     thresholds: Mapping[str, float],
     digits: int | None = None,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """F1 at each model's own threshold, and AUC, from rows of ``(model, label, score)``."""
     limit = F.lit(None).cast("double")
@@ -291,7 +292,7 @@ def metrics_row(
     score: str,
     threshold: float = DECISION_THRESHOLD,
     digits: int | None = None,
-    cells: int = CELLS,
+    cells: int | None = None,
     **training: float | int | None,
 ) -> DataFrame:
     """Accuracy, F1 and AUC in one row, to four decimals.

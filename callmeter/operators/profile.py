@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import label_text
-from callmeter.operators.ordered import CELLS, quantile_edges, running_totals, with_cells
+from callmeter.operators.ordered import SKETCH, cell_edges, running_totals, with_cells
 from callmeter.operators.reshape import cell, one_row_per_column
-from callmeter.schema import as_double, as_number
+from callmeter.schema import as_double, as_finite, as_number
 
 QUARTILES = (0.25, 0.5, 0.75)
 QUARTILE_NAMES = ("q1", "median", "q3")
@@ -96,32 +94,100 @@ def correlation(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns, one row per pair.
 
-    Null between a constant column and another. ``handle_invalid='skip'`` leaves out rows that hold
-    a null; the default raises on them. Only the finished matrix (one number per pair of
-    columns) passes through the driver.
+    Null between a constant column and another, or where fewer than two rows count. A missing
+    value is a null or NaN: ``handle_invalid="error"`` raises on one, ``"skip"`` leaves its whole
+    row out, ``"pairwise"`` leaves it out of the pairs of its column alone. An infinite value
+    makes the correlations of its column null.
+
+    Co-moments are plain sums of products, centred on the means that a first aggregate finds, so
+    tasks add them up and one aggregate merges them. A row is turned into one row per column
+    within the scan stage, which keeps the sums few enough for generated code.
     """
-    vectors = VectorAssembler(
-        inputCols=list(columns), outputCol="_vector", handleInvalid=handle_invalid
-    ).transform(df.select(*columns))
-    matrix = Correlation.corr(vectors.select("_vector"), "_vector", "pearson").first()[0]
-    pairs = [
-        (a, b, float(matrix[i, j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ]
-    found = df.sparkSession.createDataFrame(pairs, "col_a string, col_b string, r double")
-    return found.select("col_a", "col_b", F.nanvl("r", F.lit(None)).alias("r"))
+    if handle_invalid not in ("error", "skip", "pairwise"):
+        raise ValueError(f"handle_invalid is 'error', 'skip' or 'pairwise', not {handle_invalid!r}")
+    n = len(columns)
+    plain = df.select(*[as_number(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    if handle_invalid == "skip":
+        plain = plain.dropna()
+    first = plain.agg(
+        F.count("*").alias("rows"),
+        *[f(F.col(f"x{i}")).alias(f"{name}{i}") for i in range(n) for name, f in (("n", F.count), ("mean", F.avg))],
+    ).first()
+    gaps = any(first[f"n{i}"] < first["rows"] for i in range(n))
+    if gaps and handle_invalid == "error":
+        holed = [c for i, c in enumerate(columns) if first[f"n{i}"] < first["rows"]]
+        raise ValueError(f"values are missing in {', '.join(holed)}; skip rows or take pairs")
+    centres = [first[f"mean{i}"] if first[f"mean{i}"] is not None and abs(first[f"mean{i}"]) < float("inf") else 0.0 for i in range(n)]
+    centred = plain.select(F.array(*[F.col(f"x{i}") - F.lit(centres[i]) for i in range(n)]).alias("d"))
+    one = F.col("x")
+    turned = centred.select(*[F.col("d")[i].alias(f"d{i}") for i in range(n)], F.posexplode("d").alias("i", "x")).where(one.isNotNull())
+    others = [F.col(f"d{j}") for j in range(n)]
+    both = [F.when(o.isNotNull(), one) for o in others] if gaps else [one] * n
+    sums = {"sxy": [one * o for o in others]}
+    if gaps:
+        sums |= {"n": [F.when(o.isNotNull(), F.lit(1)) for o in others], "sx": both, "sy": others}
+        sums |= {"sxx": [b * one for b in both], "syy": [o * o for o in others]}
+    co = turned.groupBy("i").agg(*[F.sum(v).alias(f"{name}{j}") for name, values in sums.items() for j, v in enumerate(values)])
+    # One row per column from here on, with its sums against every column.
+    struct = lambda j: F.struct(F.lit(j).alias("j"), *[F.col(f"{name}{j}").cast("double").alias(name) for name in sums])
+    pairs = co.select("i", F.inline(F.array(*[struct(j) for j in range(n)])))
+    if not gaps:
+        # Centred on their own means, columns have no sums, and their squares are on the diagonal.
+        own = pairs.where("i = j").select("i", F.col("sxy").alias("own"))
+        pairs = pairs.join(F.broadcast(own.withColumnRenamed("own", "sxx")), "i")
+        pairs = pairs.join(F.broadcast(own.select(F.col("i").alias("j"), F.col("own").alias("syy"))), "j")
+        pairs = pairs.withColumns({"n": F.lit(float(first["rows"])), "sx": F.lit(0.0), "sy": F.lit(0.0)})
+    c = F.col
+    spread_x, spread_y = c("sxx") - c("sx") * c("sx") / c("n"), c("syy") - c("sy") * c("sy") / c("n")
+    r = (c("sxy") - c("sx") * c("sy") / c("n")) / F.sqrt(spread_x * spread_y)
+    # Rounding leaves a constant column a spread in the last digits of its squares.
+    some = (spread_x > c("sxx") * 1e-13) & (spread_y > c("syy") * 1e-13) & (c("n") > 1)
+    found = F.when(c("i") == c("j"), F.lit(1.0)).when(some, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.nanvl(r, F.lit(None)))))
+    grid = df.sparkSession.createDataFrame(
+        [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns)], "i int, j int, col_a string, col_b string"
+    )
+    solved = pairs.select("i", "j", found.alias("r"))
+    return grid.join(F.broadcast(solved), ["i", "j"], "left").select("col_a", "col_b", "r")
+
+
+def quantile_sketches(df: DataFrame, *, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """A mergeable quantile sketch of the finite values of each column, by group.
+
+    Returns ``by``, ``column``, ``values`` (how many) and ``sketch``. Sketches of parts of a table
+    (days, regions, splits) can be kept and merged later without reading the rows again.
+    """
+    long = df.select(*by, *[as_finite(c).alias(c) for c in columns]).unpivot(list(by), list(columns), "column", "value")
+    return long.groupBy(*by, "column").agg(
+        F.count("value").alias("values"), F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("sketch")
+    )
+
+
+def merged_sketches(sketches: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of parts put together; ``by`` are the groups that stay apart."""
+    return sketches.groupBy(*by, "column").agg(
+        F.sum("values").alias("values"), F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+
+
+def sketched_quantiles(sketches: DataFrame, *, quantiles: Sequence[float]) -> DataFrame:
+    """One row per sketch and quantile, as ``quantile`` and ``value``; null where there are no values."""
+    asked = F.array(*[F.lit(float(q)) for q in quantiles])
+    values = F.when(F.col("values") > 0, F.kll_sketch_get_quantile_double("sketch", asked))
+    keep = [c for c in sketches.columns if c != "sketch"]
+    at = F.posexplode(F.coalesce(values, F.array_repeat(F.lit(None).cast("double"), len(quantiles)))).alias("_at", "value")
+    return sketches.select(*keep, at).select(*keep, F.element_at(asked, F.col("_at") + 1).alias("quantile"), "value")
 
 
 def histogram(df: DataFrame, *, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """Equal-width bins from minimum to maximum of each column, empty bins included.
 
-    Every bin holds its lower border, the last one also the maximum. A constant column
-    gets a range of one around its value. Nulls and NaN are left out.
+    Every bin holds its lower border, the last one also the maximum. Borders come from the finite
+    values; the infinities count in the first and the last bin. A constant column gets a range
+    of one around its value. Nulls and NaN are left out, so is a column without finite values.
     """
     wide = df.agg(
         *[
-            f(as_number(c)).alias(cell(c, m))
+            f(as_finite(c)).alias(cell(c, m))
             for c in columns
             for m, f in (("low", F.min), ("high", F.max))
         ]
@@ -165,13 +231,13 @@ def histogram(df: DataFrame, *, columns: Sequence[str], bins: int = 30) -> DataF
         .filter(value.isNotNull())
         .select(
             "*",
-            F.least(F.floor((value - low) / width).cast("int"), F.lit(bins - 1)).alias("guess"),
+            F.greatest(F.lit(0), F.least(F.floor((value - low) / width), F.lit(bins - 1))).cast("int").alias("guess"),
         )
     )
     # A division can land a value one bin off its border; the borders decide. Column and
     # bin become one number, so the counting hashes integers only.
     guess = F.col("guess")
-    off = F.when(value < low + guess * width, -1).otherwise(
+    off = F.when((guess > 0) & (value < low + guess * width), -1).otherwise(
         ((guess < bins - 1) & (value >= low + (guess + 1) * width)).cast("int")
     )
     counts = guessed.groupBy((F.col("first") + guess + off).alias("slot")).agg(
@@ -222,7 +288,7 @@ def box_stats(
     by: str,
     whisker: float = 1.5,
     approx: bool = False,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """Quartiles, whisker ends and outlier count of each column within each class.
 
@@ -249,7 +315,7 @@ def box_stats(
             )
         )
     else:
-        edges = quantile_edges(source, columns, cells=cells)
+        edges = cell_edges(source, columns, cells=cells)
         values = (
             _values(with_cells(source, columns, marks, edges), columns, marks)
             .groupBy("column", "class", "cell", "value")

@@ -306,6 +306,35 @@ def boxplot_by_class(spark, sf_dir):
     return profile.box_stats(labelled(spark, sf_dir), columns=BOX_COLUMNS, by=LABEL)
 
 
+_QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query(
+    sql.statement(
+        "prepared",
+        "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS "column", CAST({q} AS DOUBLE) AS quantile, count({c}) AS "values", true AS close
+FROM prepared"""
+            for c in BOX_COLUMNS
+            for q in _QUANTILES
+        ),
+    )
+)
+def quantile_sketch_merge(spark, sf_dir):
+    """Quantiles from sketches kept per split and merged; close: the rank is off by 1 % at most."""
+    rows = prepared(spark, sf_dir)
+    kept = scratch_path(spark, "sketches")
+    usage_io.write_usage(profile.quantile_sketches(rows, columns=BOX_COLUMNS, by=["split"]), kept)
+    merged = profile.merged_sketches(usage_io.read_usage(spark, kept))
+    found = profile.sketched_quantiles(merged, quantiles=_QUANTILES)
+    values = rows.select(*[F.col(c).cast("double").alias(c) for c in BOX_COLUMNS]).unpivot([], BOX_COLUMNS, "column", "v")
+    # One row per column and quantile asked for goes to every task.
+    ranks = values.join(F.broadcast(found), "column").groupBy("column", "quantile", "values")
+    ranks = ranks.agg(F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    close = (F.col("below") <= F.col("quantile") + 0.01) & (F.col("upto") >= F.col("quantile") - 0.01)
+    return ranks.select("column", "quantile", "values", close.alias("close"))
+
+
 # --- Cleaning ------------------------------------------------------------------------
 
 

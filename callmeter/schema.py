@@ -83,3 +83,9 @@ def as_number(name: str) -> Column:
     """As double, with NaN counted as missing."""
     value = as_double(name)
     return F.when(~F.isnan(value), value)
+
+
+def as_finite(name: str) -> Column:
+    """As double, with NaN and the infinities counted as missing."""
+    value = as_double(name)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from callmeter.sources import folders
 
@@ -36,3 +36,10 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         folders.remove_at_end(spark, mine)
         _ANNOUNCED.add(mine)
     return f"{mine}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to a fresh scratch folder and read it back: what made it runs once."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -158,3 +158,21 @@ def test_running_totals_match_brute_force(spark):
 def test_sigmoid(spark):
     rows = spark.createDataFrame([(0.0,), (800.0,), (-800.0,)], "x double")
     assert [r[0] for r in rows.select(sigmoid(F.col("x"))).collect()] == [0.5, 1.0, 0.0]
+
+
+def test_infinite_scores_are_ordered(spark):
+    inf = float("inf")
+    rows = [(0, -inf), (0, -3.0), (1, -3.0), (0, 0.5), (1, 2.0), (1, inf), (1, inf)]
+    df = spark.createDataFrame(rows, "y int, p double")
+    won = sum((p > n) + (p == n) / 2 for y, p in rows if y for z, n in rows if not z)
+    assert math.isclose(evaluate.roc_auc(df, label="y", score="p", cells=5).first()["auc"], won / 12)
+    points = {r["threshold"]: (r["fpr"], r["tpr"]) for r in evaluate.roc_points(df, label="y", score="p").collect()}
+    assert points[inf] == (0.0, 0.5) and points[-inf] == (1.0, 1.0)
+
+
+def test_rows_are_read_once_for_any_score(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    spark.range(5000).select((F.col("id") % 2).alias("y"), F.rand(1).alias("p")).write.parquet(path)
+    totals = evaluate.roc_auc(spark.read.parquet(path), label="y", score="p")
+    files = totals.inputFiles()
+    assert files and all("score-counts" in f and path not in f for f in files)

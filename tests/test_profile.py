@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from callmeter.operators import profile
 
@@ -116,3 +117,81 @@ def test_class_distribution_is_ordered(numbers):
         False,
         True,
     ]
+
+
+def test_correlation_against_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e6, 1, (500, 4))
+    x[:, 1] += x[:, 0]
+    x[:, 3] = 7.25
+    holes = rng.random((500, 4)) < 0.2
+    names = ["a", "b", "c", "d"]
+    rows = [tuple(None if h else float(v) for v, h in zip(r, hr)) for r, hr in zip(x, holes)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    kept = {
+        "skip": lambda i, j: ~holes.any(1),
+        "pairwise": lambda i, j: ~holes[:, i] & ~holes[:, j],
+    }
+    for mode, mask in kept.items():
+        found = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation(df, columns=names, handle_invalid=mode).collect()}
+        assert len(found) == 16
+        for i, a in enumerate(names):
+            for j, b in enumerate(names):
+                m = mask(i, j)
+                if i == j:
+                    assert found[a, b] == 1.0
+                elif 3 in (i, j):
+                    assert found[a, b] is None
+                else:
+                    assert math.isclose(found[a, b], np.corrcoef(x[m, i], x[m, j])[0, 1], abs_tol=1e-9)
+    with pytest.raises(ValueError, match="missing in a, b, c, d"):
+        profile.correlation(df, columns=names)
+
+
+def test_co_moments_are_one_aggregate(numbers):
+    found = profile.correlation(numbers.select("x", "y").dropna(), columns=["x", "y"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "DeserializeToObject" not in plan
+
+
+def test_histogram_with_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (-inf, 0.0, 1.0, 2.0, 4.0, inf, inf, float("nan"), None)], "x double")
+    found = profile.histogram(df, columns=["x"], bins=4).orderBy("bin").collect()
+    assert [(r["bin_start"], r["count"]) for r in found] == [(0.0, 2), (1.0, 1), (2.0, 1), (3.0, 3)]
+    none = df.where("x = double('inf')")
+    assert profile.histogram(none, columns=["x"], bins=4).collect() == []
+
+
+def test_box_stats_with_infinities(spark):
+    inf = float("inf")
+    rows = [(float(v), True) for v in range(101)] + [(inf, True), (-inf, True)]
+    found = profile.box_stats(spark.createDataFrame(rows, "x double, y boolean"), columns=["x"], by="y", cells=7).first()
+    assert (found["median"], found["count"], found["outliers"]) == (50.0, 103, 2)
+    assert (found["whisker_low"], found["whisker_high"]) == (0.0, 100.0)
+
+
+def test_sketches_merge(spark):
+    df = spark.range(20_000).select((F.col("id") % 4).alias("day"), F.col("id").cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    parts = profile.quantile_sketches(df, columns=["x", "y"], by=["day"])
+    assert parts.count() == 8
+    found = profile.sketched_quantiles(profile.merged_sketches(parts), quantiles=[0.1, 0.5, 0.9]).collect()
+    got = {(r["column"], r["quantile"]): (r["values"], r["value"]) for r in found}
+    for q in (0.1, 0.5, 0.9):
+        assert got["x", q][0] == 20_000 and abs(got["x", q][1] - q * 20_000) < 0.002 * 20_000
+        assert got["y", q] == (0, None)
+
+
+def test_cells_follow_the_values_and_end_at_infinity(spark):
+    from callmeter.operators import ordered
+
+    inf = float("inf")
+    df = spark.range(10_000).select((F.col("id") % 5000).cast("double").alias("x"))
+    edges = ordered.cell_edges(df, ["x"])
+    assert 8 <= len(edges[0]) + 1 <= 11  # 5,000 values, 512 of them to a cell, by sketch
+    odd = spark.createDataFrame([(-inf,), (-1.0,), (9999.0,), (inf,)], "x double")
+    cells = [r["c"] for r in ordered.with_cells(odd, ["x"], ["c"], edges).orderBy("x").collect()]
+    assert cells == [-1, 0, len(edges[0]), len(edges[0]) + 1]
+    assert ordered.cell_edges(df.select(F.lit(inf).alias("x")), ["x"]) == [[]]
