@@ -22,6 +22,7 @@ piece mark in a text is spelled in bytes, so decoding gives back every text exac
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
@@ -40,7 +41,9 @@ MARK = "▁"
 #: Texts longer than this are cut into chunks of this many characters.
 CHUNK = 32_768
 #: Units that a worker remembers (twice as many while older ones are at hand), and pairs of pieces.
-_CACHE, _PAIRS = 150_000, 300_000
+_CACHE, _PAIRS = 120_000, 300_000
+#: Numbers of characters that are no pieces start here; a pair's key holds two numbers of so many bits.
+_OTHER, _BITS = 1 << 21, 22
 
 
 class Solved(dict):
@@ -83,7 +86,9 @@ class Pieces:
     before: set[str] = field(default_factory=set)
     tails: dict[str, int] = field(default_factory=dict)
     heads: dict[str, int] = field(default_factory=dict)
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    halves: dict[str, tuple[str, str] | None] = field(default_factory=dict)
+    odd: set[str] = field(default_factory=set)
+    pairs: dict[int, bool] = field(default_factory=dict)
     solved: Solved = field(init=False)
 
     def __post_init__(self) -> None:
@@ -95,8 +100,14 @@ class Pieces:
         self.behind = {y for x, y in joined if y in self.marks and x != " " and x not in self.marks}
         self.before = {x for x, y in joined if x in self.marks and y not in self.marks}
         for p in self.ids:
+            if len(p) > 1 and (two := self.last_merge(p)):
+                self.halves[p] = two
             self.tails[p[-2:]] = max(self.tails.get(p[-2:], 1), len(p))
             self.heads[p[:3]] = max(self.heads.get(p[:3], 1), len(p))
+        # Pieces with a part that scores worse than the whole: what they are made of does not follow from scores.
+        for p in sorted(self.halves, key=len):
+            if any(x in self.odd or self.scores[x] <= self.scores[p] for x in self.halves[p] if len(x) > 1):
+                self.odd.add(p)
         m, left, right = (re.escape("".join(sorted(x))) for x in (self.marks, self.behind, self.before))
         word = rf"(?:[^ \n{m}]+|[{m}]+)"
         more = (rf"(?<![ {m}])[{left}][{m}]*" if left else "(?!)") + "|" + (rf"(?<=[{right}])[^ \n{m}]+" if right else "(?!)")
@@ -104,26 +115,71 @@ class Pieces:
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: the best-scored neighbours first, the left one of equals."""
-        parts, scores, never = list(text), self.scores, -np.inf
+        return self._merges(text)[0]
+
+    def _merges(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """The parts that are left, and the two that were merged last."""
+        parts, scores, never, last = list(text), self.scores, -np.inf, None
         ways = [scores.get(x + y, never) for x, y in zip(parts, parts[1:], strict=False)]
         while ways and (best := max(ways)) != never:
             i = ways.index(best)
+            last = parts[i], parts[i + 1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del ways[i]
             for k in range(max(i - 1, 0), min(i + 1, len(ways))):
                 ways[k] = scores.get(parts[k] + parts[k + 1], never)
-        return parts
+        return parts, last
+
+    def last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that become the piece in the end; none if merging does not lead to it."""
+        parts, last = self._merges(piece)
+        return last if parts == [piece] else None
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether merging the text of two pieces never joins what meets at their border.
+
+        Goes back in time from the whole pieces: the one with the lower score was made later (of
+        equals the right one), so before that its part at the border stood there. Two parts that
+        met there would have been merged if that scores better than what happened next; of equal
+        scores the left place comes first.
+        """
+        scores, halves, never = self.scores, self.halves, -np.inf
+        if any(len(x) > 1 and x not in halves for x in (left, right)):
+            return False
+        if left in self.odd or right in self.odd:
+            return self.merged(left + right) == [left, right]
+        following, on_right = never, False
+        while True:
+            crossing = scores.get(left + right, never)
+            if crossing > following or (on_right and crossing == following):
+                return False
+            x, y = halves.get(left), halves.get(right)
+            if x is None and y is None:
+                return True
+            on_right = x is None or (y is not None and scores[right] <= scores[left])
+            if on_right:
+                following, right = scores[right], y[0]
+            else:
+                following, left = scores[left], x[1]
 
     def together(self, left: str, right: str) -> bool:
         """Whether two pieces may stand side by side; nothing may stand left of a unit's first."""
-        key = left, right
+        key = self.number(left) << _BITS | self.number(right)
         found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > _PAIRS:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
+        return self.paired(key, left, right) if found is None else found
+
+    def paired(self, key: int, left: str, right: str) -> bool:
+        if len(self.pairs) > _PAIRS:
+            self.pairs.clear()
+        found = self.apart(left, right) if left else len(right) == 1 or right in self.halves
+        self.pairs[key] = found
         return found
 
+    def number(self, piece: str) -> int:
+        """Id of a piece, a number beyond them for another character, 0 for nothing."""
+        found = self.ids.get(piece)
+        return found if found is not None else _OTHER + ord(piece) if piece else 0
+
     def is_cut(self, text: str, p: int) -> bool:
         """Whether a unit begins at place ``p`` of a text."""
         if p == 0:
@@ -183,28 +239,35 @@ def solve(unit: str, pieces: Pieces) -> list[int]:
     leads nowhere is never entered again. Longer pieces are tried first.
     """
     ids, heads, pairs = pieces.ids, pieces.heads, pieces.pairs
-    size, at, left = len(unit), 0, ""
-    path: list[str] = []
+    size, at, left, before = len(unit), 0, 0, ""
+    path: list[tuple[int, str]] = []
     closed: set[int] = set()
     n = min(size, heads.get(unit[:3], 2))
     while at < size:
         while n:
             piece = unit[at : at + n]
-            if (n == 1 or piece in ids) and at + n not in closed:
-                good = pairs.get((left, piece))
-                if good or (good is None and pieces.together(left, piece)):
+            i = ids.get(piece)
+            if i is None and n == 1:
+                i = _OTHER + ord(piece)
+            if i is not None and at + n not in closed:
+                key = left << _BITS | i
+                good = pairs.get(key)
+                if good or (good is None and pieces.paired(key, before, piece)):
                     break
             n -= 1
         if n:
-            path.append(piece)
-            at, left = at + n, piece
+            path.append((i, piece))
+            at, left, before = at + n, i, piece
             n = min(size - at, heads.get(unit[at : at + 3], 2))
         else:
             closed.add(at)
-            n = len(path.pop())
-            at, left = at - n, path[-1] if path else ""
+            n = len(path.pop()[1])
+            at -= n
+            left, before = path[-1] if path else (0, "")
             n -= 1
-    return _ids(path, pieces)
+    if max(path)[0] < _OTHER:
+        return [i for i, _ in path]
+    return _ids([piece for _, piece in path], pieces)
 
 
 def encode(units: list[str], pieces: Pieces) -> bytes:
@@ -338,6 +401,14 @@ def trace(text: str, border: int, before: State, after: State, pieces: Pieces) -
 
 def _encoded(pieces, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What is remembered holds no cycles; looking through it for some would cost a third of the time.
+        gc.disable()
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             packed = [None if t is None else encode(pieces.value.units.findall(" " + t), pieces.value) for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, _int_lists(packed)], [*batch.schema.names, "ids"])
