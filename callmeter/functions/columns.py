@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Risk tiers by upper bound (exclusive; the last has none), with wording.
@@ -91,6 +91,17 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("||", *texts), 256)
 
 
+def content_digest(df: DataFrame) -> Column:
+    """A row's content in 128 bits: two hashes of its values and of which of them are missing.
+
+    Values that group together have one digest: 0.0 and -0.0 do, and a null is no other value.
+    """
+    floats = {c for c, kind in df.dtypes if kind in ("float", "double")}
+    values = [F.col(c) + F.lit(0.0) if c in floats else F.col(c) for c in df.columns]
+    missing = F.array(*[F.col(c).isNull() for c in df.columns])
+    return F.struct(*[F.xxhash64(F.lit(i), missing, *values).alias(name) for i, name in enumerate(("a", "b"))])
+
+
 def hash_text(key: Column, *, seed: int) -> Column:
     """SHA-256, in hex, of ``seed`` and ``key``.
 

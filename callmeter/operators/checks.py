@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.schema import FEATURES, LABEL, RATIOS, SPLITS
+from callmeter.schema import FEATURES, LABEL, RATIOS, SPLITS, as_number
 
 # What the checks accept.
 MIN_ROWS = 1000
@@ -45,8 +45,10 @@ def run_checks(
 ) -> DataFrame:
     """All checks on a table with a ``split`` column: one grouping by split.
 
-    Returns ``(check, dataset, observed, bound, passed)``. A column that is missing is
-    counted as such rather than raising.
+    Returns ``(check, dataset, observed, bound, passed)`` for each check of each split that is
+    expected, and of others that are there. A split without rows fails all its checks, and so do
+    comparisons with it. A column that is missing is counted as such rather than raising; NaN is
+    a missing value like null.
     """
     kinds = dict(df.dtypes)
     present = [c for c in features if c in kinds]
@@ -54,7 +56,8 @@ def run_checks(
     y = F.col(label) if label in kinds else F.lit(None).cast("int")
     # Faults are added up within the row, so each kind needs one counter only.
     marks = lambda conditions: sum((c.cast("int") for c in conditions), F.lit(0))
-    gaps = marks(F.col(c).isNull() for c in present)
+    value = lambda c: as_number(c) if c in numeric else F.col(c)
+    gaps = marks(value(c).isNull() for c in present)
     infinite = marks(
         F.coalesce(F.abs(F.col(c)) == F.lit(float("inf")), F.lit(False))
         for c in RATIOS
@@ -67,10 +70,13 @@ def run_checks(
         F.count_if(y.isNull() | ~y.isin(0, 1)).alias("bad_labels"),
         F.avg(y).alias("rate"),
         F.sum(infinite).alias("infinite"),
-        *[F.stddev_samp(c).alias(f"std_{c}") for c in measured],
-        *[F.avg(c).alias(f"mean_{c}") for c in measured],
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in measured],
+        *[F.stddev_samp(as_number(c)).alias(f"std_{c}") for c in measured],
+        *[F.avg(as_number(c)).alias(f"mean_{c}") for c in measured],
+        *[F.count_if(as_number(c).isNull()).alias(f"null_{c}") for c in measured],
     )
+    # What is expected stands on the left, so an absent split is seen.
+    expected = df.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
+    per_split = expected.join(per_split, "split", "full").fillna(0, subset=["rows"])
     here = F.col("split")
     in_range = lambda c, bounds: c.between(*bounds)
     split_checks = [
@@ -107,8 +113,8 @@ def run_checks(
     share = F.try_divide(train, train + val + test)
     all_splits = F.lit("all")
     whole_checks = [
-        _check("train_minus_val", all_splits, train - val, "> 0", train > val),
-        _check("train_minus_test", all_splits, train - test, "> 0", train > test),
+        _check("train_minus_val", all_splits, train - val, "> 0", (train > val) & (val > 0)),
+        _check("train_minus_test", all_splits, train - test, "> 0", (train > test) & (test > 0)),
         _check(
             "train_share",
             all_splits,
@@ -140,8 +146,8 @@ def run_checks(
 
 
 def score_checks(df: DataFrame, *, scores: Sequence[str]) -> DataFrame:
-    """Every score present and a probability: counted in one aggregate."""
-    bad = lambda c: F.count_if(F.col(c).isNull() | ~F.col(c).between(0, 1))
+    """Every score present (no null, no NaN) and a probability: counted in one aggregate."""
+    bad = lambda c: F.count_if(as_number(c).isNull() | ~as_number(c).between(0, 1))
     wide = df.agg(*[bad(c).alias(c) for c in scores])
     return wide.select(
         F.inline(

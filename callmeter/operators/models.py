@@ -23,11 +23,12 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.functions.columns import DECISION_THRESHOLD, decide, hash_number
+from callmeter.functions.columns import DECISION_THRESHOLD, content_digest, decide, hash_number
 from callmeter.operators.evaluate import row_loss
 from callmeter.operators.reshape import cell, one_row_per_column
 from callmeter.schema import KEY, LABEL
 from callmeter.sources.folders import Publication
+from callmeter.sources.scratch import scratch_path
 
 # Widths of the network's hidden layers, rounds, patience, weight factor.
 HIDDEN = (128, 64, 32)
@@ -164,12 +165,6 @@ def _parts(size: int) -> int:
     return max(1, min(-(-size // _SMALL_PART), _MANY_PARTS), -(-size // _LARGE_PART))
 
 
-def _content(columns: Sequence[str]) -> Column:
-    """A row's content in 128 bits."""
-    plain = [F.col(c) for c in columns]
-    return F.struct(F.xxhash64(*plain).alias("a"), F.xxhash64(F.lit(1), *plain, F.lit(2)).alias("b"))
-
-
 def _bytes(df: DataFrame) -> Column:
     """Bytes of a row: eight for each value, and the letters of texts."""
     letters = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
@@ -186,7 +181,7 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
     made anew from one copy and their count, in portions of a quarter of a partition at most.
     """
     columns = df.columns
-    counted = df.select(_content(columns).alias("_content"), _bytes(df).alias("_bytes"))
+    counted = df.select(content_digest(df).alias("_content"), _bytes(df).alias("_bytes"))
     counted = counted.groupBy("_content").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")).persist()
     try:
         size = counted.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()
@@ -195,7 +190,7 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
         heavy = {tuple(r["_content"]): r for r in frequent.collect()}
     finally:
         counted.unpersist()
-    rows = df.select("*", _content(columns).alias("_content"), F.lit(0).alias("_portion"), F.lit(1).alias("_copies"))
+    rows = df.select("*", content_digest(df).alias("_content"), F.lit(0).alias("_portion"), F.lit(1).alias("_copies"))
     if heavy:
         spark = df.sparkSession
         listed = F.array(*(F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in heavy))
@@ -404,4 +399,9 @@ def fit_forest(
     assembler = VectorAssembler(
         inputCols=list(columns), outputCol="features_rf", handleInvalid="error"
     )
-    return Pipeline(stages=[assembler, forest]).fit(ready)
+    fitted = Pipeline(stages=[assembler, forest]).fit(ready)
+    # What comes back is read from files: the summary of a fit holds on to the session, which
+    # cannot go to tasks any more once a write of that session has been observed.
+    path = scratch_path(train.sparkSession, "forest")
+    fitted.save(path)
+    return PipelineModel.load(path)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions.columns import label_text
+from callmeter.functions.columns import content_digest, label_text
 from callmeter.operators.ordered import SKETCH, cell_edges, running_totals, with_cells
 from callmeter.operators.reshape import cell, one_row_per_column
 from callmeter.schema import as_double, as_finite, as_number
@@ -72,12 +72,12 @@ def nulls(df: DataFrame) -> DataFrame:
 
 
 def duplicates(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and their difference, in one grouping over all columns.
+    """Rows, distinct rows and their difference, in one grouping by content.
 
-    Copies are counted before the shuffle, so a row repeated a billion times is shuffled
-    once per task.
+    Rows are grouped by 128-bit digests, so 16 bytes of a row are shuffled whatever its width, and
+    copies are counted before: a row repeated a billion times is shuffled once per task.
     """
-    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    distinct = df.groupBy(content_digest(df).alias("content")).agg(F.count("*").alias("copies"))
     return distinct.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
         F.count("*").alias("distinct_rows"),

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callmeter.functions.columns import (
     DECISION_THRESHOLD,
@@ -17,10 +18,30 @@ from callmeter.functions.columns import (
     risk_action,
     risk_tier,
 )
+from callmeter.schema import as_finite
 
 PROBABILITY = {"mlp": "mlp_prob", "rf": "rf_prob"}
 
 
+def blockers(columns: Sequence[str]) -> Column:
+    """Names of the columns that keep a row from being scored: null, NaN or infinite."""
+    bad = [F.when(as_finite(c).isNull(), F.lit(c)) for c in columns]
+    return F.filter(F.array(*bad), lambda name: name.isNotNull())
+
+
+def route(df: DataFrame, path: str, *, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows fit for scoring, and the others with the columns that stop them as ``blocked_by``.
+
+    One pass writes both below ``path``; each side is then read from its own files.
+    """
+    marked = df.withColumn("blocked_by", blockers(columns)).withColumn("scorable", F.size("blocked_by") == 0)
+    marked.write.partitionBy("scorable").parquet(path)
+    kind = T.StructType([*marked.schema.fields])
+    routed = df.sparkSession.read.schema(kind).parquet(path)
+    fit, unfit = (routed.where(F.col("scorable") == side).drop("scorable") for side in (True, False))
+    return fit.drop("blocked_by"), unfit
+
+
 def positive_score(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
     """Add the probability of class 1 as column ``name``; the model's own columns go."""
     scored = model.transform(df)

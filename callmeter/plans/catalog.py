@@ -22,10 +22,12 @@ from callmeter.operators import (
 from callmeter.plans import oracle as sql
 from callmeter.plans.usage_table import (
     flagged,
+    incomplete,
     labelled,
     prepare,
     prepared,
     records,
+    source_state,
     usage,
     written,
 )
@@ -40,7 +42,7 @@ from callmeter.schema import (
     RECORD,
     USAGE_SCHEMA,
 )
-from callmeter.sources import usage_io
+from callmeter.sources import folders, usage_io
 from callmeter.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +121,10 @@ def parquet_partitioned_by_split(spark, sf_dir):
   {sql.as_spark_rounds('(score + score_b) / 2', 4)} AS ensemble_prob,
   CASE WHEN (score + score_b) / 2 < 0.25 THEN 'low' WHEN (score + score_b) / 2 < 0.45 THEN 'moderate'
     WHEN (score + score_b) / 2 < 0.65 THEN 'high' ELSE 'critical' END AS risk_level,
+  CASE WHEN (score + score_b) / 2 < 0.25 THEN 'No action needed'
+    WHEN (score + score_b) / 2 < 0.45 THEN 'Watch: monthly follow-up'
+    WHEN (score + score_b) / 2 < 0.65 THEN 'Targeted retention offer'
+    ELSE 'Priority contact: urgent personal offer' END AS action,
   CAST((score + score_b) / 2 >= 0.4 AS INT) AS predicted
 FROM scored""",
     )
@@ -134,47 +140,103 @@ def predictions_csv_roundtrip(spark, sf_dir):
     table = score.round_scores(table, scores=[*both, "ensemble_prob"])
     path = scratch_path(spark, "predictions")
     usage_io.write_csv(table.select(*PREDICTION_SCHEMA.names), path)
-    return usage_io.read_usage_csv(spark, path, schema=PREDICTION_SCHEMA).drop("action")
+    return usage_io.read_usage_csv(spark, path, schema=PREDICTION_SCHEMA)
+
+
+def _sizes(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files and bytes as the file system lists them."""
+    lengths = [length for length, _ in folders.files(spark, path).values()]
+    return len(lengths), sum(lengths)
 
 
 @query(
     sql.statement(
         "usage",
-        """SELECT count(*) AS csv_rows, count(*) AS parquet_rows, true AS files_found,
-  true AS ratio_agrees FROM usage""",
+        """SELECT count(*) AS csv_rows, count(*) AS parquet_rows, true AS sizes_agree,
+  true AS gain_agrees FROM usage""",
     )
 )
 def storage_report(spark, sf_dir):
-    report = usage_io.storage_report(
-        records(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
-    )
+    path = scratch_path(spark, "storage")
+    report = usage_io.storage_report(records(spark, sf_dir).select(*RECORD), path)
+    (csv_files, csv_bytes), (files, size) = _sizes(spark, f"{path}/csv"), _sizes(spark, f"{path}/parquet")
+    c = F.col
+    listed = (c("csv_files") == csv_files) & (c("csv_bytes") == csv_bytes) & (c("parquet_files") == files)
     return report.select(
         "csv_rows",
         "parquet_rows",
-        ((F.col("csv_files") > 0) & (F.col("parquet_files") > 0)).alias("files_found"),
-        (
-            F.abs(F.col("size_ratio") * F.col("parquet_bytes") - F.col("csv_bytes")) < 1
-        ).alias("ratio_agrees"),
+        (listed & (c("parquet_bytes") == size) & F.lit(files > 0)).alias("sizes_agree"),
+        (F.abs(c("size_gain_pct") - (100 - 100 * size / csv_bytes)) < 1e-9).alias("gain_agrees"),
     )
 
 
 @query(
     sql.statement(
         "usage",
-        """SELECT 6 AS lines, 'Dataset: ' || count(*) || ' rows' AS dataset_line FROM usage""",
+        """SELECT CAST(unnest(range(1, 7)) AS INT) AS line, unnest(['CSV vs PARQUET (Snappy)', 'Dataset: ' || n || ' rows',
+  'as listed', 'as listed', 'as listed', 'Compression: Snappy']) AS text FROM (SELECT count(*) AS n FROM usage)""",
     )
 )
 def storage_text(spark, sf_dir):
-    report = usage_io.storage_report(
-        records(spark, sf_dir).select(*RECORD), scratch_path(spark, "storage")
+    """The report's lines; those on sizes read "as listed" if they are what the file system says."""
+    path, text = scratch_path(spark, "storage"), scratch_path(spark, "storage-text")
+    report = usage_io.storage_report(records(spark, sf_dir).select(*RECORD), path)
+    usage_io.storage_text(report).coalesce(1).write.text(text)
+    (csv_files, csv_bytes), (files, size) = _sizes(spark, f"{path}/csv"), _sizes(spark, f"{path}/parquet")
+    listed = [
+        f"CSV: {csv_bytes / 1024:.1f} KiB in {csv_files} files",
+        f"Parquet: {size / 1024:.1f} KiB in {files} files",
+        f"Size gain: {100 - 100 * size / csv_bytes:.1f}% (ratio {csv_bytes / size:.1f}x)",
+    ]
+    line = F.col("line")
+    wanted = F.when(line == 3, listed[0]).when(line == 4, listed[1]).when(line == 5, listed[2])
+    # Six lines of one small file.
+    lines = spark.read.text(text, wholetext=True).select(F.posexplode(F.split(F.trim("value"), "\n")).alias("at", "value"))
+    lines = lines.where("value <> ''").select((F.col("at") + 1).alias("line"), "value")
+    return lines.select("line", F.when(F.col("value") == wanted, "as listed").otherwise(F.col("value")).alias("text"))
+
+
+_BAD_CELL, _SHORT, _QUOTE = "account_id % 97 = 0", "account_id % 101 = 0", "account_id % 103 = 0"
+
+
+def _faulty_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The records as CSV lines, some with a word for a number, without their last cells, or with an open quote."""
+    rows = records(spark, sf_dir)
+    cell = lambda c: F.when(F.expr(_BAD_CELL), F.lit("many")) if c in ("day_mins", "eve_calls") else F.lit(None)
+    cells = F.array(*[F.coalesce(cell(c), F.col(c).cast("string")) for c in RECORD])
+    line = F.array_join(F.when(F.expr(_SHORT), F.slice(cells, 1, len(RECORD) - 2)).otherwise(cells), ",")
+    path = scratch_path(spark, "faulty-csv")
+    rows.select(F.when(F.expr(_QUOTE), F.concat(F.lit('"'), line)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@query(
+    sql.statement(
+        "usage",
+        f"""SELECT fault, count(*) AS "rows" FROM (
+  SELECT '{usage_io.BAD_RECORD}' AS fault FROM usage WHERE {_SHORT} OR {_QUOTE}
+  UNION ALL SELECT unnest(['day_mins', 'eve_calls']) FROM usage WHERE {_BAD_CELL} AND NOT ({_SHORT} OR {_QUOTE})
+) GROUP BY fault""",
     )
-    path = scratch_path(spark, "storage-text")
-    usage_io.storage_text(report).write.text(path)
-    lines = spark.read.text(path)
-    return lines.agg(
-        F.count("*").cast("int").alias("lines"),
-        F.max(F.when(F.col("value").startswith("Dataset"), F.col("value"))).alias("dataset_line"),
+)
+def csv_rejects(spark, sf_dir):
+    """Rejected rows by fault, from the rejects that a conversion leaves behind."""
+    out = scratch_path(spark, "converted")
+    usage_io.convert_csv(spark, _faulty_lines(spark, sf_dir), out, schema=USAGE_SCHEMA, header=False)
+    left = usage_io.read_usage(spark, f"{out}_rejects")
+    return usage_io.reject_counts(left.withColumnRenamed("faults", usage_io.FAULTS))
+
+
+@query(
+    sql.statement(
+        "usage",
+        f"""SELECT {', '.join(RECORD)} FROM usage WHERE NOT ({_BAD_CELL} OR {_SHORT} OR {_QUOTE})""",
     )
+)
+def csv_good_rows(spark, sf_dir):
+    out = scratch_path(spark, "converted")
+    usage_io.convert_csv(spark, _faulty_lines(spark, sf_dir), out, schema=USAGE_SCHEMA, header=False)
+    return usage_io.read_usage(spark, out)
 
 
 # --- Profiling -----------------------------------------------------------------------
@@ -711,8 +773,8 @@ _FITTED: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
-    """What ``fit`` returns for the train and validation rows, once per application."""
-    place = (spark.sparkContext.applicationId, sf_dir, name)
+    """What ``fit`` returns for the train and validation rows, once per application and state of the source."""
+    place = (spark.sparkContext.applicationId, sf_dir, source_state(spark, sf_dir), name)
     if place not in _FITTED:
         rows = prepared(spark, sf_dir)
         _FITTED[place] = fit(rows.filter("split = 'train'"), rows.filter("split = 'val'"))
@@ -735,7 +797,7 @@ def model_scores(
 ) -> DataFrame:
     """Test rows with a model's probability as ``p``, scored once and stored."""
     build = lambda: score.positive_score(_test(spark, sf_dir), model, "p").select(KEY, LABEL, "p")
-    return written(spark, sf_dir, f"{name}-scores", build)
+    return written(spark, sf_dir, f"{name}-scores-{model.uid}", build)
 
 
 def _fit_figures(scored: DataFrame, size: int) -> DataFrame:
@@ -1237,13 +1299,14 @@ def score_vs_actual(spark, sf_dir):
 # --- Checks --------------------------------------------------------------------------
 
 
-def _checks_sql() -> str:
+def _checks_sql(source: str = "prepared") -> str:
+    """All checks of each expected split; a split without rows has no figures and fails."""
     varies = [*checks.POSITIVE_MEAN, "total_mins"]
     entry = lambda name, value, bound, passed: (
-        f"('{name}', CAST({value} AS DOUBLE), '{bound}', {passed})"
+        f"('{name}', CAST({value} AS DOUBLE), '{bound}', coalesce({passed}, false))"
     )
     entries = [
-        entry("rows", "n", ">= 1000", "n >= 1000"),
+        entry("rows", "coalesce(n, 0)", ">= 1000", "n >= 1000"),
         entry("feature_nulls", "nulls", "= 0", "nulls = 0"),
         entry("labels_not_0_or_1", "bad", "= 0", "bad = 0"),
         entry("positive_rate", "round(rate, 6)", "0.05 to 0.30", "rate BETWEEN 0.05 AND 0.30"),
@@ -1257,39 +1320,52 @@ def _checks_sql() -> str:
             for c in checks.POSITIVE_MEAN
         ],
     ]
+    number = lambda c: f"CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END"
     ratios = " + ".join(f"CAST(isinf({c}) AS INT)" for c in DERIVED[3:])
     per_split = f"""SELECT split, count(*) AS n,
-    {' + '.join(f'(count(*) - count({c}))' for c in FEATURES)} AS nulls,
+    {' + '.join(f'(count(*) - count({number(c)}))' for c in FEATURES)} AS nulls,
     count(*) FILTER (WHERE churn IS NULL OR churn NOT IN (0, 1)) AS bad, avg(churn) AS rate,
     sum({ratios}) AS inf,
-    {', '.join(f'stddev_samp({c}) AS s_{c}, avg({c}) AS m_{c}, count({c}) AS n_{c}' for c in varies)}
-  FROM prepared GROUP BY split"""
-    sizes = """SELECT count(*) FILTER (WHERE split = 'train') AS tr,
+    {', '.join(f'stddev_samp({number(c)}) AS s_{c}, avg({number(c)}) AS m_{c}, count({number(c)}) AS n_{c}' for c in varies)}
+  FROM {source} GROUP BY split"""
+    sizes = f"""SELECT count(*) FILTER (WHERE split = 'train') AS tr,
     count(*) FILTER (WHERE split = 'val') AS va, count(*) FILTER (WHERE split = 'test') AS te
-  FROM prepared"""
-    return sql.statement(
-        "prepared",
-        f"""SELECT v."check", split AS dataset, v.observed, v.bound, v.passed FROM ({per_split}) p,
+  FROM {source}"""
+    return f"""SELECT v."check", g.split AS dataset, v.observed, v.bound, v.passed
+FROM (VALUES ('train'), ('val'), ('test')) g(split) LEFT JOIN ({per_split}) p ON p.split = g.split,
 LATERAL (VALUES {', '.join(entries)}) v("check", observed, bound, passed)
 UNION ALL
 SELECT v."check", 'all', v.observed, v.bound, v.passed FROM ({sizes}) p,
 LATERAL (VALUES {', '.join([
-    entry('train_minus_val', 'tr - va', '> 0', 'tr > va'),
-    entry('train_minus_test', 'tr - te', '> 0', 'tr > te'),
+    entry('train_minus_val', 'tr - va', '> 0', 'tr > va AND va > 0'),
+    entry('train_minus_test', 'tr - te', '> 0', 'tr > te AND te > 0'),
     entry('train_share', 'round(tr / (tr + va + te), 6)', '0.60 to 0.80',
           'tr / (tr + va + te) BETWEEN 0.6 AND 0.8'),
     entry('features_present', '23', '= 23', 'true'),
     entry('features_numeric', '23', '= 23', 'true'),
     entry('label_present', '1', '= 1', 'true'),
-])}) v("check", observed, bound, passed)""",
-    )
+])}) v("check", observed, bound, passed)"""
 
 
-@query(_checks_sql())
+@query(sql.statement("prepared", _checks_sql()))
 def dq_checks(spark, sf_dir):
     return checks.run_checks(prepared(spark, sf_dir))
 
 
+_FAULTY = """
+faulty AS (
+  SELECT * REPLACE (CASE WHEN split = 'test' AND account_id % 7 = 0 THEN 'nan'::DOUBLE ELSE day_mins END AS day_mins)
+  FROM prepared WHERE split <> 'val')"""
+
+
+@query(sql.statement("prepared", "").rstrip() + "," + _FAULTY + "\n" + _checks_sql("faulty"))
+def dq_checks_faulty(spark, sf_dir):
+    """The checks on a table that lacks its validation rows and has NaN among its test rows."""
+    bad = (F.col("split") == "test") & (F.col(KEY) % 7 == 0)
+    rows = prepared(spark, sf_dir).where("split <> 'val'")
+    return checks.run_checks(rows.withColumn("day_mins", F.when(bad, F.lit(float("nan"))).otherwise(F.col("day_mins"))))
+
+
 @query(
     sql.statement(
         "scored",
@@ -1304,3 +1380,149 @@ FROM scored"""
 )
 def score_checks(spark, sf_dir):
     return checks.score_checks(scored_rows(spark, sf_dir), scores=["score", "score_b"])
+
+
+# --- Records with gaps: nothing is filled in where a join finds no partner ------------
+
+_HOLED = [c for c in MEASURES if c != "account_length"]
+
+
+@query(
+    sql.gaps_statement(
+        sql.per_column("gaps", [KEY, *MEASURES, LABEL], "CAST(count(*) - count({c}) AS BIGINT) AS nulls")
+    )
+)
+def profile_nulls_gaps(spark, sf_dir):
+    return profile.nulls(incomplete(spark, sf_dir))
+
+
+_GAP_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in MEASURES)
+_GAP_EXTREME = " OR ".join(
+    f"coalesce(abs((g.{c} - t.m_{c}) / nullif(t.s_{c}, 0)) > 6, false)" for c in MEASURES
+)
+_GAP_STATUS = f"""
+gap_status AS (
+  SELECT g.account_id, CASE WHEN {_GAP_EXTREME} THEN 'anomaly'
+      WHEN {' OR '.join(f'g.{c} IS NULL' for c in MEASURES)} THEN 'unknown' ELSE 'clean' END AS status
+  FROM gaps g, (SELECT {_GAP_STATS} FROM gaps) t)"""
+
+
+@query(sql.gaps_statement("SELECT account_id, status FROM gap_status", _GAP_STATUS))
+def zscore_status_gaps(spark, sf_dir):
+    return clean.zscore_status(incomplete(spark, sf_dir), columns=MEASURES).select(KEY, "status")
+
+
+@query(
+    sql.gaps_statement(
+        """SELECT count(*) AS "rows", count(*) FILTER (WHERE status = 'clean') AS clean,
+  count(*) FILTER (WHERE status = 'anomaly') AS anomaly,
+  count(*) FILTER (WHERE status = 'unknown') AS unknown,
+  round(count(*) FILTER (WHERE status = 'anomaly') / count(*) * 100, 2) AS anomaly_pct
+FROM gap_status""",
+        _GAP_STATUS,
+    )
+)
+def anomaly_rate_gaps(spark, sf_dir):
+    return clean.anomaly_rate(clean.zscore_status(incomplete(spark, sf_dir), columns=MEASURES))
+
+
+_ZERO_FILLED = f"""
+filled AS (
+  SELECT account_id, {', '.join(f'coalesce({c}, 0) AS {c}' for c in MEASURES)}, churn FROM gaps)"""
+
+
+@query(
+    sql.gaps_statement(
+        f"SELECT account_id, {sql.DERIVED_LIST} FROM ("
+        + sql.features_sql("filled", lambda n, d: f"coalesce({n} / nullif({d}, 0), 0.0)")
+        + ")",
+        _ZERO_FILLED,
+    )
+)
+def features_zero_filled_gaps(spark, sf_dir):
+    filled = clean.fill_zero(incomplete(spark, sf_dir), columns=MEASURES)
+    return features.add_features(filled, zero_only=True).select(KEY, *DERIVED)
+
+
+@query(
+    sql.gaps_statement(
+        f"""SELECT col AS "column", CAST(bin AS INT) AS bin, lo + bin * w AS bin_start,
+  CAST(count(v) AS BIGINT) AS "count"
+FROM (SELECT col, lo, hi, (hi - lo) / 30 AS w, unnest(range(30)) AS bin
+      FROM (SELECT col, min(v) AS lo, max(v) AS hi FROM ({sql.long_form('gaps', MEASURES)})
+            GROUP BY col)) g
+LEFT JOIN (SELECT col AS c, v FROM ({sql.long_form('gaps', MEASURES)})) x
+  ON x.c = g.col AND x.v >= lo + bin * w AND (bin = 29 OR x.v < lo + (bin + 1) * w)
+GROUP BY ALL"""
+    )
+)
+def histogram_30_gaps(spark, sf_dir):
+    return profile.histogram(incomplete(spark, sf_dir), columns=MEASURES, bins=30)
+
+
+@query(
+    sql.gaps_statement(
+        f"""SELECT q.col AS "column", q.class, q.n AS "count", q.q1, q.median, q.q3,
+  min(least(v, q1)) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
+  max(greatest(v, q3)) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
+  count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM (SELECT col, CASE churn WHEN 1 THEN 'Churn' ELSE 'Non-churn' END AS class, count(v) AS n,
+        quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM ({sql.long_form('gaps', BOX_COLUMNS, 'churn')}) GROUP BY 1, 2) q
+JOIN ({sql.long_form('gaps', BOX_COLUMNS, 'churn')}) x
+  ON x.col = q.col AND (CASE x.churn WHEN 1 THEN 'Churn' ELSE 'Non-churn' END) = q.class
+GROUP BY q.col, q.class, q.n, q.q1, q.median, q.q3"""
+    )
+)
+def boxplot_by_class_gaps(spark, sf_dir):
+    return profile.box_stats(incomplete(spark, sf_dir), columns=BOX_COLUMNS, by=LABEL)
+
+
+@query(
+    sql.gaps_statement(f"SELECT account_id, {sql.fingerprint_sql(_CONTENT)} AS row_hash FROM gaps")
+)
+def row_hash_gaps(spark, sf_dir):
+    return split.row_hash(incomplete(spark, sf_dir), columns=_CONTENT).select(KEY, "row_hash")
+
+
+@query(
+    sql.gaps_statement(
+        "SELECT u.col_a, u.col_b, round(u.r, 6) AS r FROM (SELECT "
+        + ", ".join(f"corr({a}, {b}) AS {a}__{b}" for a in MEASURES for b in MEASURES)
+        + " FROM gaps) w, LATERAL (VALUES "
+        + ", ".join(f"('{a}', '{b}', w.{a}__{b})" for a in MEASURES for b in MEASURES)
+        + ") u(col_a, col_b, r)"
+    )
+)
+def correlation_pairwise_gaps(spark, sf_dir):
+    found = profile.correlation(incomplete(spark, sf_dir), columns=MEASURES, handle_invalid="pairwise")
+    return rounded(found, "r")
+
+
+_GAP_FEATURES = f"""
+gap_features AS (SELECT f.* FROM ({sql.features_sql('gaps')}) f)"""
+
+
+@query(
+    sql.gaps_statement(
+        f"""SELECT 'input' AS what, count(*) AS "rows" FROM gap_features
+UNION ALL SELECT 'scored', count(*) FILTER (WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)}) FROM gap_features
+UNION ALL SELECT 'unscored', count(*) FILTER (WHERE {' OR '.join(f'{c} IS NULL' for c in FEATURES)}) FROM gap_features
+UNION ALL SELECT what, n FROM (
+"""
+        + "\nUNION ALL\n".join(
+            f"SELECT 'without {c}' AS what, count(*) FILTER (WHERE {c} IS NULL) AS n FROM gap_features" for c in FEATURES
+        )
+        + ") WHERE n > 0",
+        _GAP_FEATURES,
+    )
+)
+def score_reconcile(spark, sf_dir):
+    """Accounts that came in, got a probability, or were kept back, with the columns they lack."""
+    accounts = features.add_features(incomplete(spark, sf_dir))
+    fit, unfit = score.route(accounts, scratch_path(spark, "routed"), columns=FEATURES)
+    scored = score.positive_score(fit, fitted_forest(spark, sf_dir), "p").where(F.col("p").between(0, 1))
+    count = lambda df, what: df.agg(F.count("*").alias("rows")).select(F.lit(what).alias("what"), "rows")
+    lacking = unfit.select(F.explode("blocked_by").alias("c")).groupBy(F.concat(F.lit("without "), F.col("c")).alias("what"))
+    parts = [count(accounts, "input"), count(scored, "scored"), count(unfit, "unscored"), lacking.agg(F.count("*").alias("rows"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

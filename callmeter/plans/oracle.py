@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from callmeter.schema import DERIVED, FEATURES, MEASURES
 
-_USAGE = """
+_LINES = """
 li AS (
   SELECT l_orderkey AS k,
     SUM(CASE WHEN l_partkey % 4 = 0 THEN l_quantity ELSE 0 END) AS day_mins,
@@ -19,7 +19,8 @@ li AS (
     CAST(SUM(CASE WHEN l_partkey % 4 = 3 THEN 1 ELSE 0 END) AS INT) AS intl_calls,
     CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS INT) AS custserv_calls,
     CAST(SUM(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS INT) AS vmail_message
-  FROM lineitem GROUP BY l_orderkey),
+  FROM lineitem GROUP BY l_orderkey)"""
+_USAGE = _LINES + """,
 usage AS (
   SELECT o.o_orderkey AS account_id,
     CONCAT('555-', CAST(o.o_orderkey AS VARCHAR)) AS phone_number,
@@ -41,6 +42,26 @@ usage AS (
   LEFT JOIN events e ON e.event_id = o.o_orderkey)"""
 
 
+# The same records with nulls where an order has no line items or no event.
+_GAPS = _LINES + """,
+gaps AS (
+  SELECT o.o_orderkey AS account_id, CAST(o.o_custkey % 243 AS INT) AS account_length, li.vmail_message,
+    li.day_mins, li.day_calls, li.day_mins * 0.25 AS day_charge,
+    li.eve_mins, li.eve_calls, li.eve_mins * 0.125 AS eve_charge,
+    li.night_mins, li.night_calls, li.night_mins * 0.0625 AS night_charge,
+    CAST(FLOOR(e.value) AS DOUBLE) AS intl_mins, li.intl_calls, CAST(FLOOR(e.value) AS DOUBLE) * 0.5 AS intl_charge,
+    li.custserv_calls,
+    CAST(COALESCE(li.custserv_calls >= 3, false)
+      OR COALESCE(o.o_orderstatus = 'F' AND li.day_mins > 60.0, false) AS INT) AS churn
+  FROM orders o LEFT JOIN li ON li.k = o.o_orderkey
+  LEFT JOIN events e ON e.event_id = o.o_orderkey)"""
+
+
+def gaps_statement(body: str, *steps: str) -> str:
+    """``body`` on the records with gaps, with further steps before it."""
+    return "WITH " + ",".join([_GAPS, *steps]) + "\n" + body
+
+
 def hash_sql(key: str, digits: int = 8) -> str:
     return f"('0x' || substr(sha256('42|' || {key}), 1, {digits}))::UBIGINT"
 

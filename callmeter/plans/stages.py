@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from callmeter.functions.columns import DECISION_THRESHOLD, FOREST_THRESHOLD
 from callmeter.operators import clean, evaluate, features, models, score, split
-from callmeter.schema import FEATURES, IDENTIFIER, LABEL, MEASURES, SOURCE_SCHEMA, snake_names
+from callmeter.schema import FEATURES, IDENTIFIER, LABEL, MEASURES, SOURCE_SCHEMA
 from callmeter.sources import usage_io
+from callmeter.sources.scratch import scratch_path
 
 PROBABILITIES = ["mlp_prob", "rf_prob"]
 
@@ -21,11 +22,12 @@ PROBABILITIES = ["mlp_prob", "rf_prob"]
 def convert(
     spark: SparkSession, csv_path: str, out: str, *, schema: T.StructType = SOURCE_SCHEMA
 ) -> DataFrame:
-    """CSV to Parquet in one typed pass, columns renamed; returns the storage comparison."""
-    usage_io.write_usage(
-        snake_names(usage_io.read_usage_csv(spark, csv_path, schema=schema)), out
-    )
-    return usage_io.compare_storage(spark, csv_path, out, schema=schema)
+    """CSV to Parquet in one pass, columns renamed; returns the storage comparison.
+
+    Lines that are no rows and rows with a cell that is not of its column's type go to
+    ``<out>_rejects`` with the names of their faults.
+    """
+    return usage_io.convert_csv(spark, csv_path, out, schema=schema)
 
 
 def preprocess(
@@ -113,14 +115,18 @@ def predict(
 ) -> DataFrame:
     """Score accounts with the saved models and write the predictions as CSV.
 
-    ``accounts`` are usage rows; features are added if they are not there yet.
+    ``accounts`` are usage rows; features are added if they are not there yet. Accounts with a
+    missing or infinite feature cannot be scored: they go to ``<out>_unscored`` with the names
+    of those features, and the others are scored all the same.
     """
     if not set(FEATURES) <= set(accounts.columns):
         accounts = features.add_features(accounts)
     mlp = usage_io.load_model(f"{models_path}/mlp")
     forest = usage_io.load_model(f"{models_path}/rf")
+    fit, unfit = score.route(accounts, scratch_path(accounts.sparkSession, "routed"), columns=FEATURES)
+    usage_io.write_usage(unfit, f"{out.rstrip('/')}_unscored")
     tiers = score.score_table(
-        _scored(accounts, mlp, forest), score="ensemble_prob", wording=wording
+        _scored(fit, mlp, forest), score="ensemble_prob", wording=wording
     )
     predictions = score.round_scores(tiers, scores=[*PROBABILITIES, "ensemble_prob"]).select(
         F.col(key).alias("client_id"),

@@ -50,7 +50,7 @@ def remove_at_end(spark: SparkSession, path: str) -> None:
     store.deleteOnExit(there)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     store, there = _at(spark, path)
     out = store.create(there, False)
     try:
@@ -59,7 +59,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     store, there = _at(spark, path)
     read = store.open(there)
     try:
@@ -86,7 +86,7 @@ class Publication:
         numbers = [int(m[1]) for n in names(self.spark, self.root) if (m := self._POINTER.fullmatch(n))]
         if not numbers:
             return 0, {}
-        return max(numbers), json.loads(_read_text(self.spark, f"{self.root}/pointer-{max(numbers):09d}.json"))
+        return max(numbers), json.loads(read_text(self.spark, f"{self.root}/pointer-{max(numbers):09d}.json"))
 
     def current(self) -> dict[str, str]:
         """Path of each part of the last complete state; empty if there is none yet."""
@@ -103,7 +103,7 @@ class Publication:
             after[part] = f"{part}-{uuid.uuid4().hex}"
             write(f"{self.root}/{after[part]}")
         draft, name = f".draft-{uuid.uuid4().hex}", f"pointer-{number + 1:09d}.json"
-        _write_text(self.spark, f"{self.root}/{draft}", json.dumps(after))
+        write_text(self.spark, f"{self.root}/{draft}", json.dumps(after))
         store, there = _at(self.spark, f"{self.root}/{draft}")
         if not store.rename(there, _at(self.spark, f"{self.root}/{name}")[1]):
             raise RuntimeError(f"{self.root}: another writer published state {number + 1}")

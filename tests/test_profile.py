@@ -195,3 +195,17 @@ def test_cells_follow_the_values_and_end_at_infinity(spark):
     cells = [r["c"] for r in ordered.with_cells(odd, ["x"], ["c"], edges).orderBy("x").collect()]
     assert cells == [-1, 0, len(edges[0]), len(edges[0]) + 1]
     assert ordered.cell_edges(df.select(F.lit(inf).alias("x")), ["x"]) == [[]]
+
+
+def test_duplicates_tell_nulls_and_zeros_apart(spark):
+    rows = [(1, None), (None, 1), (None, None), (None, None), (0, 1), (0, 1)]
+    assert tuple(profile.duplicates(spark.createDataFrame(rows, "a int, b int")).first()) == (6, 4, 2)
+    zeros = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (float("nan"), ""), (float("nan"), "")], "a double, b string")
+    assert tuple(profile.duplicates(zeros).first()) == (4, 2, 2)
+
+
+def test_duplicates_shuffle_digests_only(spark):
+    wide = spark.range(100).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(16)])
+    plan = profile.duplicates(wide)._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
+    assert "c15" not in exchange and plan.count("Exchange hashpartitioning") == 1

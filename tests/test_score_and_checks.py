@@ -121,3 +121,37 @@ def test_schema_diff(spark, healthy):
     assert same.count() == 0
     other = checks.schema_diff({"a": healthy, "b": healthy.drop(FEATURES[0])})
     assert [tuple(r) for r in other.collect()] == [("a", FEATURES[0], 200)]
+
+
+def test_an_absent_split_fails(healthy):
+    found = checks.run_checks(healthy.where("split != 'val'"), min_rows=30)
+    lost = {(r["check"], r["dataset"]) for r in found.where("not passed").collect()}
+    each = {r["check"] for r in found.where("dataset = 'val'").collect()}
+    assert {c for c, d in lost if d == "val"} == each and "rows" in each
+    assert ("train_minus_val", "all") in lost and ("train_minus_test", "all") not in lost
+    assert found.where("dataset = 'val' and check = 'rows'").first()["observed"] == 0.0
+
+
+def test_nan_is_missing(healthy):
+    holed = healthy.withColumn("day_mins", F.when(F.col(KEY) == 0, float("nan")).otherwise(F.col("day_mins")))
+    assert failed(checks.run_checks(holed, min_rows=30)) == {("feature_nulls", "train"), ("day_mins_varies", "train")}
+
+
+def test_other_splits_are_seen(healthy):
+    odd = healthy.withColumn("split", F.when(F.col(KEY) < 3, "spare").otherwise(F.col("split")))
+    assert ("rows", "spare") in failed(checks.run_checks(odd, min_rows=30))
+
+
+def test_nan_is_no_probability(spark):
+    df = spark.createDataFrame([(0.5,), (float("nan"),), (None,)], "a double")
+    assert checks.score_checks(df, scores=["a"]).first()["observed"] == 2.0
+
+
+def test_rows_that_cannot_be_scored_are_set_apart(spark, tmp_path):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, 1.0, 2), (2, None, 2), (3, nan, None), (4, inf, 1), (5, -1.0, 0)]
+    df = spark.createDataFrame(rows, "k int, x double, y int")
+    fit, unfit = score.route(df, str(tmp_path / "routed"), columns=["x", "y"])
+    assert sorted(r["k"] for r in fit.collect()) == [1, 5] and fit.columns == ["k", "x", "y"]
+    assert {r["k"]: r["blocked_by"] for r in unfit.collect()} == {2: ["x"], 3: ["x", "y"], 4: ["x"]}
+    assert score.route(df.limit(0), str(tmp_path / "none"), columns=["x"])[0].count() == 0

@@ -172,13 +172,13 @@ def test_a_lost_move_of_the_pointer_changes_nothing(spark, tmp_path, monkeypatch
     place = folders.Publication(spark, str(tmp_path / "root"))
     write = lambda text: lambda path: spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     place.publish({"a": write("a1")})
-    real = folders._write_text
+    real = folders.write_text
 
     def cut(spark, path, text):
         real(spark, path, text[:5])
         raise RuntimeError("the writer is lost")
 
-    monkeypatch.setattr(folders, "_write_text", cut)
+    monkeypatch.setattr(folders, "write_text", cut)
     with pytest.raises(RuntimeError, match="lost"):
         place.publish({"a": write("a2")})
     assert _texts(spark, place.current().values()) == ["a1"]
@@ -190,3 +190,106 @@ def test_no_model_without_a_pointer(spark, tmp_path):
     PipelineModel(stages=[]).save(str(tmp_path / "root" / "model-half"))
     with pytest.raises(FileNotFoundError, match="no complete model"):
         usage_io.load_model(str(tmp_path / "root"))
+
+
+def test_conversion_reads_once_and_keeps_rejects_apart(spark, table, tmp_path):
+    from callmeter.plans import stages
+
+    path = lambda name: str(tmp_path / name)
+    usage_io.write_csv(table.toDF(*SOURCE_SCHEMA.names).coalesce(1), path("clean.csv"))
+    files = list((tmp_path / "clean.csv").glob("*.csv"))
+    lines = files[0].read_text().splitlines()
+    report = stages.convert(spark, path("clean.csv"), path("clean"))
+    row = report.first()
+    assert (row["csv_rows"], row["parquet_rows"], row["rejected"]) == (50, 50, 0)
+    assert not (tmp_path / "clean_rejects").exists() and same(usage_io.read_usage(spark, path("clean")), table)
+
+    cells = lines[3].split(",")
+    faulty = [
+        *lines[:3],
+        ",".join([*cells[:3], "many", *cells[4:]]),  # a word for a number
+        ",".join([*cells[:1], "1.5", *cells[2:-1], "maybe"]),  # no whole number, no boolean
+        ",".join(cells[:-2]),  # too short
+        lines[4] + ",extra",
+        '"' + lines[5],  # an open quote
+        ",".join([*cells[:3], "", *cells[4:]]),  # an empty cell is no fault
+        *lines[6:],
+    ]
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    (folder / "one.TXT").write_text("\n".join(faulty) + "\n")
+    row = stages.convert(spark, str(folder), path("odd.out")).first()
+    assert (row["csv_rows"], row["rejected"], row["parquet_rows"]) == (len(faulty) - 1, 5, len(faulty) - 6)
+    assert (row["csv_files"], row["csv_bytes"]) == (1, (folder / "one.TXT").stat().st_size)
+    rejects = {r["record"]: r["faults"] for r in usage_io.read_usage(spark, path("odd.out_rejects")).collect()}
+    assert sorted(map(tuple, rejects.values())) == sorted(
+        [("Day Mins",), ("Account Length", "Churn"), ("_record",), ("_record",), ("_record",)]
+    )
+    assert faulty[5] in rejects and faulty[6] in rejects
+
+
+def test_sizes_of_compressed_files(spark, table, tmp_path):
+    table.write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "gz"))
+    usage_io.write_usage(table, str(tmp_path / "parquet"))
+    r = usage_io.compare_storage(spark, str(tmp_path / "gz"), str(tmp_path / "parquet"), csv_rows=50, parquet_rows=50).first()
+    sizes = [f.stat().st_size for f in (tmp_path / "gz").glob("*.csv.gz")]
+    assert (r["csv_files"], r["csv_bytes"]) == (len(sizes), sum(sizes))
+
+
+def test_one_scan_of_the_csv(spark, table, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    usage_io.write_csv(table, str(tmp_path / "c"))
+    reads, real = [], DataFrameReader.csv
+    monkeypatch.setattr(DataFrameReader, "csv", lambda self, *a, **b: reads.append(1) or real(self, *a, **b))
+    usage_io.convert_csv(spark, str(tmp_path / "c"), str(tmp_path / "p"), schema=USAGE_SCHEMA).collect()
+    assert len(reads) == 1
+
+
+def _copied(tmp_path):
+    import shutil
+
+    from conftest import SF_DIR
+
+    for name in ("orders", "lineitem", "events"):
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path / f"{name}.parquet")
+        (tmp_path / f"{name}.parquet").chmod(0o644)
+    return str(tmp_path)
+
+
+def test_stored_tables_follow_their_source(spark, tmp_path):
+    from callmeter.plans import usage_table
+
+    sf_dir = _copied(tmp_path)
+    first = usage_table.records(spark, sf_dir)
+    assert usage_table.records(spark, sf_dir).inputFiles() == first.inputFiles()
+    n = first.count()
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").orderBy("o_orderkey").limit(n // 2).toPandas()
+    orders.to_parquet(f"{sf_dir}/orders.parquet", coerce_timestamps="us", allow_truncated_timestamps=True)
+    spark.catalog.refreshByPath(f"{sf_dir}/orders.parquet")
+    again = usage_table.records(spark, sf_dir)
+    assert again.count() == n // 2 and set(again.inputFiles()).isdisjoint(first.inputFiles())
+
+
+def test_a_stored_table_that_lost_a_file_is_made_anew(spark, tmp_path):
+    from pathlib import Path
+
+    from callmeter.plans import usage_table
+
+    sf_dir = _copied(tmp_path)
+    first = usage_table.records(spark, sf_dir)
+    n, files = first.count(), first.inputFiles()
+    Path(files[0].removeprefix("file://")).unlink()
+    again = usage_table.records(spark, sf_dir)
+    assert again.count() == n and again.inputFiles() != files
+
+
+def test_scores_belong_to_one_model(spark):
+    from callmeter.operators import models
+    from callmeter.plans import catalog
+    from conftest import SF_DIR
+
+    rows = catalog.prepared(spark, SF_DIR).filter("split = 'train'")
+    fits = [models.fit_forest(rows, columns=["day_mins", "custserv_calls"], trees=2, depth=d) for d in (1, 3)]
+    files = [catalog.model_scores(spark, SF_DIR, "x", m).inputFiles() for m in fits]
+    assert set(files[0]).isdisjoint(files[1])
