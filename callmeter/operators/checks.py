@@ -161,10 +161,22 @@ def score_checks(df: DataFrame, *, scores: Sequence[str]) -> DataFrame:
     )
 
 
+def column_diff(datasets: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns that some dataset lacks, from the schemas alone: no data is read.
+
+    One row per dataset and column that is not shared by all: ``dataset``, ``column``, ``type``.
+    """
+    shared = set.intersection(*[set(df.columns) for df in datasets.values()])
+    rows = [(name, c, kind) for name, df in datasets.items() for c, kind in df.dtypes if c not in shared]
+    spark = next(iter(datasets.values())).sparkSession
+    return spark.createDataFrame(rows, "dataset string, column string, type string")
+
+
 def schema_diff(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Columns that some dataset lacks, with the values they hold where they exist.
 
-    One row per dataset and column that is not shared by all.
+    One row per dataset and column that is not shared by all; ``column_diff`` names them without
+    counting their values.
     """
     shared = set.intersection(*[set(df.columns) for df in datasets.values()])
     found = []

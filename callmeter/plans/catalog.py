@@ -674,6 +674,27 @@ def schema_diff(spark, sf_dir):
     )
 
 
+_TYPES = {"int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@query(
+    sql.statement("usage", "").rstrip()
+    + ", "
+    + sql.STEPS["base"].strip()
+    + """, credited AS (SELECT *, day_mins / 2 AS half_mins FROM base)
+SELECT dataset, "column", CASE kind """
+    + " ".join(f"WHEN '{theirs}' THEN '{ours}'" for ours, theirs in _TYPES.items())
+    + """ ELSE lower(kind) END AS "type" FROM (
+  SELECT 'base' AS dataset, column_name AS "column", column_type AS kind FROM (DESCRIBE SELECT phone_number FROM usage)
+  UNION ALL SELECT 'credited', column_name, column_type FROM (DESCRIBE SELECT half_mins FROM credited))"""
+)
+def column_diff(spark, sf_dir):
+    """Names and types only; neither table is read for it."""
+    rows = records(spark, sf_dir)
+    halves = labelled(spark, sf_dir).withColumn("half_mins", F.col("day_mins") / 2)
+    return checks.column_diff({"base": rows, "credited": halves})
+
+
 # --- Scaling -------------------------------------------------------------------------
 
 
@@ -943,11 +964,16 @@ def score_ensemble(spark, sf_dir):
         score.ensemble(scored, scores=["mlp_prob", "rf_prob"]), score="ensemble_prob"
     )
     p = F.col("ensemble_prob")
+    # Told again in SQL, apart from the functions that made the columns.
+    again = """CASE WHEN ensemble_prob < 0.25 THEN 'low' WHEN ensemble_prob < 0.45 THEN 'moderate'
+      WHEN ensemble_prob < 0.65 THEN 'high' ELSE 'critical' END = risk_level
+      AND CASE WHEN ensemble_prob >= 0.4 THEN 1 ELSE 0 END = predicted"""
+    between = p.between(F.least("mlp_prob", "rf_prob"), F.greatest("mlp_prob", "rf_prob"))
     return table.agg(
         F.count("*").alias("rows"),
         F.min(p.between(0, 1)).alias("probabilities"),
-        F.min(F.abs(p * 2 - F.col("mlp_prob") - F.col("rf_prob")) < 1e-12).alias("is_mean"),
-        F.min(F.col("risk_level").isNotNull() & (F.col("predicted") == decide(p))).alias("tiered"),
+        ((F.abs(F.avg(p) - F.avg(F.expr("mlp_prob / 2 + rf_prob / 2"))) < 1e-12) & F.min(between)).alias("is_mean"),
+        F.min(F.coalesce(F.expr(again), F.lit(False))).alias("tiered"),
     )
 
 
