@@ -10,21 +10,27 @@ tokens, and lines of ``LONG_WORDS`` words in ``LONG_DOCS`` documents. Such lines
 but for those in the first of these documents, so no content is lost entirely.
 
 Only lines in leaves that recur at all are shuffled, and leaves are counted within tasks
-first. What the last pass needs to know goes to all tasks if it is small; beyond a limit the
-lines to drop are joined to the documents instead.
+first. A leaf whose lines have ``LEAF_TOKENS`` tokens at most, in all documents, meets in one
+group, where its templates are found on arrays; so its lines move, not their tokens. The tokens
+of larger leaves are counted by place with joins, which gives the same templates. What the last
+pass needs to know goes to all tasks if it is small; beyond a limit the lines to drop are joined
+to the documents instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm.common import sliced, stored
+from callmeter.llm.words import split_words
 
 DEPTH = 3
 MIN_DOCS = 10
@@ -34,6 +40,8 @@ LONG_WORDS, LONG_DOCS = 50, 2
 VARIABLE = "<*>"
 #: Leaves, and lines to drop, that go to all tasks; beyond it they are joined.
 LEAF_LIMIT, LINE_LIMIT, LINE_BYTES = 1_000_000, 100_000, 32_000_000
+#: Tokens of a leaf whose templates are found in one group.
+LEAF_TOKENS = 500_000
 _DIGITS = b"0123456789"
 
 
@@ -47,40 +55,113 @@ def leaf(tokens: list[bytes]) -> int:
 
 
 def _leaf_counts(batches: Iterator[pa.RecordBatch], long_words: int) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[int, bool]] = Counter()
+    docs: Counter[tuple[int, bool]] = Counter()
+    tokens: Counter[tuple[int, bool]] = Counter()
     for batch in sliced(batches):
         for text in batch.column(0).cast(pa.binary()):
             lines = {tuple(t) for line in set((text.as_py() or b"").split(b"\n")) if (t := _tokens(line))}
-            counts.update({(leaf(list(t)), len(t) >= long_words) for t in lines})
-        if len(counts) > 500_000:
-            yield _counted(counts)
-            counts.clear()
-    yield _counted(counts)
+            places = [((leaf(list(t)), len(t) >= long_words), len(t)) for t in lines]
+            docs.update({place for place, _ in places})
+            for place, n in places:
+                tokens[place] += n
+        if len(docs) > 250_000:
+            yield _counted(docs, tokens)
+            docs.clear()
+            tokens.clear()
+    yield _counted(docs, tokens)
 
 
-def _counted(counts: Counter[tuple[int, bool]]) -> pa.RecordBatch:
-    leaves, long = [c[0] for c in counts], [c[1] for c in counts]
-    return pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array(long, pa.bool_()), pa.array(list(counts.values()), pa.int64())], ["leaf", "long", "docs"])
+def _counted(docs: Counter[tuple[int, bool]], tokens: Counter[tuple[int, bool]]) -> pa.RecordBatch:
+    columns = {
+        "leaf": pa.array([c[0] for c in docs], pa.int64()),
+        "long": pa.array([c[1] for c in docs], pa.bool_()),
+        "docs": pa.array(list(docs.values()), pa.int64()),
+        "tokens": pa.array([tokens[c] for c in docs], pa.int64()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
-def _lines_in(leaves: frozenset[int] | None):
+#: Kinds of leaves: verbatim lines may recur; templates too, found in one group; or by joins.
+_EXACT, _GROUPED, _JOINED = 0, 1, 2
+
+
+def _lines_in(leaves: dict[int, int] | None):
+    """Lines of each document, once each, of the leaves given (all, of a kind not known yet)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            row, leaves_of, lines = [], [], []
+            row, leaves_of, kinds, lines = [], [], [], []
             for n, text in enumerate(batch.column(1).cast(pa.binary())):
                 for tokens in {tuple(_tokens(line)) for line in set((text.as_py() or b"").split(b"\n"))}:
-                    if tokens and (leaves is None or leaf(list(tokens)) in leaves):
+                    if not tokens:
+                        continue
+                    place = leaf(list(tokens))
+                    if leaves is None or place in leaves:
                         row.append(n)
-                        leaves_of.append(leaf(list(tokens)))
+                        leaves_of.append(place)
+                        kinds.append(leaves[place] if leaves is not None else _EXACT)
                         lines.append(b" ".join(tokens).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(leaves_of, pa.int64()), pa.array(lines, pa.string())],
-                ["doc", "leaf", "line"],
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(leaves_of, pa.int64()), pa.array(kinds, pa.int32()), pa.array(lines, pa.string())],
+                ["doc", "leaf", "kind", "line"],
             )
 
     return run
 
 
+_TEMPLATES = "leaf bigint, key bigint, docs bigint, fixed int, template string"
+
+
+def _templates_of_leaf(min_docs: int, min_fixed: float):
+    """Templates of each line of one leaf, from the most specific to the most general."""
+
+    def run(lines: pa.Table) -> pa.Table:
+        words = split_words([b.as_buffer().to_pybytes() for b in lines["line"]], b" ", b"")
+        docs, sizes = lines["docs"].to_numpy(), np.bincount(words.text, minlength=lines.num_rows)
+        vocabulary = words.vocabulary.to_pylist()
+        plain = np.array([not any(d in t for d in _DIGITS) for t in vocabulary], bool)
+        out: dict[str, list] = {"row": [], "fixed": [], "template": []}
+        for width in np.unique(sizes):  # one, but for leaves whose names are the same by chance
+            rows = np.flatnonzero(sizes == width)
+            codes = words.codes[np.isin(words.text, rows)].reshape(len(rows), width)
+            cells, inverse = np.unique(np.arange(width) * len(vocabulary) + codes, return_inverse=True)
+            support = np.zeros(len(cells), np.int64)
+            np.add.at(support, inverse.ravel(), np.repeat(docs[rows], width))
+            times = (support // min_docs)[inverse.reshape(codes.shape)]
+            level = np.where((times > 0) & plain[codes], np.frexp(times.astype(np.float64))[1] - 1, -1)
+            least = math.ceil(width * min_fixed)
+            for at in np.unique(level[level >= 0]):
+                stays = level >= at
+                count = stays.sum(1)
+                for i in np.flatnonzero((level == at).any(1) & (count >= least)):
+                    out["row"].append(rows[i])
+                    out["fixed"].append(count[i])
+                    out["template"].append(" ".join([vocabulary[c].decode() if s else VARIABLE for c, s in zip(codes[i], stays[i], strict=True)]))
+        taken = lines.take(pa.array(out["row"], pa.int64()))
+        return pa.table(
+            [taken["leaf"], taken["key"], taken["docs"], pa.array(out["fixed"], pa.int32()), pa.array(out["template"], pa.string())],
+            ["leaf", "key", "docs", "fixed", "template"],
+        )
+
+    return run
+
+
+def _templates_by_joins(lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
+    """The same, for leaves of any size: the tokens of a place are counted wherever they are."""
+    tokens = lines.select("leaf", "key", "docs", F.size(F.split("line", " ")).alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
+    common = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    common = common.withColumn("level", F.length(F.bin(F.expr(f"support div {min_docs}"))) - 1)
+    fixed = tokens.where(~F.col("token").rlike("[0-9]")).join(common, ["leaf", "place", "token"])
+    kept = fixed.groupBy("leaf", "key").agg(F.collect_list(F.struct("place", "token", "level")).alias("kept"), F.first("words").alias("words"), F.first("docs").alias("docs"))
+    least = F.ceil(F.col("words") * min_fixed)
+    # From the most specific template to the most general: tokens of a level and above stay.
+    kept = kept.where(F.size("kept") >= least).withColumn("from", F.explode(F.array_distinct(F.transform("kept", lambda x: x["level"]))))
+    kept = kept.withColumn("kept", F.filter("kept", lambda x: x["level"] >= F.col("from"))).where(F.size("kept") >= least)
+    kept = kept.withColumn("map", F.map_from_entries(F.transform("kept", lambda x: F.struct(x["place"], x["token"]))))
+    template = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda i: F.coalesce(F.col("map")[i], F.lit(VARIABLE)))
+    return kept.select("leaf", "key", "docs", F.size("kept").alias("fixed"), F.array_join(template, " ").alias("template"))
+
+
 def recurring_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -89,37 +170,34 @@ def recurring_lines(
     min_fixed: float = MIN_FIXED,
     leaf_limit: int = LEAF_LIMIT,
     long_words: int = LONG_WORDS,
+    leaf_tokens: int = LEAF_TOKENS,
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of recurring templates (``leaf``, ``key``, ``line``, ``template``, ``docs``, ``first``) and who holds which (``doc``, ``leaf``, ``key``)."""
     texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint")
-    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"))
-    leaves = stored(leaves.where(F.col("docs") >= F.when(F.col("long"), LONG_DOCS).otherwise(min_docs)).select("leaf"), "leaves")
+    counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint, tokens bigint")
+    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"), F.sum("tokens").alias("tokens"))
+    leaves = leaves.where(F.col("docs") >= F.when(F.col("long"), LONG_DOCS).otherwise(min_docs))
+    # Tokens of a leaf in all documents are no fewer than those of its distinct lines.
+    grouped = F.when(F.col("tokens") <= leaf_tokens, _GROUPED).otherwise(_JOINED)
+    leaves = stored(leaves.select("leaf", F.when(F.col("docs") >= min_docs, grouped).otherwise(_EXACT).alias("kind")), "leaves")
     kind = docs.schema[id_col].dataType.simpleString()
-    rows, schema = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, leaf bigint, line string"
+    rows, schema = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, leaf bigint, kind int, line string"
     if leaves.count() <= leaf_limit:
-        known = frozenset(r[0] for r in leaves.collect())
+        known = {r["leaf"]: r["kind"] for r in leaves.collect()}
         held = rows.mapInArrow(_lines_in(known), schema)
     else:
-        held = rows.mapInArrow(_lines_in(None), schema).join(leaves, "leaf", "left_semi")
+        held = rows.mapInArrow(_lines_in(None), schema).drop("kind").join(leaves, "leaf")
     # Beyond this table a line goes by its hash within its leaf: 128 bits in all.
-    held = stored(held.select("doc", "leaf", F.xxhash64("line").alias("key"), "line"), "lines")
+    held = stored(held.select("doc", "leaf", "kind", F.xxhash64("line").alias("key"), "line"), "lines")
 
-    distinct = stored(held.groupBy("leaf", "key").agg(F.first("line").alias("line"), F.count("*").alias("docs")), "lines")
+    distinct = stored(held.groupBy("leaf", "kind", "key").agg(F.first("line").alias("line"), F.count("*").alias("docs")), "lines")
     held = held.select("doc", "leaf", "key")
     words = F.size(F.split("line", " "))
-    tokens = distinct.select("leaf", "key", "docs", words.alias("words"), F.posexplode(F.split("line", " ")).alias("place", "token"))
-    common = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
-    common = common.withColumn("level", F.floor(F.log2(F.col("support") / min_docs)).cast("int"))
-    fixed = tokens.where(~F.col("token").rlike("[0-9]")).join(common, ["leaf", "place", "token"])
-    kept = fixed.groupBy("leaf", "key").agg(F.collect_list(F.struct("place", "token", "level")).alias("kept"), F.first("words").alias("words"), F.first("docs").alias("docs"))
-    least = F.ceil(F.col("words") * min_fixed)
-    # From the most specific template to the most general: tokens of a level and above stay.
-    kept = kept.where(F.size("kept") >= least).withColumn("from", F.explode(F.array_distinct(F.transform("kept", lambda x: x["level"]))))
-    kept = kept.withColumn("kept", F.filter("kept", lambda x: x["level"] >= F.col("from"))).where(F.size("kept") >= least)
-    kept = kept.withColumn("map", F.map_from_entries(F.transform("kept", lambda x: F.struct(x["place"], x["token"]))))
-    template = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda i: F.coalesce(F.col("map")[i], F.lit(VARIABLE)))
-    templates = stored(kept.select("leaf", "key", "docs", F.size("kept").alias("fixed"), F.array_join(template, " ").alias("template")), "templates")
+    of = lambda kind: distinct.where(F.col("kind") == kind).select("leaf", "key", "docs", "line")
+    templates = of(_GROUPED).groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES)
+    if leaves.where(F.col("kind") == _JOINED).limit(1).count():
+        templates = templates.union(_templates_by_joins(of(_JOINED), min_docs, min_fixed))
+    templates = stored(templates, "templates")
     likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
     named = templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
     # Lines that recur as they are need no fixed tokens; long ones recur in two documents.
@@ -163,6 +241,7 @@ def without_recurring_lines(
     min_fixed: float = MIN_FIXED,
     leaf_limit: int = LEAF_LIMIT,
     line_limit: int = LINE_LIMIT,
+    leaf_tokens: int = LEAF_TOKENS,
 ) -> DataFrame:
     """The documents without lines of recurring templates.
 
@@ -173,7 +252,7 @@ def without_recurring_lines(
     its id keep them too, a row without an id loses them. Null and empty texts stay as they
     are.
     """
-    lines, held = recurring_lines(docs, id_col, text_col, min_docs, min_fixed, leaf_limit)
+    lines, held = recurring_lines(docs, id_col, text_col, min_docs, min_fixed, leaf_limit, leaf_tokens=leaf_tokens)
     size = lines.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("line")), F.lit(0))).first()
     place, key = docs.columns.index(text_col), docs.columns.index(id_col)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
