@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import sliced, stored
+from callmeter.llm.common import column, sliced, stored
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -422,18 +422,49 @@ def _int_lists(packed: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([p is None for p in packed]))
 
 
-def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def _checked(spelled: list[bytes], place: int, ids_place: int):
+    """In place of a decoded text, whether it is the text."""
+    decode = _decoded(spelled, ids_place, "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decode(batches):
+            text, decoded = batch.column(place), batch.column(batch.num_columns - 1)
+            same = pc.fill_null(pc.equal(text, decoded), False)
+            same = pc.or_(same, pc.and_(pc.is_null(text), pc.is_null(decoded)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], same], [*batch.schema.names[:-1], "round_trip"])
+
+    return run
+
+
+def encode_documents(
+    docs: DataFrame, pieces: Pieces, text_col: str = "text", chunk: int = CHUNK, check: bool = False
+) -> DataFrame:
     """Adds ``ids`` (array of int) to the documents; null for a null text, empty for none.
 
     An empty text has one piece, the blank that every text begins with. All rows, repeated or
-    not, and all columns stay; a column ``ids`` of the input is replaced.
+    not, and all columns stay; a column ``ids`` of the input is replaced. With ``check`` ids are
+    decoded again in the same pass, and ``round_trip`` (which replaces such a column too) tells
+    whether that gives the text; a null text gives null.
     """
-    docs = docs.drop("ids")
+    given = docs.columns
+    kept = [c for c in given if c != "ids" and not (check and c == "round_trip")]
+    # Names of the steps below never meet those of the input.
+    docs = docs.select([column(c).alias(f"c{i}") for i, c in enumerate(kept)])
+    text_col = f"c{kept.index(text_col)}"
+    added = ["ids", "round_trip"] if check else ["ids"]
+    coded = _coded(docs, pieces, text_col, chunk, check)
+    return coded.toDF(*kept, *added)
+
+
+def _coded(docs: DataFrame, pieces: Pieces, text_col: str, chunk: int, check: bool) -> DataFrame:
     spark, place = docs.sparkSession, docs.columns.index(text_col)
     shared = spark.sparkContext.broadcast(pieces)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     long = F.length(text_col) > chunk
-    short = docs.where(F.coalesce(~long, F.lit(True))).mapInArrow(_encoded(shared, place), f"{columns}, ids array<int>")
+    encoded, checked = _encoded(shared, place), _checked(pieces.spelled, place, len(docs.columns))
+    kind = f"{columns}, ids array<int>" + (", round_trip boolean" if check else "")
+    passed = (lambda batches: checked(encoded(batches))) if check else encoded
+    short = docs.where(F.coalesce(~long, F.lit(True))).mapInArrow(passed, kind)
 
     giant = stored(docs.where(long).withColumn("__uid", F.monotonically_increasing_id()), "giants")
     longest = pieces.longest
@@ -447,8 +478,8 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
                     ["uid", "n", "border", "part"],
                 )
 
-    kind = "uid bigint, n int, border int, part string"
-    parts = giant.select("__uid", text_col).mapInArrow(cut, kind).repartition("uid", "n")
+    parted = "uid bigint, n int, border int, part string"
+    parts = giant.select("__uid", text_col).mapInArrow(cut, parted).repartition("uid", "n")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -456,7 +487,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
             found = [np.array(transfer(t, b, shared.value), np.int32).ravel().tolist() for t, b in zip(part, border, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], [*batch.schema.names, "matrix"])
 
-    moved = stored(parts.mapInArrow(matrices, f"{kind}, matrix array<int>"), "chunks")
+    moved = stored(parts.mapInArrow(matrices, f"{parted}, matrix array<int>"), "chunks")
 
     def scan(group: pa.Table) -> pa.Table:
         group = group.sort_by("n")
@@ -475,7 +506,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, text_col: str = "text", ch
     solved = moved.drop("matrix").join(states, ["uid", "n"]).mapInArrow(traced, "uid bigint, n int, ids array<int>")
     whole = solved.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "ids"))), lambda x: x.ids)).alias("ids"))
     joined = giant.join(whole.withColumnRenamed("uid", "__uid"), "__uid").select(*docs.columns, "ids")
-    return short.unionByName(joined)
+    return short.unionByName(joined.mapInArrow(checked, kind) if check else joined)
 
 
 def _decoded(spelled: list[bytes], place: int, name: str):

@@ -1,6 +1,8 @@
 """The stages in a row, and the queries' names."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from callmeter.llm import queries
 from callmeter.llm.common import table
 
@@ -19,4 +21,31 @@ def test_pipeline_keeps_columns_and_spells_every_text(spark):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+EXTRA = ("score", "votes", "posterior", "ids", "decoded", "__uid", "__dropped", "__lines", "__emptied", "x.y", "uid", "__drop", "round_trip")
+
+
+def test_stages_on_odd_documents(spark):
+    docs = table(spark, SF_DIR, "documents").limit(80)
+    odd = [(-1, None), (-2, ""), (-3, " \n\t"), (-4, "word " * 9000), (None, "Some words of no id at all. " * 3), (-5, "the same row"), (-5, "the same row")]
+    rows = docs.unionByName(spark.createDataFrame(odd, "doc_id bigint, text string"), allowMissingColumns=True)
+    rows = rows.select("*", *[F.lit(i).alias(c) for i, c in enumerate(EXTRA)])
+    now = rows
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF_DIR)
+        assert now.columns == rows.columns
+        for i, c in enumerate(EXTRA):
+            assert now.where(F.col(f"`{c}`") != i).count() == 0
+    coded = corpus_pipeline.encode(spark, rows, SF_DIR)
+    assert coded.count() == rows.count() and coded.where("not round_trip").count() == 0
+    assert set(coded.columns) == {*rows.columns, "ids", "n_pieces", "round_trip"} and len(set(coded.columns)) == len(coded.columns)
+    assert coded.where("decoded <> 4 or `x.y` <> 9").count() == 0
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = table(spark, SF_DIR, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.count() == 0

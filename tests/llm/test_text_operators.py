@@ -261,6 +261,22 @@ def test_pieces_equal_the_library_and_chunks_equal_the_whole(spark, docs, odd, e
         coded = sentencepiece_codec.decode_documents(sentencepiece_codec.encode_documents(table, pieces, chunk=700), pieces).collect()
         assert len(coded) == n and all(r.decoded == r.text for r in coded)
         assert all((r.ids is None) == (r.text is None) for r in coded)
+        checked = sentencepiece_codec.encode_documents(table, pieces, chunk=700, check=True).collect()
+        assert len(checked) == n and all(r.round_trip for r in checked)
+        assert sorted(str(r.ids) for r in checked) == sorted(str(r.ids) for r in coded)
+    clashing = odd.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(("ids", "decoded", "__uid", "round_trip", "a.b", "uid"))])
+    found = sentencepiece_codec.encode_documents(clashing, pieces, chunk=700, check=True)
+    assert sorted(found.columns) == sorted(clashing.columns)
+    assert found.where("decoded <> 1 or `__uid` <> 2 or `a.b` <> 4 or uid <> 5 or not round_trip").count() == 0 and found.count() == len(ODD)
+
+
+def test_neighbours_from_scores_equal_merging(spark):
+    pieces = sentencepiece_codec.load_pieces()
+    rng, every = random.Random(2), list(pieces.ids)
+    short = [p for p in every if len(p) < 4]
+    for k in range(40_000):
+        left, right = (rng.choice(every), rng.choice(every)) if k % 2 else (rng.choice(short), rng.choice(short))
+        assert pieces.apart(left, right) == (pieces.merged(left + right) == [left, right]), (left, right)
 
 
 def test_language(spark, docs, odd, empty):
