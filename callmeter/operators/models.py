@@ -157,7 +157,7 @@ def weighted_resample(
 
 #: Bytes of a partition of a fit: small ones up to a number of partitions, since fits are heavy on
 #: computing, then as many partitions until they are of the larger size.
-_SMALL_PART, _MANY_PARTS, _LARGE_PART = 1 << 19, 1024, 128 << 20
+_SMALL_PART, _MANY_PARTS, _LARGE_PART = 1 << 20, 1024, 128 << 20
 
 
 def _parts(size: int) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -100,8 +101,8 @@ def correlation(
     makes the correlations of its column null.
 
     Co-moments are plain sums of products, centred on the means that a first aggregate finds, so
-    tasks add them up and one aggregate merges them. A row is turned into one row per column
-    within the scan stage, which keeps the sums few enough for generated code.
+    tasks add them up and one aggregate merges them. Only its result, a row of sums per column,
+    passes through the driver.
     """
     if handle_invalid not in ("error", "skip", "pairwise"):
         raise ValueError(f"handle_invalid is 'error', 'skip' or 'pairwise', not {handle_invalid!r}")
@@ -109,45 +110,55 @@ def correlation(
     plain = df.select(*[as_number(c).alias(f"x{i}") for i, c in enumerate(columns)])
     if handle_invalid == "skip":
         plain = plain.dropna()
-    first = plain.agg(
-        F.count("*").alias("rows"),
-        *[f(F.col(f"x{i}")).alias(f"{name}{i}") for i in range(n) for name, f in (("n", F.count), ("mean", F.avg))],
-    ).first()
-    gaps = any(first[f"n{i}"] < first["rows"] for i in range(n))
-    if gaps and handle_invalid == "error":
-        holed = [c for i, c in enumerate(columns) if first[f"n{i}"] < first["rows"]]
+    # Columns are turned into rows within the scan stage, as in describe().
+    long = plain.unpivot([], plain.columns, "column", "value").groupBy("column")
+    found = {r["column"]: r for r in long.agg(F.count("*").alias("rows"), F.count("value").alias("n"), F.avg("value").alias("mean")).collect()}
+    holed = [c for i, c in enumerate(columns) if found and found[f"x{i}"]["n"] < found[f"x{i}"]["rows"]]
+    if holed and handle_invalid == "error":
         raise ValueError(f"values are missing in {', '.join(holed)}; skip rows or take pairs")
-    centres = [first[f"mean{i}"] if first[f"mean{i}"] is not None and abs(first[f"mean{i}"]) < float("inf") else 0.0 for i in range(n)]
-    centred = plain.select(F.array(*[F.col(f"x{i}") - F.lit(centres[i]) for i in range(n)]).alias("d"))
-    one = F.col("x")
-    turned = centred.select(*[F.col("d")[i].alias(f"d{i}") for i in range(n)], F.posexplode("d").alias("i", "x")).where(one.isNotNull())
-    others = [F.col(f"d{j}") for j in range(n)]
-    both = [F.when(o.isNotNull(), one) for o in others] if gaps else [one] * n
+    means = [found[f"x{i}"]["mean"] if found else None for i in range(n)]
+    centres = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
+    sums = {r["i"]: r for r in _co_moments(plain, centres, gaps=bool(holed)).collect()}
+    rows = found["x0"]["rows"] if found else 0
+
+    def r(i: int, j: int) -> float | None:
+        if i == j:
+            return 1.0
+        if i not in sums or j not in sums:
+            return None
+        if holed:
+            count, sx, sy, sxx, syy = (sums[i][f"{name}{j}"] or 0 for name in ("n", "sx", "sy", "sxx", "syy"))
+        else:  # centred on their own means, columns have no sums, and their squares are on the diagonal
+            count, sx, sy, sxx, syy = rows, 0.0, 0.0, sums[i][f"sxy{i}"], sums[j][f"sxy{j}"]
+        if count < 2:
+            return None
+        spread_x, spread_y = sxx - sx * sx / count, syy - sy * sy / count
+        # Rounding leaves a constant column a spread in the last digits of its squares.
+        if not (spread_x > sxx * 1e-13 and spread_y > syy * 1e-13):
+            return None
+        value = (sums[i][f"sxy{j}"] - sx * sy / count) / math.sqrt(spread_x * spread_y)
+        return max(-1.0, min(1.0, value)) if math.isfinite(value) else None
+
+    pairs = [(a, b, r(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(pairs, "col_a string, col_b string, r double")
+
+
+def _co_moments(plain: DataFrame, centres: Sequence[float], *, gaps: bool) -> DataFrame:
+    """Per column ``i``, sums of its centred products with every column ``j``.
+
+    With ``gaps`` also the count, sums and squares over the rows that have both.
+    """
+    n = len(centres)
+    centred = plain.select(*[(F.col(f"x{i}") - F.lit(centres[i])).alias(f"d{i}") for i in range(n)])
+    # A row becomes one row per column within the scan stage: few enough sums for generated code.
+    turned = centred.select("*", F.posexplode(F.array(*centred.columns)).alias("i", "x")).where("x is not null")
+    one, others = F.col("x"), [F.col(f"d{j}") for j in range(n)]
     sums = {"sxy": [one * o for o in others]}
     if gaps:
+        both = [F.when(o.isNotNull(), one) for o in others]
         sums |= {"n": [F.when(o.isNotNull(), F.lit(1)) for o in others], "sx": both, "sy": others}
         sums |= {"sxx": [b * one for b in both], "syy": [o * o for o in others]}
-    co = turned.groupBy("i").agg(*[F.sum(v).alias(f"{name}{j}") for name, values in sums.items() for j, v in enumerate(values)])
-    # One row per column from here on, with its sums against every column.
-    struct = lambda j: F.struct(F.lit(j).alias("j"), *[F.col(f"{name}{j}").cast("double").alias(name) for name in sums])
-    pairs = co.select("i", F.inline(F.array(*[struct(j) for j in range(n)])))
-    if not gaps:
-        # Centred on their own means, columns have no sums, and their squares are on the diagonal.
-        own = pairs.where("i = j").select("i", F.col("sxy").alias("own"))
-        pairs = pairs.join(F.broadcast(own.withColumnRenamed("own", "sxx")), "i")
-        pairs = pairs.join(F.broadcast(own.select(F.col("i").alias("j"), F.col("own").alias("syy"))), "j")
-        pairs = pairs.withColumns({"n": F.lit(float(first["rows"])), "sx": F.lit(0.0), "sy": F.lit(0.0)})
-    c = F.col
-    spread_x, spread_y = c("sxx") - c("sx") * c("sx") / c("n"), c("syy") - c("sy") * c("sy") / c("n")
-    r = (c("sxy") - c("sx") * c("sy") / c("n")) / F.sqrt(spread_x * spread_y)
-    # Rounding leaves a constant column a spread in the last digits of its squares.
-    some = (spread_x > c("sxx") * 1e-13) & (spread_y > c("syy") * 1e-13) & (c("n") > 1)
-    found = F.when(c("i") == c("j"), F.lit(1.0)).when(some, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.nanvl(r, F.lit(None)))))
-    grid = df.sparkSession.createDataFrame(
-        [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns)], "i int, j int, col_a string, col_b string"
-    )
-    solved = pairs.select("i", "j", found.alias("r"))
-    return grid.join(F.broadcast(solved), ["i", "j"], "left").select("col_a", "col_b", "r")
+    return turned.groupBy("i").agg(*[F.sum(v).alias(f"{name}{j}") for name, values in sums.items() for j, v in enumerate(values)])
 
 
 def quantile_sketches(df: DataFrame, *, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -195,7 +195,7 @@ def test_rows_equal_in_full_are_spread_and_kept(spark):
 
 
 def test_sizes_of_placements():
-    assert [models._parts(n) for n in (0, 1, 1 << 19, (1 << 19) + 1)] == [1, 1, 1, 2]
+    assert [models._parts(n) for n in (0, 1, 1 << 20, (1 << 20) + 1)] == [1, 1, 1, 2]
     assert models._parts(10 << 30) == 1024 and models._parts(1 << 40) == 8192
 
 

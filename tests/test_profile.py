@@ -151,9 +151,21 @@ def test_correlation_against_numpy(spark):
 
 
 def test_co_moments_are_one_aggregate(numbers):
-    found = profile.correlation(numbers.select("x", "y").dropna(), columns=["x", "y"])
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "DeserializeToObject" not in plan
+    plain = numbers.select(F.col("x").alias("x0"), F.col("y").alias("x1"))
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    sums = profile._co_moments(plain, [0.0, 0.0], gaps=True)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert shuffles(sums) == shuffles(plain) + 1 and "ObjectHashAggregate" not in plan and "DeserializeToObject" not in plan
+
+
+def test_correlation_of_nothing(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    for mode in ("error", "skip", "pairwise"):
+        found = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation(df, columns=["a", "b"], handle_invalid=mode).collect()}
+        assert found == {("a", "a"): 1.0, ("b", "b"): 1.0, ("a", "b"): None, ("b", "a"): None}
+    inf = spark.createDataFrame([(1.0, 2.0, 5.0), (float("inf"), 3.0, 7.5), (2.0, 9.0, 1.0)], "a double, b double, c double")
+    found = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation(inf, columns=["a", "b", "c"]).collect()}
+    assert found["a", "b"] is None and math.isclose(found["b", "c"], np.corrcoef([2, 3, 9], [5, 7.5, 1])[0, 1])
 
 
 def test_histogram_with_infinities(spark):
