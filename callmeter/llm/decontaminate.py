@@ -141,30 +141,42 @@ def align(text: np.ndarray, index: Index, who: np.ndarray, low: np.ndarray) -> t
     """Fewest edits of each segment against any stretch of text within its band, and where that ends.
 
     Diagonals ``low - k`` to ``low + 5 k + 2`` are followed, row by row of the segment, for
-    all candidates at once. Places outside the text never match.
+    all candidates at once. Places outside the text never match. Edits never fall from a row to
+    the next, so a candidate whose band is above its budget everywhere is left there, with one
+    edit too many.
     """
-    edits = np.empty(len(who), np.int64)
-    ends = np.empty(len(who), np.int64)
+    lengths = index.bound + index.budget * Q + Q - 1
+    edits, ends = index.budget[who] + 1, np.zeros(len(who), np.int64)
     pad = 4 * index.reach + 8
     padded = np.concatenate([np.zeros(pad, np.uint8), text, np.zeros(pad, np.uint8)])
-    for n in np.unique(np.char.str_len(np.array(index.segments))[who] if len(who) else []):
-        for k in np.unique(index.budget[who]):
-            mine = np.flatnonzero((np.array([len(index.segments[s]) for s in who]) == n) & (index.budget[who] == k))
-            for at in range(0, len(mine), 4096):
-                part = mine[at : at + 4096]
-                pattern = np.stack([np.frombuffer(index.segments[s], np.uint8) for s in who[part]])
-                width = 6 * int(k) + 3
-                step = np.arange(width)
-                base = np.clip(low[part] - k, -pad, len(text)) + pad
-                cost = np.zeros((len(part), width), np.int64)
-                for i in range(int(n)):
-                    here = padded[np.minimum(base[:, None] + i + step, len(padded) - 1)]
-                    new = cost + (here != pattern[:, i][:, None])
-                    new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
-                    cost = np.minimum.accumulate(new - step, axis=1) + step
+    for n, k in np.unique(np.stack([lengths[who], index.budget[who]], axis=1), axis=0).tolist():
+        mine = np.flatnonzero((lengths[who] == n) & (index.budget[who] == k))
+        width = 6 * k + 3
+        step = np.arange(width, dtype=np.int16)
+        windows = np.lib.stride_tricks.sliding_window_view(padded, width)
+        patterns = {s: np.frombuffer(index.segments[s], np.uint8) for s in np.unique(who[mine]).tolist()}
+        for at in range(0, len(mine), 4096):
+            part = mine[at : at + 4096]
+            pattern = np.stack([patterns[s] for s in who[part].tolist()])
+            base = np.clip(low[part] - k, -pad, len(text)) + pad
+            cost = np.zeros((len(part), width), np.int16)
+            for i in range(n):
+                new = cost + (windows[base + i] != pattern[:, i, None])
+                np.minimum(new[:, :-1], cost[:, 1:] + 1, out=new[:, :-1])
+                new -= step
+                np.minimum.accumulate(new, axis=1, out=new)
+                new += step
+                cost = new
+                if i % 8 == 7 and i < n - 1:
+                    alive = cost.min(1) <= k
+                    if not alive.all():
+                        part, pattern, base, cost = part[alive], pattern[alive], base[alive], cost[alive]
+                        if not len(part):
+                            break
+            if len(part):
                 best = cost.argmin(1)
                 edits[part] = cost[np.arange(len(part)), best]
-                ends[part] = base - pad + int(n) + best
+                ends[part] = base - pad + n + best
     return edits, ends
 
 
@@ -199,14 +211,17 @@ def search(texts: list[bytes], index: Index, seen: np.ndarray) -> Iterator[tuple
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, rate: float, block_chars: int) -> Iterator[tuple[Index, list[int | None]]]:
     """Index of each block; its items are places in the list of ids that comes with it."""
-    rows = benchmark.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).where("t is not null")
+    rows = benchmark.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n = -(-total // block_chars)
+    # All texts of an item are in one block; a text without an id is an item of its own.
+    name = F.when(F.col("i").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("i"))
     for b in range(n):
-        block: list[Row] = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
-        ids = sorted({r.i for r in block}, key=lambda i: (i is None, i or 0))
-        place = {i: n for n, i in enumerate(ids)}
-        yield build_index(sorted((place[r.i], plain(r.t.encode())) for r in block), rate=rate), ids
+        block: list[Row] = rows.where(F.pmod(name, F.lit(n)) == b).collect()
+        items = sorted({(r.i is None, r.i or 0, r.t if r.i is None else "") for r in block})
+        place = {item: n for n, item in enumerate(items)}
+        texts = [(place[r.i is None, r.i or 0, r.t if r.i is None else ""], plain(r.t.encode())) for r in block]
+        yield build_index(sorted(texts), rate=rate), [None if none else i for none, i, _ in items]
 
 
 def _shared(docs: DataFrame, index: Index):
@@ -233,7 +248,8 @@ def matches(
     of the item's segments, at most ``rate`` of its length, and where it starts in the
     normalised text (a smaller ``start`` wins ties). Null and empty texts and items match
     nothing, nor do items of under eight characters; repeated document rows are reported
-    each, repeated items once, items without an id as one without. Columns besides those named are not read.
+    each, repeated items once; items without an id are items of their own. Lengths, edits
+    and places are in bytes. Columns besides those named are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
