@@ -10,11 +10,11 @@ tokens, and lines of ``LONG_WORDS`` words in ``LONG_DOCS`` documents. Such lines
 but for those in the first of these documents, so no content is lost entirely.
 
 Only lines in leaves that recur at all are shuffled, and leaves are counted within tasks
-first. A leaf whose lines have ``LEAF_TOKENS`` tokens at most, in all documents, meets in one
-group, where its templates are found on arrays; so its lines move, not their tokens. The tokens
-of larger leaves are counted by place with joins, which gives the same templates. What the last
-pass needs to know goes to all tasks if it is small; beyond a limit the lines to drop are joined
-to the documents instead.
+first. A leaf whose distinct lines have ``LEAF_TOKENS`` tokens at most meets in one group, where
+its templates are found on arrays; so its lines move, not their tokens. The tokens of larger
+leaves are counted by place with joins, which gives the same templates. What the last pass needs
+to know goes to all tasks if it is small; beyond a limit the lines to drop are joined to the
+documents instead.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ LONG_WORDS, LONG_DOCS = 50, 2
 VARIABLE = "<*>"
 #: Leaves, and lines to drop, that go to all tasks; beyond it they are joined.
 LEAF_LIMIT, LINE_LIMIT, LINE_BYTES = 1_000_000, 100_000, 32_000_000
-#: Tokens of a leaf whose templates are found in one group.
-LEAF_TOKENS = 500_000
+#: Tokens of the distinct lines of a leaf whose templates are found in one group.
+LEAF_TOKENS = 2_000_000
 _DIGITS = b"0123456789"
 
 
@@ -55,34 +55,24 @@ def leaf(tokens: list[bytes]) -> int:
 
 
 def _leaf_counts(batches: Iterator[pa.RecordBatch], long_words: int) -> Iterator[pa.RecordBatch]:
-    docs: Counter[tuple[int, bool]] = Counter()
-    tokens: Counter[tuple[int, bool]] = Counter()
+    counts: Counter[tuple[int, bool]] = Counter()
     for batch in sliced(batches):
         for text in batch.column(0).cast(pa.binary()):
             lines = {tuple(t) for line in set((text.as_py() or b"").split(b"\n")) if (t := _tokens(line))}
-            places = [((leaf(list(t)), len(t) >= long_words), len(t)) for t in lines]
-            docs.update({place for place, _ in places})
-            for place, n in places:
-                tokens[place] += n
-        if len(docs) > 250_000:
-            yield _counted(docs, tokens)
-            docs.clear()
-            tokens.clear()
-    yield _counted(docs, tokens)
+            counts.update({(leaf(list(t)), len(t) >= long_words) for t in lines})
+        if len(counts) > 500_000:
+            yield _counted(counts)
+            counts.clear()
+    yield _counted(counts)
 
 
-def _counted(docs: Counter[tuple[int, bool]], tokens: Counter[tuple[int, bool]]) -> pa.RecordBatch:
-    columns = {
-        "leaf": pa.array([c[0] for c in docs], pa.int64()),
-        "long": pa.array([c[1] for c in docs], pa.bool_()),
-        "docs": pa.array(list(docs.values()), pa.int64()),
-        "tokens": pa.array([tokens[c] for c in docs], pa.int64()),
-    }
-    return pa.RecordBatch.from_pydict(columns)
+def _counted(counts: Counter[tuple[int, bool]]) -> pa.RecordBatch:
+    leaves, long = [c[0] for c in counts], [c[1] for c in counts]
+    return pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array(long, pa.bool_()), pa.array(list(counts.values()), pa.int64())], ["leaf", "long", "docs"])
 
 
-#: Kinds of leaves: verbatim lines may recur; templates too, found in one group; or by joins.
-_EXACT, _GROUPED, _JOINED = 0, 1, 2
+#: Kinds of leaves: only verbatim lines may recur there, or templates too.
+_EXACT, _TEMPLATED = 0, 1
 
 
 def _lines_in(leaves: dict[int, int] | None):
@@ -174,12 +164,11 @@ def recurring_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of recurring templates (``leaf``, ``key``, ``line``, ``template``, ``docs``, ``first``) and who holds which (``doc``, ``leaf``, ``key``)."""
     texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint, tokens bigint")
-    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"), F.sum("tokens").alias("tokens"))
+    counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint")
+    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"))
     leaves = leaves.where(F.col("docs") >= F.when(F.col("long"), LONG_DOCS).otherwise(min_docs))
-    # Tokens of a leaf in all documents are no fewer than those of its distinct lines.
-    grouped = F.when(F.col("tokens") <= leaf_tokens, _GROUPED).otherwise(_JOINED)
-    leaves = stored(leaves.select("leaf", F.when(F.col("docs") >= min_docs, grouped).otherwise(_EXACT).alias("kind")), "leaves")
+    templated = F.when(F.col("docs") >= min_docs, _TEMPLATED).otherwise(_EXACT)
+    leaves = stored(leaves.select("leaf", templated.alias("kind")), "leaves")
     kind = docs.schema[id_col].dataType.simpleString()
     rows, schema = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, leaf bigint, kind int, line string"
     if leaves.count() <= leaf_limit:
@@ -193,10 +182,16 @@ def recurring_lines(
     distinct = stored(held.groupBy("leaf", "kind", "key").agg(F.first("line").alias("line"), F.count("*").alias("docs")), "lines")
     held = held.select("doc", "leaf", "key")
     words = F.size(F.split("line", " "))
-    of = lambda kind: distinct.where(F.col("kind") == kind).select("leaf", "key", "docs", "line")
-    templates = of(_GROUPED).groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES)
-    if leaves.where(F.col("kind") == _JOINED).limit(1).count():
-        templates = templates.union(_templates_by_joins(of(_JOINED), min_docs, min_fixed))
+    tried = distinct.where(F.col("kind") == _TEMPLATED).select("leaf", "key", "docs", "line")
+    large = tried.groupBy("leaf").agg(F.sum(words).alias("tokens")).where(F.col("tokens") > leaf_tokens)
+    large = stored(large.select("leaf"), "leaves")
+    if n := large.count():
+        listed = F.broadcast(large) if n <= leaf_limit else large
+        templates = _templates_by_joins(tried.join(listed, "leaf", "left_semi"), min_docs, min_fixed)
+        tried = tried.join(listed, "leaf", "left_anti")
+        templates = templates.union(tried.groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES))
+    else:
+        templates = tried.groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES)
     templates = stored(templates, "templates")
     likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
     named = templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
