@@ -193,11 +193,13 @@ def recurring_lines(
     else:
         templates = tried.groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES)
     templates = stored(templates, "templates")
-    likely = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
-    named = templates.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
+    # From here on a template goes by its hash within its leaf, as lines do; its text comes back at the end.
+    by_hash = templates.withColumn("text", F.col("template")).withColumn("template", F.xxhash64("template"))
+    likely = by_hash.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
+    named = by_hash.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
     # Lines that recur as they are need no fixed tokens; long ones recur in two documents.
     need = F.when(words >= long_words, LONG_DOCS).otherwise(min_docs)
-    exact = distinct.where(F.col("docs") >= need).select("leaf", "key", F.col("line").alias("template"), F.lit(0).alias("fixed"), need.alias("least"))
+    exact = distinct.where(F.col("docs") >= need).select("leaf", "key", F.col("key").alias("template"), F.lit(0).alias("fixed"), need.alias("least"))
     named = stored(named.union(exact), "templates")
     # A document counts once for a template, however many lines of it it holds.
     group = ["leaf", "template", (F.col("fixed") == 0).alias("exact")]
@@ -208,7 +210,9 @@ def recurring_lines(
     # A line goes by its most specific template that recurs.
     named = named.groupBy("leaf", "key").agg(F.max(F.struct("fixed", "template", "docs", "first")).alias("best")).select("leaf", "key", "best.template", "best.docs", "best.first")
     found = named.join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
-    return stored(found.select("leaf", "key", "line", "template", "docs", "first"), "templates"), held
+    found = found.join(by_hash.select("leaf", "key", "template", "text"), ["leaf", "key", "template"], "left")
+    text = F.coalesce("text", "line").alias("template")
+    return stored(found.select("leaf", "key", "line", text, "docs", "first"), "templates"), held
 
 
 def _rewritten(text: bytes | None, drop: dict[bytes, object] | frozenset[bytes], doc: object) -> tuple[bytes | None, int, int, bool]:
