@@ -162,6 +162,8 @@ _SMALL_PART, _MANY_PARTS, _LARGE_PART = 1 << 20, 1024, 128 << 20
 #: Where hundreds of passes follow, fewer and larger ones: every task of every pass costs its start
 #: and reports to the driver.
 _PASSES = (4 << 20, 128)
+#: Where trees grow: every partition sends the counts of every node of a level, however few its rows.
+_LEVELS = (2 << 20, 32)
 
 
 def _parts(size: int, small: int = _SMALL_PART, many: int = _MANY_PARTS) -> int:
@@ -390,7 +392,7 @@ def fit_forest(
     Spark grows trees level by level to a set depth (30 at most), so ``depth`` is the size
     control that an unlimited single-machine tree lacks.
     """
-    ready = _placed(balanced_weight(train.select(*columns, label, key), label=label), key)
+    ready = _placed(balanced_weight(train.select(*columns, label, key), label=label), key, _LEVELS)
     forest = RandomForestClassifier(
         featuresCol="features_rf",
         labelCol=label,

@@ -75,3 +75,16 @@ def test_a_fit_passes_over_its_rows_about_once_an_iteration(spark, monkeypatch):
     part = lambda name: rows.filter(F.col("split") == name).select(KEY, LABEL, *columns)
     _, history = models.fit_mlp(part("train"), part("val"), columns=columns, hidden=(4,), rounds=8, patience=8, iterations=5)
     assert history.count() == 8 and len(passes) <= 1.5 * 8 * 5
+
+
+@pytest.mark.parametrize("fit, most", [("forest", 32), ("perceptron", 128)])
+def test_fits_take_few_partitions_until_these_are_large(spark, monkeypatch, fit, most):
+    rows, placed, real = prepared(spark, SF_DIR).select(KEY, LABEL, "split", "day_mins"), [], models._placed
+    monkeypatch.setattr(models, "_placed", lambda df, key, *sizes: placed.append(sizes) or real(df, key, *sizes))
+    if fit == "forest":
+        models.fit_forest(rows, columns=["day_mins"], trees=2, depth=2)
+    else:
+        train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+        models.fit_mlp(train, val, columns=["day_mins"], hidden=(2,), rounds=1, iterations=1)
+    parts = lambda size: models._parts(size, *[n for sizes in placed for s in sizes for n in s])
+    assert (parts(1 << 20), parts(2 << 30), parts(64 << 30)) == (1, most, 512)
