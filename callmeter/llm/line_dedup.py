@@ -13,8 +13,8 @@ Only lines in leaves that recur at all are shuffled, and leaves are counted with
 first. A leaf whose distinct lines have ``LEAF_TOKENS`` tokens at most meets in one group, where
 its templates are found on arrays; so its lines move, not their tokens. The tokens of larger
 leaves are counted by place with joins, which gives the same templates. What the last pass needs
-to know goes to all tasks if it is small; beyond a limit the lines to drop are joined to the
-documents instead.
+to know goes to all tasks if it is small: the names of the lines to drop, not the lines. Beyond a
+limit these names are joined to the documents instead.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ MIN_FIXED = 0.6
 #: Lines of so many words or more go if they recur as they are in so many documents.
 LONG_WORDS, LONG_DOCS = 50, 2
 VARIABLE = "<*>"
-#: Leaves, and lines to drop, that go to all tasks; beyond it they are joined.
-LEAF_LIMIT, LINE_LIMIT, LINE_BYTES = 1_000_000, 100_000, 32_000_000
+#: Leaves, and names of lines to drop (24 bytes each), that go to all tasks; beyond it they are joined.
+LEAF_LIMIT, LINE_LIMIT = 1_000_000, 1_000_000
 #: Tokens of the distinct lines of a leaf whose templates are found in one group.
 LEAF_TOKENS = 2_000_000
 _DIGITS = b"0123456789"
@@ -163,6 +163,17 @@ def recurring_lines(
     leaf_tokens: int = LEAF_TOKENS,
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of recurring templates (``leaf``, ``key``, ``line``, ``template``, ``docs``, ``first``) and who holds which (``doc``, ``leaf``, ``key``)."""
+    named, held, distinct, by_hash = _recurring_names(docs, id_col, text_col, min_docs, min_fixed, leaf_limit, long_words, leaf_tokens)
+    found = named.join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
+    found = found.join(by_hash.select("leaf", "key", "template", "text"), ["leaf", "key", "template"], "left")
+    text = F.coalesce("text", "line").alias("template")
+    return stored(found.select("leaf", "key", "line", text, "docs", "first"), "templates"), held
+
+
+def _recurring_names(
+    docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_fixed: float, leaf_limit: int, long_words: int, leaf_tokens: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Recurring lines by name (``leaf``, ``key``, ``template``, ``docs``, ``first``), who holds which, and the texts of lines and of templates."""
     texts = docs.select(F.col(text_col).alias("text"))
     counted = texts.mapInArrow(lambda batches: _leaf_counts(batches, long_words), "leaf bigint, long boolean, docs bigint")
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max("long").alias("long"))
@@ -193,7 +204,7 @@ def recurring_lines(
     else:
         templates = tried.groupBy("leaf").applyInArrow(_templates_of_leaf(min_docs, min_fixed), _TEMPLATES)
     templates = stored(templates, "templates")
-    # From here on a template goes by its hash within its leaf, as lines do; its text comes back at the end.
+    # From here on a template goes by its hash within its leaf, as lines do.
     by_hash = templates.withColumn("text", F.col("template")).withColumn("template", F.xxhash64("template"))
     likely = by_hash.groupBy("leaf", "template").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
     named = by_hash.join(likely, ["leaf", "template"], "left_semi").select("leaf", "key", "template", "fixed", F.lit(min_docs).alias("least"))
@@ -209,27 +220,69 @@ def recurring_lines(
     named = named.select("key", "fixed", *group).join(spread, ["leaf", "template", "exact"])
     # A line goes by its most specific template that recurs.
     named = named.groupBy("leaf", "key").agg(F.max(F.struct("fixed", "template", "docs", "first")).alias("best")).select("leaf", "key", "best.template", "best.docs", "best.first")
-    found = named.join(distinct.select("leaf", "key", "line"), ["leaf", "key"])
-    found = found.join(by_hash.select("leaf", "key", "template", "text"), ["leaf", "key", "template"], "left")
-    text = F.coalesce("text", "line").alias("template")
-    return stored(found.select("leaf", "key", "line", text, "docs", "first"), "templates"), held
-
-
-def _rewritten(text: bytes | None, drop: dict[bytes, object] | frozenset[bytes], doc: object) -> tuple[bytes | None, int, int, bool]:
-    """Text without the lines to drop, lines before, lines dropped, whether it lost all its words."""
-    if text is None:
-        return None, 0, 0, False
-    lines = text.split(b"\n")
-    every = isinstance(drop, frozenset)
-
-    def goes(line: bytes) -> bool:
-        key = b" ".join(line.split())
-        return key in drop and (every or drop[key] != doc or doc is None)
-
-    kept = [line for line in lines if not goes(line)]
-    gone = len(lines) - len(kept)
-    emptied = gone > 0 and not any(line.strip() for line in kept)
-    return b"\n".join(kept), len(lines), gone, emptied
+    return stored(named, "templates"), held, distinct, by_hash
+
+
+def _key(words: list[bytes]) -> int:
+    """A line's name within its leaf, as Spark's ``xxhash64`` gives it."""
+    key = xxhash.xxh64_intdigest(b" ".join(words), 42)
+    return key - 2**64 if key >= 2**63 else key
+
+
+class _Recurring:
+    """Lines to drop by name, and the document that keeps each: 16 bytes a line and an id."""
+
+    def __init__(self, lines: pa.Table):
+        lines = lines.combine_chunks().sort_by("key")
+        self.keys, self.leaves = (lines[c].to_numpy() for c in ("key", "leaf"))
+        self.first = lines["first"].combine_chunks()
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where the first line of each key is, -1 if there is none."""
+        at = np.searchsorted(self.keys, keys)
+        found = at < len(self.keys)
+        found[found] = self.keys[at[found]] == keys[found]
+        return np.where(found, at, -1)
+
+    def goes(self, at: int, words: list[bytes], doc: object) -> bool:
+        """Whether the line is one of those of its key, from place ``at`` on, and is kept by another document."""
+        key, place = self.keys[at], leaf(words)
+        while at < len(self.keys) and self.keys[at] == key:
+            if self.leaves[at] == place:
+                return doc is None or self.first[at].as_py() != doc
+            at += 1
+        return False
+
+
+def _rewritten(texts: pa.Array, ids: pa.Array, lines: _Recurring) -> list[tuple[bytes | None, int, int, bool]]:
+    """Texts without the lines to drop, lines before, lines dropped, whether a text lost all its words."""
+    held = [None if t is None else t.split(b"\n") for t in texts.to_pylist()]
+    keys = np.array([_key(line.split()) for of in held for line in of or ()], np.int64)
+    return _left(held, lines.places(keys), lambda n, at, words: lines.goes(at, words, ids[n].as_py()))
+
+
+def _rewritten_by_lists(texts: pa.Array, drops: pa.ListArray) -> list[tuple[bytes | None, int, int, bool]]:
+    """The same, where each row brings the names of the lines it loses."""
+    held = [None if t is None else t.split(b"\n") for t in texts.to_pylist()]
+    gone = [{(d["leaf"], d["key"]) for d in of or ()} for of in drops.to_pylist()]
+    keys = [{key for _, key in of} for of in gone]
+    places = np.array([0 if known and _key(line.split()) in known else -1 for of, known in zip(held, keys, strict=True) for line in of or ()], np.int64)
+    return _left(held, places, lambda n, at, words: (leaf(words), _key(words)) in gone[n])
+
+
+def _left(held: list[list[bytes] | None], places: np.ndarray, goes) -> list[tuple[bytes | None, int, int, bool]]:
+    """What is left of each text's lines; only lines that have a place may go."""
+    out, at = [], 0
+    for n, of in enumerate(held):
+        if of is None:
+            out.append((None, 0, 0, False))
+            continue
+        here = places[at : at + len(of)].tolist()
+        at += len(of)
+        kept = [line for line, place in zip(of, here, strict=True) if place < 0 or not goes(n, place, line.split())]
+        gone = len(of) - len(kept)
+        out.append((b"\n".join(kept), len(of), gone, gone > 0 and not any(line.strip() for line in kept)))
+    return out
 
 
 def without_recurring_lines(
@@ -251,8 +304,7 @@ def without_recurring_lines(
     its id keep them too, a row without an id loses them. Null and empty texts stay as they
     are.
     """
-    lines, held = recurring_lines(docs, id_col, text_col, min_docs, min_fixed, leaf_limit, leaf_tokens=leaf_tokens)
-    size = lines.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("line")), F.lit(0))).first()
+    lines, held, *_ = _recurring_names(docs, id_col, text_col, min_docs, min_fixed, leaf_limit, LONG_WORDS, leaf_tokens)
     place, key = docs.columns.index(text_col), docs.columns.index(id_col)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema = f"{columns}, __lines int, __dropped int, __emptied boolean"
@@ -264,22 +316,23 @@ def without_recurring_lines(
         return pa.RecordBatch.from_arrays([*columns, *counts], [*docs_columns, "__lines", "__dropped", "__emptied"])
 
     docs_columns = docs.columns
-    if size[0] <= line_limit and size[1] <= LINE_BYTES:
-        shared = docs.sparkSession.sparkContext.broadcast({r["line"].encode(): r["first"] for r in lines.select("line", "first").collect()})
+    lines = lines.select("leaf", "key", "first")
+    if lines.count() <= line_limit:
+        shared = docs.sparkSession.sparkContext.broadcast(_Recurring(lines.toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in sliced(batches):
-                texts, ids = batch.column(place).cast(pa.binary()), batch.column(key)
-                yield renewed(batch, [_rewritten(t.as_py(), shared.value, i.as_py()) for t, i in zip(texts, ids, strict=True)])
+                yield renewed(batch, _rewritten(batch.column(place).cast(pa.binary()), batch.column(key), shared.value))
 
         return docs.mapInArrow(run, schema)
 
-    drop = held.join(lines, ["leaf", "key"]).where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("__drop"))
+    # Names of lines move to the documents, not lines. A row without an id loses all of them.
+    drop = held.join(lines, ["leaf", "key"]).where(F.coalesce(F.col("doc") != F.col("first"), F.lit(True)))
+    drop = drop.groupBy("doc").agg(F.collect_set(F.struct("leaf", "key")).alias("__drop"))
     joined = docs.join(drop, docs[id_col].eqNullSafe(drop["doc"]), "left").drop(drop["doc"])
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            texts, drops = batch.column(place).cast(pa.binary()), batch.column(len(docs_columns))
-            yield renewed(batch, [_rewritten(t.as_py(), frozenset(x.encode() for x in d.as_py() or ()), None) for t, d in zip(texts, drops, strict=True)])
+            yield renewed(batch, _rewritten_by_lists(batch.column(place).cast(pa.binary()), batch.column(len(docs_columns))))
 
     return joined.mapInArrow(run_joined, schema)

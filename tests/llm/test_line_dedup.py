@@ -69,3 +69,21 @@ def test_against_the_rules(spark, seed, leaf_tokens):
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got == want
     assert sum(want[i] != t for i, t in rows) > 20
+
+
+def test_names_of_lines_move_not_lines(spark):
+    """Long lines that recur, and rows of no id, by both ways of the last pass."""
+    long = [" ".join(f"w{i}x{n}" for n in range(400)) for i in range(30)]
+    rows = [(d, f"own{d}\n{long[i]}") for i in range(30) for d in (2 * i, 2 * i + 1)]
+    rows += [(None, long[7]), (None, long[7] + "\nno id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = [text if d is not None and d % 2 == 0 else "\n".join(x for x in text.split("\n") if x not in long) for d, text in rows]
+    names, *_ = line_dedup._recurring_names(docs, "doc_id", "text", 10, 0.6, 100, 50, 2_000_000)
+    assert {k for _, k in names.dtypes} == {"bigint"} and names.count() == 30
+    for limit in (1000, 0):
+        got = line_dedup.without_recurring_lines(docs, line_limit=limit).select("text").collect()
+        assert sorted(r["text"] for r in got) == sorted(want)
+    nameless = docs.withColumn("doc_id", docs.doc_id * None)
+    for limit in (1000, 0):  # all count as one document: nothing recurs
+        got = line_dedup.without_recurring_lines(nameless, line_limit=limit).select("text").collect()
+        assert sorted(r["text"] for r in got) == sorted(t for _, t in rows)
