@@ -147,8 +147,7 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> LabelM
 
 
 def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> np.ndarray:
-    """Weights (the last is the constant) of a logistic model on soft labels, both classes weighing alike."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    """Weights of a logistic model on soft labels, both classes weighing alike; the last column of ``x`` is 1."""
     weight = np.where(y > 0.5, 0.5 / max((y > 0.5).mean(), 1e-3), 0.5 / max((y <= 0.5).mean(), 1e-3)) / len(y)
     w, m, s = (np.zeros(x.shape[1]) for _ in range(3))
     for t in range(1, rounds + 1):
@@ -181,8 +180,10 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         found = [(t, figures(t)) for t in _texts(batch, 0)]
-        x = [features(t, f).tobytes() for t, f in found]
-        yield pa.RecordBatch.from_arrays([pa.array([votes(f) for _, f in found], pa.int32()), batch.column(1), pa.array(x, pa.binary())], ["code", "h", "x"])
+        x = [features(t, f) for t, f in found]
+        at = [np.flatnonzero(one).astype(np.int32) for one in x]
+        cells = [pa.array([one.tobytes() for one in at], pa.binary()), pa.array([one[i].tobytes() for one, i in zip(x, at, strict=True)], pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([votes(f) for _, f in found], pa.int32()), batch.column(1), *cells], ["code", "h", "at", "x"])
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
@@ -195,11 +196,15 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
     # The sample is the distinct texts of smallest hash: first the bound, then the texts below it.
     hashed = texts.where("t is not null").withColumn("h", F.xxhash64("t"))
     bound = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    few = hashed.where(F.col("h") <= bound).select("t", "h").mapInArrow(_featured, "code int, h bigint, x binary")
-    rows = few.where("code >= 0").dropDuplicates(["h"]).orderBy("h").toPandas()
-    if rows.empty:
+    few = hashed.where(F.col("h") <= bound).select("t", "h").mapInArrow(_featured, "code int, h bigint, at binary, x binary")
+    rows = few.where("code >= 0").dropDuplicates(["h"]).orderBy("h").toArrow()
+    if not rows.num_rows:
         return Model(labels, np.zeros(DIM + 1))
-    x = np.stack([np.frombuffer(b, np.float32) for b in rows["x"]])
+    # Few cells of a row are not 0, so only these travel, and the driver holds one matrix.
+    x = np.zeros((rows.num_rows, DIM + 1))
+    x[:, -1] = 1
+    for row, at, values in zip(x, rows["at"], rows["x"], strict=True):
+        row[np.frombuffer(at.as_py(), np.int32)] = np.frombuffer(values.as_py(), np.float32)
     return Model(labels, fit_scorer(x, labels.posterior(rows["code"].to_numpy())))
 
 
