@@ -140,8 +140,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) ->
     )
 
 
-# Similar texts. Two sets of shingles that share 0.8 of their union differ in about 15 % of a
-# fingerprint's bits, far more than a grid search with equal coordinates bears. So texts get
+# Similar texts. The tables of distances to references above find all texts whose fingerprints
+# differ in two bits at most. But two sets of shingles that share 0.8 of their union differ in
+# about 15 % of a fingerprint's bits, far more than that grid bears. So texts also get
 # eight fingerprints, read as 32 coordinates of 16 bits (each is the row of distances to 16
 # one-bit references), and texts that agree in one coordinate meet. Within such a cell every
 # text is compared with all others; pairs found this way are verified by the shingles
@@ -352,6 +353,19 @@ def _pairs(cells: DataFrame, every: bool, min_similarity: float) -> DataFrame:
     return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _pivot_pairs(distinct: DataFrame, max_distance: int = 2) -> DataFrame:
+    """Pairs (``a`` > ``b``) of texts that the tables of distances to references find for the first fingerprint.
+
+    All pairs of fingerprints ``max_distance`` bits apart or fewer are found; the text of smallest
+    name stands for a fingerprint and is paired with the others that have it.
+    """
+    named = distinct.select("rep", F.col("prints")[0].alias("fp"))
+    prints = stored(named.groupBy("fp").agg(F.min("rep").alias("rep")), "similar")
+    same = named.join(prints.withColumnRenamed("rep", "b"), "fp").where("rep <> b").select(F.col("rep").alias("a"), "b")
+    found = linked_pairs(prints, max_distance).union(same)
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
 def _verified(min_similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -394,9 +408,10 @@ def similar_groups(docs: DataFrame, shingle: int = 5, min_similarity: float = 0.
         for n in range(PRINTS * per)
     ]
     near = [f"f{i}" for i in range(4)]
+    pivoted = _pivot_pairs(distinct)
     met = distinct.select(F.col("rep").alias("uid"), F.col("rep").alias("label"), "size", *(F.col("prints")[i].alias(n) for i, n in enumerate(near)), F.explode(F.array(*cell)).alias("x"))
     met = met.select("x.band", "x.cell", "uid", "label", "size", *near)
-    pairs = stored(_pairs(met, False, min_similarity), "similar")
+    pairs = stored(pivoted.union(_pairs(met, False, min_similarity)).distinct(), "similar")
 
     # Texts that are close to none in any of their cells are in no pair and need not be looked at again.
     wanted = stored(pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct(), "similar")

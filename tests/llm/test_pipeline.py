@@ -1,9 +1,13 @@
 """The stages in a row, and the queries' names."""
 
+import random
+
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from callmeter.llm import queries
+from callmeter.llm import quality, queries, simhash_dedup
 from callmeter.llm.common import table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,3 +53,30 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
         assert docs.count() == 0
+
+
+def test_near_duplicates_are_found_by_distances_to_references(spark, monkeypatch):
+    """Without the search in bands, all texts whose fingerprints are two bits apart are linked."""
+    rng = random.Random(5)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(1500)] for _ in range(30)]
+    texts += [[*t[:700], "changed", *t[701:]] for t in texts]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    first = [simhash_dedup.fingerprint_set(simhash_dedup.shingle_set(t.encode(), 5))[0] for _, t in rows]
+    close = [i for i in range(30) if ((first[i] ^ first[30 + i]) & (2**64 - 1)).bit_count() <= 2]
+    assert len(close) > 5
+    monkeypatch.setattr(simhash_dedup, "_pairs", lambda cells, *_: cells.where("false").selectExpr("uid a", "uid b"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_similar(spark, docs, SF_DIR).collect()}
+    assert kept == set(range(60)) - {30 + i for i in close}
+
+
+def test_few_cells_of_a_document_travel_to_the_scorer(spark):
+    docs = table(spark, SF_DIR, "documents").select("text").limit(40)
+    texts = [r.text.encode() for r in docs.collect() if r.text and r.text.split()]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)), pa.int64())], ["t", "h"])
+    (found,) = quality._featured(iter([batch]))
+    for text, at, x in zip(texts, found["at"].to_pylist(), found["x"].to_pylist(), strict=True):
+        dense = np.zeros(quality.DIM, np.float32)
+        dense[np.frombuffer(at, np.int32)] = np.frombuffer(x, np.float32)
+        assert (dense == quality.features(text, quality.figures(text))).all()
+    assert sum(map(len, found["at"].to_pylist() + found["x"].to_pylist())) < len(texts) * quality.DIM * 2
