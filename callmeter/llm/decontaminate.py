@@ -31,8 +31,9 @@ EDIT_RATE = 0.1
 BLOCK_CHARS = 4_000_000
 _BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Bytes of text that are searched at a time.
+#: Bytes of text that are searched at a time, and places that are looked up at a time.
 _SLAB = 4_000_000
+_PLACES = 1 << 16
 
 
 def plain(text: bytes) -> bytes:
@@ -90,6 +91,12 @@ def build_index(items: list[tuple[int, bytes]], segment: int = SEGMENT, rate: fl
     return Index(np.array(owner, np.int64), segments, np.array(offsets, np.int64), budget, sizes - budget * Q, grams, np.append(first, len(flat)), posted)
 
 
+def _met(codes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Places whose q-gram may be one of the index; a part at a time, as slots take many times the text's bytes."""
+    parts = [np.flatnonzero(seen[_slot(codes[at : at + _PLACES])]) + at for at in range(0, len(codes), _PLACES)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 def _dense(places: np.ndarray, reach: int, bound: int) -> np.ndarray:
     """Places that have ``bound`` places at least within ``reach``, themselves included."""
     return places[np.searchsorted(places, places + reach, "right") - np.searchsorted(places, places - reach) >= bound]
@@ -106,7 +113,7 @@ def candidates(text: np.ndarray, index: Index, seen: np.ndarray) -> tuple[np.nda
     none = np.empty(0, np.int64), np.empty(0, np.int64)
     codes = _grams(text)
     least = int(index.bound.min())
-    places = np.flatnonzero(seen[_slot(codes)])
+    places = _met(codes, seen)
     places = _dense(places, index.reach, least)
     at = np.minimum(np.searchsorted(index.grams, codes[places]), len(index.grams) - 1)
     real = index.grams[at] == codes[places]

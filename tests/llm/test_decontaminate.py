@@ -1,6 +1,7 @@
 """Decontamination: edits of every kind are found, and blocks change nothing."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -78,3 +79,26 @@ def test_blocks_of_items_change_nothing(spark):
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 150
     left = [sorted(str(r.doc_id) for r in decontaminate.without_benchmark(table, benchmark, block_chars=size).collect()) for size in (4_000_000, 60)]
     assert left[0] == left[1] == ["8"]
+
+
+def test_looking_up_places_takes_little_memory_and_misses_none(monkeypatch):
+    rng = random.Random(4)
+    item = prose(rng, 30).encode()
+    index = decontaminate.build_index([(7, item)])
+    seen = np.zeros(1 << 22, bool)
+    seen[decontaminate._slot(index.grams)] = True
+    text = np.frombuffer(b"0123456789" * 200_000 + item + b"0123456789" * 200_000, np.uint8)
+    tracemalloc.start()
+    try:
+        found = decontaminate.candidates(text, index, seen)
+        assert tracemalloc.get_traced_memory()[1] < 4 * len(text)
+    finally:
+        tracemalloc.stop()
+    assert len(found[0])
+    monkeypatch.setattr(decontaminate, "_PLACES", 7)
+    short = text[1_999_000:2_001_000]
+    few = decontaminate.candidates(short, index, seen)
+    monkeypatch.setattr(decontaminate, "_PLACES", 1 << 30)
+    for a, b in zip(few, decontaminate.candidates(short, index, seen), strict=True):
+        assert np.array_equal(a, b)
+    assert not len(decontaminate.candidates(text[:3], index, seen)[0])

@@ -55,6 +55,18 @@ def test_stages_on_an_empty_table(spark):
         assert docs.count() == 0
 
 
+def test_stages_send_long_texts_to_python_a_few_mb_at_a_time(spark):
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 300).alias("text"))
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        try:
+            stage(spark, docs.limit(0), SF_DIR)
+            sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches), "size bigint")
+            assert max(r.size for r in sizes.collect()) < 8 << 20
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
 def test_near_duplicates_are_found_by_distances_to_references(spark, monkeypatch):
     """Without the search in bands, all texts whose fingerprints are two bits apart are linked."""
     rng = random.Random(5)
