@@ -187,15 +187,14 @@ def _placed(df: DataFrame, key: str, sizes: tuple[int, int] = (_SMALL_PART, _MAN
     made anew from one copy and their count, in portions of a quarter of a partition at most.
     """
     columns = df.columns
-    counted = df.select(content_digest(df).alias("_content"), _bytes(df).alias("_bytes"))
-    counted = counted.groupBy("_content").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")).persist()
-    try:
-        size = counted.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()
-        parts = _parts(size[0], *sizes)
-        frequent = counted.where((F.col("_bytes") * 2 * parts > size[0]) & (F.col("_n") > 1) & F.lit(parts > 1))
+    size = df.select(_bytes(df).alias("_bytes")).agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    parts, heavy = _parts(size[0], *sizes), {}
+    if parts > 1:
+        # Counts are not held: what is held keeps all its shuffle's partitions, and each reports to the driver.
+        counted = df.select(content_digest(df).alias("_content"), _bytes(df).alias("_bytes"))
+        counted = counted.groupBy("_content").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes"))
+        frequent = counted.where((F.col("_bytes") * 2 * parts > size[0]) & (F.col("_n") > 1))
         heavy = {tuple(r["_content"]): r for r in frequent.collect()}
-    finally:
-        counted.unpersist()
     rows = df.select("*", content_digest(df).alias("_content"), F.lit(0).alias("_portion"), F.lit(1).alias("_copies"))
     if heavy:
         spark = df.sparkSession

@@ -88,3 +88,17 @@ def test_fits_take_few_partitions_until_these_are_large(spark, monkeypatch, fit,
         models.fit_mlp(train, val, columns=["day_mins"], hidden=(2,), rounds=1, iterations=1)
     parts = lambda size: models._parts(size, *[n for sizes in placed for s in sizes for n in s])
     assert (parts(1 << 20), parts(2 << 30), parts(64 << 30)) == (1, most, 512)
+
+
+def test_placing_rows_takes_few_tasks_however_many_partitions_a_shuffle_has(spark):
+    rows = prepared(spark, SF_DIR).select(KEY, LABEL, "day_mins")
+    sc, before = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    sc.setJobGroup("placing", "placing")
+    try:
+        models._placed(rows, KEY, (1 << 10, 4))
+    finally:
+        sc._jsc.clearJobGroup()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("placing")]
+    assert sum(sc.statusTracker().getStageInfo(s).numTasks for s in {s for j in jobs for s in j.stageIds}) < 300
