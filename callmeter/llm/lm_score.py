@@ -15,6 +15,8 @@ A text is scored in windows of ``2 * BLOCK`` ids that overlap by half: each id i
 once, in the second half of its window, so that it sees ``BLOCK`` ids at least (all there are
 at a text's start). Windows of a batch go through masked attention together.
 
+Texts are cut into words and pieces once; what training and scoring read are the pieces' ids.
+
 The baseline's words are a distributed join: frequent words (a bounded table) are looked up
 where the text lies, the long tail is joined by word and summed up by document.
 """
@@ -24,7 +26,8 @@ from __future__ import annotations
 import base64
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -55,23 +58,33 @@ def words_of(text: bytes) -> list[bytes]:
 @dataclass
 class Vocabulary:
     ranks: dict[bytes, int]
-    longest: dict[bytes, int] = field(default_factory=dict)
+    lengths: dict[bytes, tuple[int, ...]] = field(default_factory=dict)
     cache: dict[bytes, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        by: dict[bytes, set[int]] = {}
         for piece in self.ranks:
-            self.longest[piece[:2]] = max(self.longest.get(piece[:2], 1), len(piece))
+            by.setdefault(piece[:3], set()).add(len(piece))
+        for start, lengths in by.items():
+            lengths |= {n for n in (1, 2) if start[:n] in self.ranks}
+        self.lengths = {start: tuple(sorted(lengths, reverse=True)) for start, lengths in by.items()}
 
     @property
     def end(self) -> int:
         return len(self.ranks)
 
+    @property
+    def kind(self) -> type:
+        """Of an id."""
+        return np.uint16 if self.end < 1 << 16 else np.int32
+
     def pieces(self, word: bytes) -> list[int]:
         """Ranks of the longest pieces from the left of a word with a blank before it."""
         text, at, out = b" " + word, 0, []
-        ranks, longest = self.ranks, self.longest
+        ranks, lengths = self.ranks, self.lengths
         while at < len(text):
-            for n in range(min(longest.get(text[at : at + 2], 1), len(text) - at), 0, -1):
+            # No piece begins with three bytes that are not listed.
+            for n in lengths.get(text[at : at + 3], (2, 1)):
                 rank = ranks.get(text[at : at + n])
                 if rank is not None:
                     out.append(rank)
@@ -81,18 +94,18 @@ class Vocabulary:
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         """Ranks of the words' pieces and the end."""
-        cache, out = self.cache, []
+        cache, kind, out = self.cache, self.kind, []
         for w in words:
             packed = cache.get(w)
             if packed is None:
                 if len(cache) > _CACHE:
                     cache.clear()
-                packed = np.array(self.pieces(w), np.int32).tobytes()
+                packed = np.array(self.pieces(w), kind).tobytes()
                 if len(w) <= 40:
                     cache[w] = packed
             out.append(packed)
-        out.append(np.int32(self.end).tobytes())
-        return np.frombuffer(b"".join(out), np.int32)
+        out.append(kind(self.end).tobytes())
+        return np.frombuffer(b"".join(out), kind)
 
 
 def load_vocabulary(path: str | None = None) -> Vocabulary:
@@ -116,6 +129,17 @@ class Model:
     direct2: np.ndarray
     weights: dict[str, np.ndarray]
 
+    @cached_property
+    def direct(self) -> np.ndarray:
+        """Logits of the groups and, beside them, of the classes within one, by vector and group."""
+        groups = np.repeat(self.direct1[:, None], GROUPS, axis=1)
+        return np.concatenate([groups, self.direct2], axis=2).reshape(-1, GROUPS + PER_GROUP)
+
+    @cached_property
+    def group(self) -> np.ndarray:
+        """By rank; the last one, where -1 leads, stands for no piece."""
+        return np.append(self.cls // PER_GROUP, GROUPS).astype(np.uint8)
+
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[bytes] = Counter()
@@ -245,111 +269,121 @@ _MASK = np.where((_AGE >= 0) & (_AGE < 2 * BLOCK), 0.0, -1e9).astype(np.float32)
 _FIRST = np.where(np.arange(2 * BLOCK) < BLOCK, -1e9, 0.0).astype(np.float32)
 
 
-def _attend(w: dict[str, np.ndarray], ids: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, ...]:
+_AGES = np.clip(_AGE, 0, 2 * BLOCK - 1)
+_SCALE = np.float32(1 / np.sqrt(KEY))
+#: Sums up the exponentials of the groups, and of the classes within one.
+_PARTS = np.repeat(np.eye(2, dtype=np.float32), [GROUPS, PER_GROUP], axis=0)
+
+
+def _projections(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Query, key and value of every vector side by side, and a one, which sums up weights next to values."""
+    out = np.ones((len(w["e"]), 2 * KEY + VALUE + 1), np.float32)
+    np.matmul(w["e"], np.hstack([w["q"] * _SCALE, w["k"], w["v"]]), out=out[:, :-1])
+    return out
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    """Vectors of windows that follow each other, each once: the first half of a window is the second half of the one before."""
+    return np.concatenate([ids[0, :BLOCK], ids[:, BLOCK:].ravel()])
+
+
+def _attend(w: dict[str, np.ndarray], every: np.ndarray, at: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, ...]:
     """Masked attention of each window's second half over the whole of it.
 
     Returns what is attended to, the weights before they are divided by their sums, the sums,
-    and queries, keys and values.
+    and queries, keys, and values with a one.
     """
-    q = (w["e"] @ w["q"] / np.float32(np.sqrt(KEY))).take(ids[:, BLOCK:], axis=0)
-    kv = (w["e"] @ np.hstack([w["k"], w["v"]])).take(ids, axis=0)
-    k, v = kv[:, :, :KEY], kv[:, :, KEY:]
+    rows = every.take(at, axis=0)
+    q = rows[BLOCK:, :KEY].reshape(-1, BLOCK, KEY)
+    # A view in which each window begins a block of rows after the one before.
+    both = np.ndarray((len(joined), 2 * BLOCK, rows.shape[1]), rows.dtype, rows, 0, (BLOCK * rows.strides[0], *rows.strides))
+    k, v = both[:, :, KEY : 2 * KEY], both[:, :, 2 * KEY :]
     s = q @ k.transpose(0, 2, 1)
-    s += _MASK + w["far"][np.clip(_AGE, 0, 2 * BLOCK - 1)]
+    s += _MASK + w["far"][_AGES]
     s[~joined] += _FIRST
     np.minimum(s, 60, out=s)
     np.exp(s, out=s)
-    total = s @ _ONES[: 2 * BLOCK]
-    a = s @ v
-    a /= total[:, :, None]
-    return a, s, total, q, k, v
-
+    a = (s @ v).reshape(-1, VALUE + 1)
+    return a[:, :-1] / a[:, -1:], s, a[:, -1], q, k, v
 
-_ONES = np.ones(max(2 * BLOCK, GROUPS, PER_GROUP), np.float32)
 
+def _by_group(model: Model, target: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places that have a target, in order of its group; their targets and groups, where each group begins, and the targets' places among logits."""
+    t = target.ravel()
+    group = model.group.take(t)
+    cuts = [0, *np.cumsum(np.bincount(group, minlength=GROUPS))[:GROUPS].tolist()]
+    live = np.argsort(group, kind="stable")[: cuts[-1]]
+    t, group = t.take(live), group.take(live)
+    first = np.arange(0, len(t) * len(_PARTS), len(_PARTS))
+    return live, t, group, cuts, np.stack([first + group, first + (GROUPS + model.cls.take(t) % PER_GROUP)])
 
-def _log_share(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at a place; ``z`` becomes its exponentials.
 
-    Logits are logarithms of shares and a small term, so no maximum need be taken off.
-    """
-    np.minimum(z, 60, out=z)
-    picked = z[np.arange(len(z)), at]
-    np.exp(z, out=z)
-    return picked - np.log(z @ _ONES[: z.shape[1]])
+def _logits(model: Model, a: np.ndarray, x: np.ndarray, group: np.ndarray, cuts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the groups, and beside them of the classes within each row's group, whose rows stand together; the weights by group."""
+    w = np.concatenate([np.broadcast_to(model.weights["b1"], (GROUPS, VALUE, GROUPS)), model.weights["b2"]], axis=2)
+    z = np.empty((len(a), len(_PARTS)), np.float32)
+    for g, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        np.matmul(a[s:e], w[g], out=z[s:e])
+    z += model.direct.take(x * GROUPS + group, axis=0)
+    # Logits are logarithms of shares and a small term, so no maximum need be taken off.
+    return np.minimum(z, 60, out=z), w
 
 
-def log_probabilities(model: Model, ids: np.ndarray, joined: np.ndarray, target: np.ndarray) -> np.ndarray:
+def log_probabilities(model: Model, every: np.ndarray, ids: np.ndarray, joined: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logarithms of each target's probability, 0 where there is none."""
-    a = _attend(model.weights, ids, joined)[0].reshape(-1, VALUE)
-    x, t = ids[:, BLOCK:].ravel(), target.ravel()
-    out = np.zeros(len(t))
-    live = np.flatnonzero(t >= 0)
-    cls = model.cls.take(t[live])
-    by = np.argsort((cls // PER_GROUP).astype(np.uint8), kind="stable")
-    live, cls = live[by], cls[by]
-    group = cls // PER_GROUP
-    a, x, t = a.take(live, axis=0), x.take(live), t.take(live)
-    z = a @ model.weights["b1"]
-    z += model.direct1.take(x, axis=0)
-    found = _log_share(z, group)
-    z = model.direct2.reshape(-1, PER_GROUP).take(x.astype(np.int64) * GROUPS + group, axis=0)
-    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
-    for g, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        z[s:e] += a[s:e] @ model.weights["b2"][g]
-    found += _log_share(z, cls % PER_GROUP)
+    at = _places(ids)
+    live, t, group, cuts, picked = _by_group(model, target)
+    a = _attend(model.weights, every, at, joined)[0].take(live, axis=0)
+    z, _ = _logits(model, a, at[BLOCK:].take(live), group, cuts)
+    found = z.ravel().take(picked).sum(0)
+    np.exp(z, out=z)
+    found -= np.log(z @ _PARTS).sum(1)
+    out = np.zeros(target.size)
     out[live] = found + model.share.take(t)
     return out
 
 
 def gradients(model: Model, ids: np.ndarray, joined: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative logarithm, by each weight."""
-    w = model.weights
-    a, p, total, q, k, v = _attend(w, ids, joined)
-    p /= total[:, :, None]
-    flat, x, t = a.reshape(-1, VALUE), ids[:, BLOCK:].ravel(), target.ravel()
-    live = np.flatnonzero(t >= 0)
-    cls = model.cls[t[live]]
-    group, within = cls // PER_GROUP, cls % PER_GROUP
-    n, here = max(len(live), 1), flat[live]
-    z = here @ w["b1"] + model.direct1[x[live]]
-    _log_share(z, group)
-    z /= z.sum(1, keepdims=True)
-    z[np.arange(len(z)), group] -= 1
-    z /= n
-    out = {"b1": here.T @ z, "b2": np.zeros_like(w["b2"])}
-    back = np.zeros_like(flat)
-    back[live] = z @ w["b1"].T
-    for g in range(GROUPS):
-        m = np.flatnonzero(group == g)
-        if len(m):
-            y = here[m] @ w["b2"][g] + model.direct2[x[live[m]], g]
-            _log_share(y, within[m])
-            y /= y.sum(1, keepdims=True)
-            y[np.arange(len(m)), within[m]] -= 1
-            y /= n
-            out["b2"][g] = here[m].T @ y
-            back[live[m]] += y @ w["b2"][g].T
-    da = back.reshape(a.shape)
-    dv = p.transpose(0, 2, 1) @ da
-    dp = da @ v.transpose(0, 2, 1)
-    ds = p * (dp - (dp * p).sum(2, keepdims=True))
-    far = ds.sum(0)
-    ok = (_AGE >= 0) & (_AGE < 2 * BLOCK)
-    out["far"] = np.bincount(_AGE[ok], far[ok], 2 * BLOCK).astype(np.float32)
-    scale = np.float32(1 / np.sqrt(KEY))
-    dq = (ds @ k) * scale
-    dk = ds.transpose(0, 2, 1) @ q
-    e = w["e"][ids]
-    own = e[:, BLOCK:].reshape(-1, WIDTH)
-    every = e.reshape(-1, WIDTH)
-    out["q"] = own.T @ dq.reshape(-1, KEY)
-    out["k"] = every.T @ dk.reshape(-1, KEY)
-    out["v"] = every.T @ dv.reshape(-1, VALUE)
-    de = dk @ w["k"].T + dv @ w["v"].T
-    de[:, BLOCK:] += dq @ w["q"].T
-    out["e"] = np.zeros_like(w["e"])
-    np.add.at(out["e"], ids.ravel(), de.reshape(-1, WIDTH))
+    """Of the mean negative logarithm, by each weight. Windows follow each other."""
+    w, at, many = model.weights, _places(ids), len(ids)
+    live, _, group, cuts, picked = _by_group(model, target)
+    a, p, total, q, k, v = _attend(w, _projections(w), at, joined)
+    a = a.take(live, axis=0)
+    z, by = _logits(model, a, at[BLOCK:].take(live), group, cuts)
+    n = np.float32(max(len(live), 1))
+    np.exp(z, out=z)
+    z *= (1 / (z @ _PARTS * n)) @ _PARTS.T
+    z.ravel()[picked] -= 1 / n
+    back, each = np.empty((len(a), VALUE + 1), np.float32), np.empty_like(by)
+    for g, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        np.matmul(a[s:e].T, z[s:e], out=each[g])
+        np.matmul(z[s:e], by[g].T, out=back[s:e, :-1])
+    out = {"b1": each[:, :, :GROUPS].sum(0), "b2": each[:, :, GROUPS:]}
+    # Weights have sums of one, so what is attended to comes off; the ones next to the values do that.
+    a *= back[:, :-1]
+    back[:, -1] = a @ -np.ones(VALUE, np.float32)
+    back /= total.take(live)[:, None]
+    da = np.zeros((many * BLOCK, VALUE + 1), np.float32)
+    da[live] = back
+    da = da.reshape(many, BLOCK, -1)
+    ds = da @ v.transpose(0, 2, 1)
+    ds *= p
+    out["far"] = np.bincount(_AGES.ravel(), np.ones(many, np.float32) @ ds.reshape(many, -1), 2 * BLOCK).astype(np.float32)
+    # Slopes of queries, keys and values; those of an id come from the two windows that it is in.
+    both = np.zeros((many, 2 * BLOCK, 2 * KEY + VALUE), np.float32)
+    np.matmul(ds, k, out=both[:, BLOCK:, :KEY])
+    np.matmul(ds.transpose(0, 2, 1), q, out=both[:, :, KEY : 2 * KEY])
+    np.matmul(p.transpose(0, 2, 1), da[:, :, :-1], out=both[:, :, 2 * KEY :])
+    both = both.reshape(many, 2, -1)
+    d = np.zeros((many + 1, both.shape[2]), np.float32)
+    d[1:] = both[:, 1]
+    d[:-1] += both[:, 0]
+    d = d.reshape(-1, 2 * KEY + VALUE)
+    own = w["e"].take(at, axis=0).T @ d
+    out["q"], out["k"], out["v"] = own[:, :KEY] * _SCALE, own[:, KEY : 2 * KEY], own[:, 2 * KEY :]
+    out["e"] = np.zeros(w["e"].shape, np.float32)
+    # One place at a time: adding whole rows at places takes far longer.
+    np.add.at(out["e"].ravel(), (at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), (d @ np.hstack([w["q"] * _SCALE, w["k"], w["v"]]).T).ravel())
     return out
 
 
@@ -371,23 +405,34 @@ def stretches(words: list[bytes], share: int, vocabulary: Vocabulary) -> list[np
 class _Trainer:
     def __init__(self, model: Model, rate: float):
         self.model, self.rate, self.t, self.seen = model, rate, 0, 0
-        self.m = {n: np.zeros_like(a) for n, a in model.weights.items()}
-        self.s = {n: np.zeros_like(a) for n, a in model.weights.items()}
+        # The weights become parts of one array, so that a step is taken in all of them at once.
+        self.names, shapes = sorted(model.weights), {n: a.shape for n, a in model.weights.items()}
+        self.flat = np.concatenate([model.weights[n].ravel() for n in self.names])
+        cuts = np.cumsum([model.weights[n].size for n in self.names])[:-1]
+        model.weights = {n: a.reshape(shapes[n]) for n, a in zip(self.names, np.split(self.flat, cuts), strict=True)}
+        self.m, self.s = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def learn(self, texts: list[np.ndarray]) -> None:
         """Steps over all windows of the texts."""
         ids, joined, target, _ = windows(texts, self.model)
-        drawn = np.arange(len(ids))
-        for at in range(0, len(drawn), 128):
-            some = drawn[at : at + 128]
+        self.seen += int((target >= 0).sum())
+        for at in range(0, len(ids), 128):
+            some = slice(at, at + 128)
             g = gradients(self.model, ids[some], joined[some], target[some])
             self.t += 1
-            self.seen += int((target[some] >= 0).sum())
-            for name, x in g.items():
-                self.m[name] = 0.9 * self.m[name] + 0.1 * x
-                self.s[name] = 0.99 * self.s[name] + 0.01 * x * x
-                up = self.m[name] / (1 - 0.9**self.t)
-                self.model.weights[name] -= (self.rate * up / (np.sqrt(self.s[name] / (1 - 0.99**self.t)) + 1e-7)).astype(np.float32)
+            x = np.concatenate([g[n].ravel() for n in self.names])
+            self.m *= 0.9
+            self.m += 0.1 * x
+            self.s *= 0.99
+            x *= x
+            x *= 0.01
+            self.s += x
+            spread = (1 - 0.99**self.t) ** 0.5
+            by = np.sqrt(self.s, out=x)
+            by += 1e-7 * spread
+            np.divide(self.m, by, out=by)
+            by *= self.rate * spread / (1 - 0.9**self.t)
+            self.flat -= by
 
 
 def _slabs(column: pa.Array, size: int = 1_000_000) -> Iterator[list[bytes]]:
@@ -402,16 +447,15 @@ def _slabs(column: pa.Array, size: int = 1_000_000) -> Iterator[list[bytes]]:
         yield some
 
 
-def _trained(shared, share: int, rate: float):
+def _trained(shared, kind: type, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, model = shared.value
-        model = Model(model.vector, model.cls, model.share, model.direct1, model.direct2, {n: a.copy() for n, a in model.weights.items()})
+        model = replace(shared.value, weights=dict(shared.value.weights))
         trainer = _Trainer(model, rate)
         for batch in sliced(batches):
             for some in _slabs(batch.column(0)):
-                trainer.learn([ids for t in some for ids in stretches(words_of(t), share, vocabulary)])
+                trainer.learn([np.frombuffer(ids, kind) for ids in some])
         if trainer.seen:
-            flat = np.concatenate([a.ravel() for _, a in sorted(model.weights.items())]).astype(np.float64) * trainer.seen
+            flat = trainer.flat.astype(np.float64) * trainer.seen
             cuts = range(0, len(flat), 4096)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(cuts)), pa.int32()), pa.array([trainer.seen] * len(cuts), pa.int64()), pa.array([flat[c : c + 4096] for c in cuts], pa.list_(pa.float64()))],
@@ -421,8 +465,8 @@ def _trained(shared, share: int, rate: float):
     return run
 
 
-def train(docs: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str = "text", share: int = SHARE) -> Model:
-    """Trains the attention: a start on a bounded sample, then all partitions on their own, averaged."""
+def train(docs: DataFrame, learned: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str = "text") -> Model:
+    """Trains the attention: a start on a bounded sample of ``docs``, then all partitions of ``learned`` (``ids``) on their own, averaged."""
     texts = docs.select(F.col(text_col).alias("t")).where("t is not null")
     few = texts.where(F.length("t") <= 20_000).orderBy(F.xxhash64("t"), "t").limit(START_DOCS).collect()
     sample = [vocabulary.encode(words_of(r.t.encode())) for r in few]
@@ -430,8 +474,9 @@ def train(docs: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str =
         start = _Trainer(model, rate)
         for _ in range(2):
             start.learn(sample)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
-    parts = texts.mapInArrow(_trained(shared, share, 0.004), "part int, seen bigint, sums array<double>")
+    model = replace(model)  # without what was worked out from it
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts = learned.select("ids").mapInArrow(_trained(shared, vocabulary.kind, 0.004), "part int, seen bigint, sums array<double>")
     # One row a weight and partition, summed before the shuffle; the result is bounded by the weights.
     one = parts.select("part", "seen", F.posexplode("sums").alias("i", "x"))
     sums = one.groupBy("part", "i").agg(F.sum("x").alias("x"), F.sum("seen").alias("n")).toPandas()
@@ -449,38 +494,57 @@ def score_texts(texts: list[np.ndarray], model: Model) -> np.ndarray:
     """Base-10 logarithms of the probabilities of texts (ranks of their pieces and the end)."""
     ids, joined, target, text = windows(texts, model)
     out = np.zeros(len(texts))
-    for at in range(0, len(ids), 2048):
-        s = slice(at, at + 2048)
-        found = log_probabilities(model, ids[s], joined[s], target[s]).reshape(-1, BLOCK).sum(1)
+    every = _projections(model.weights)
+    # So few at a time that what is made of them stays in a core's cache.
+    for at in range(0, len(ids), 256):
+        s = slice(at, at + 256)
+        found = log_probabilities(model, every, ids[s], joined[s], target[s]).reshape(-1, BLOCK).sum(1)
         out += np.bincount(text[s], found, len(texts))
     return out / np.log(10)
 
 
-def _scored(shared):
+def _encoded(shared, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, model, heads = shared.value
+        vocabulary, heads = shared.value
         for batch in sliced(batches):
-            n, scores, base, known, tails, tail_counts, ends = [], [], [], [], [], [], [0]
+            n, base, known, tails, tail_counts, ends, ids, parts = [], [], [], [], [], [0], [], []
             for some in _slabs(batch.column(batch.num_columns - 1)):
-                split = [words_of(t) for t in some]
-                scores.append(score_texts([vocabulary.encode(w) for w in split], model))
-                for words in split:
+                for words in map(words_of, some):
+                    ids.append(vocabulary.encode(words).tobytes())
+                    parts.append(None if share == 1 else [p.tobytes() for p in stretches(words, share, vocabulary)])
                     words.append(END)
                     n.append(len(words))
-                    common = [c for c in map(heads.get, words) if c is not None]
-                    base.append(float(np.log10(np.array(common, np.float64) + 1).sum()))
+                    found = list(map(heads.get, words))
+                    common = [x for x in found if x is not None]
+                    base.append(float(np.array(common).sum()))
                     known.append(len(common))
                     if len(common) < len(words):
-                        tail = Counter(w for w in words if w not in heads)
+                        tail = Counter([w for w, x in zip(words, found, strict=True) if x is None])
                         tails += tail
                         tail_counts += tail.values()
                     ends.append(len(tails))
             tail = pa.StructArray.from_arrays([pa.array(tails, pa.binary()), pa.array(tail_counts, pa.int32())], ["word", "tf"])
             if n:
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(np.concatenate(scores)), pa.array(base), pa.array(known, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)],
-                    [*batch.schema.names[:-1], "n_tokens", "score", "base", "known", "tail"],
-                )
+                added = {
+                    "n_tokens": pa.array(n, pa.int64()),
+                    "base": pa.array(base),
+                    "known": pa.array(known, pa.int64()),
+                    "tail": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail),
+                    "ids": pa.array(ids, pa.binary()),
+                    "parts": pa.array(parts, pa.list_(pa.binary())),
+                }
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added.values()], [*batch.schema.names[:-1], *added])
+
+    return run
+
+
+def _scored(shared, kind: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in sliced(batches):
+            scores = [score_texts([np.frombuffer(ids, kind) for ids in some], model) for some in _slabs(batch.column(batch.num_columns - 1))]
+            if scores:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(scores))], [*batch.schema.names[:-1], "score"])
 
     return run
 
@@ -508,19 +572,25 @@ def score_documents(
     learned = rows.where("not held_out")
     counts = word_counts(learned, "t")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    common = {bytes(r.word): r.c for r in counts.orderBy(F.desc("c"), "word").limit(heads).collect()}
-    model = train(learned, prepare(counts, vocabulary), vocabulary, "t", share)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model, common))
-    kind = docs.schema[id_col].dataType.simpleString()
-    named = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "held_out", "t")
-    scored = named.mapInArrow(
-        _scored(shared),
-        f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, score double, base double, known bigint, tail array<struct<word: binary, tf: int>>",
+    common = {bytes(r.word): float(np.log10(r.c + 1)) for r in counts.orderBy(F.desc("c"), "word").limit(heads).collect()}
+    context, kind = docs.sparkSession.sparkContext, docs.schema[id_col].dataType.simpleString()
+    named = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "held_out", (~F.col("held_out") & F.col("t").isNotNull()).alias("learned"), "t")
+    coded = named.mapInArrow(
+        _encoded(context.broadcast((vocabulary, common)), share),
+        f"uid bigint, doc_id {kind}, held_out boolean, learned boolean, n_tokens bigint, base double, known bigint, "
+        "tail array<struct<word: binary, tf: int>>, ids binary, parts array<binary>",
+    )
+    coded = stored(coded, "ids")
+    to_learn = coded.where("learned").select("ids" if share == 1 else F.explode("parts").alias("ids"))
+    model = train(learned, to_learn, prepare(counts, vocabulary), vocabulary, "t")
+    scored = coded.select("uid", "doc_id", "held_out", "n_tokens", "base", "known", "ids").mapInArrow(
+        _scored(context.broadcast(model), vocabulary.kind),
+        f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, base double, known bigint, score double",
     )
     scored = stored(scored, "scores")
-    tail = scored.select("uid", F.explode("tail").alias("x")).select("uid", F.col("x.word").alias("word"), F.col("x.tf").alias("tf"))
+    tail = coded.select("uid", F.explode("tail").alias("x")).select("uid", F.col("x.word").alias("word"), F.col("x.tf").alias("tf"))
     found = tail.join(counts, "word").groupBy("uid").agg(F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("more"), F.sum("tf").alias("more_known"))
-    out = scored.drop("tail").join(found, "uid", "left")
+    out = scored.join(found, "uid", "left")
     zero = F.lit(0)
     smooth = F.lit(float(np.log10(total + distinct + 1)))
     return out.select(

@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables, and on odd input."""
 
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -376,3 +377,38 @@ def test_lm_trains_on_whole_texts():
     words = [b"word%d" % n for n in range(1000)]
     parts = lm_score.stretches(words, lm_score.SHARE, vocabulary)
     assert np.concatenate(parts).tolist() == vocabulary.encode(words).tolist()
+
+
+def test_lm_step_is_right_and_costs_little_beyond_its_arithmetic():
+    rng = np.random.default_rng(1)
+    size, classes = 4000, lm_score.GROUPS * lm_score.PER_GROUP
+    shapes = {"e": (lm_score.KNOWN + 2, 16), "q": (16, 12), "k": (16, 12), "v": (16, 24), "far": (32,), "b1": (24, 16), "b2": (16, 24, 32)}
+    weights = {n: (rng.standard_normal(s) * 0.3).astype(np.float32) for n, s in shapes.items()}
+    direct1, direct2 = (np.log(rng.dirichlet(np.ones(s[-1]), s[:-1]) + 1e-3).astype(np.float32) for s in ((lm_score.KNOWN + 2, 16), (lm_score.KNOWN + 2, 16, 32)))
+    cls = rng.integers(0, classes, size).astype(np.int32)
+    model = lm_score.Model(rng.integers(0, 2046, size).astype(np.int32), cls, np.zeros(size), direct1, direct2, weights)
+    texts = [rng.integers(0, size, n).astype(np.int32) for n in (45, 1, 700, 16, 1100, 64)]
+    ids, joined, target, _ = lm_score.windows(texts, model)
+
+    def loss(by: float, along: dict[str, np.ndarray]) -> float:
+        model.weights = {n: (w + by * along[n]).astype(np.float32) for n, w in weights.items()}
+        found = lm_score.score_texts(texts, model).sum() * np.log(10) / -sum(map(len, texts))
+        model.weights = weights
+        return found
+
+    slopes = lm_score.gradients(model, ids, joined, target)
+    for name in shapes:
+        along = {n: np.sign(slopes[n]) if n == name else 0 * a for n, a in weights.items()}
+        assert abs((loss(3e-3, along) - loss(-3e-3, along)) / 6e-3 / np.abs(slopes[name]).sum() - 1) < 0.02
+
+    def least(run) -> float:
+        took = []
+        for _ in range(60):
+            began = time.perf_counter()
+            run()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    # By a yardstick of the same machine: the exponentials of one step's attention.
+    some = rng.standard_normal((len(ids), lm_score.BLOCK, 2 * lm_score.BLOCK)).astype(np.float32)
+    assert least(lambda: lm_score.gradients(model, ids, joined, target)) < 75 * least(lambda: np.exp(some))
