@@ -24,13 +24,13 @@ where the text lies, the long tail is joined by word and summed up by document.
 from __future__ import annotations
 
 import base64
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +48,7 @@ START_DOCS = 400  # documents of the start sample
 HEADS = 60_000  # words looked up without a join
 END = b"\n"  # no word holds it
 _CACHE = 250_000
+_LONG = 40  # bytes of words that are cut one by one
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -58,16 +59,20 @@ def words_of(text: bytes) -> list[bytes]:
 @dataclass
 class Vocabulary:
     ranks: dict[bytes, int]
-    lengths: dict[bytes, tuple[int, ...]] = field(default_factory=dict)
     cache: dict[bytes, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        by: dict[bytes, set[int]] = {}
-        for piece in self.ranks:
-            by.setdefault(piece[:3], set()).add(len(piece))
-        for start, lengths in by.items():
-            lengths |= {n for n in (1, 2) if start[:n] in self.ranks}
-        self.lengths = {start: tuple(sorted(lengths, reverse=True)) for start, lengths in by.items()}
+        """States are beginnings of pieces, by length, then bytes: the state that follows from one by a byte is 1 + the place of both among ``steps``."""
+        begun = sorted({p[:n] for p in self.ranks for n in range(1, len(p) + 1)}, key=lambda p: (len(p), p))
+        state = {b"": 0} | {p: n for n, p in enumerate(begun, 1)}
+        self.steps = np.array([*(state[p[:-1]] << 9 | p[-1] for p in begun), 1 << 60])
+        self.rank = np.array([-1, *(self.ranks.get(p, -1) for p in begun)], np.int32)
+        self.second = np.zeros((257, 257), np.int32)  # after two bytes
+        for p in begun:
+            if len(p) == 2:
+                self.second[p[0], p[1]] = state[p]
+        self.first = np.array([state.get(bytes([b]), 0) for b in range(256)] + [0], np.int32)
+        self.longest = max(map(len, self.ranks))
 
     @property
     def end(self) -> int:
@@ -81,31 +86,71 @@ class Vocabulary:
     def pieces(self, word: bytes) -> list[int]:
         """Ranks of the longest pieces from the left of a word with a blank before it."""
         text, at, out = b" " + word, 0, []
-        ranks, lengths = self.ranks, self.lengths
         while at < len(text):
-            # No piece begins with three bytes that are not listed.
-            for n in lengths.get(text[at : at + 3], (2, 1)):
-                rank = ranks.get(text[at : at + n])
+            for n in range(min(self.longest, len(text) - at), 0, -1):
+                rank = self.ranks.get(text[at : at + n])
                 if rank is not None:
                     out.append(rank)
                     at += n
                     break
         return out
 
+    def cut(self, words: list[bytes]) -> list[bytes]:
+        """Bytes of the ranks of the pieces of each of some words, of no more than ``_LONG`` bytes each; all go on a piece at a time."""
+        if not words:
+            return []
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        text = np.full(sizes.sum(), 256, np.int32)  # between words stands what continues no piece
+        at = np.cumsum(sizes) - sizes
+        inside = np.ones(len(text), bool)
+        inside[at] = inside[at + sizes - 1] = False
+        text[inside] = np.frombuffer(b"".join(words), np.uint8)
+        text[at] = 32
+        out, many = np.zeros((len(words), _LONG + 1), self.kind), np.zeros(len(words), np.int64)
+        who = np.arange(len(words))
+        for n in range(_LONG + 1):
+            state = self.first[text[at]]
+            best, length = self.rank[state], np.ones(len(at), np.int64)
+            state = self.second[text[at], text[at + 1]]
+            on = np.flatnonzero(state)
+            state, depth = state[on], 2
+            while len(on):
+                rank = self.rank[state]
+                good = rank >= 0
+                best[on[good]] = rank[good]
+                length[on[good]] = depth
+                step = state.astype(np.int64) << 9 | text[at[on] + depth]
+                place = np.searchsorted(self.steps, step)
+                good = self.steps[place] == step
+                on, state, depth = on[good], place[good] + 1, depth + 1
+            out[who, n] = best
+            many[who] += 1
+            at += length
+            left = np.flatnonzero(text[at] < 256)
+            if not len(left):
+                break
+            who, at = who[left], at[left]
+        ranks = out[np.arange(_LONG + 1) < many[:, None]].tobytes()
+        stops = (np.cumsum(many) * out.itemsize).tolist()
+        return [ranks[s:e] for s, e in zip([0, *stops], stops, strict=False)]
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Bytes of the ranks of each word's pieces."""
+        if len(self.cache) > _CACHE:
+            self.cache.clear()
+        out = list(map(self.cache.get, words))
+        new = [n for n, packed in enumerate(out) if packed is None]
+        short = list({words[n] for n in new if len(words[n]) <= _LONG})
+        for at in range(0, len(short), 20_000):
+            some = short[at : at + 20_000]
+            self.cache.update(zip(some, self.cut(some), strict=True))
+        for n in new:
+            out[n] = self.cache.get(words[n]) or np.array(self.pieces(words[n]), self.kind).tobytes()
+        return out
+
     def encode(self, words: list[bytes]) -> np.ndarray:
         """Ranks of the words' pieces and the end."""
-        cache, kind, out = self.cache, self.kind, []
-        for w in words:
-            packed = cache.get(w)
-            if packed is None:
-                if len(cache) > _CACHE:
-                    cache.clear()
-                packed = np.array(self.pieces(w), kind).tobytes()
-                if len(w) <= 40:
-                    cache[w] = packed
-            out.append(packed)
-        out.append(kind(self.end).tobytes())
-        return np.frombuffer(b"".join(out), kind)
+        return np.frombuffer(b"".join([*self.packed(words), self.kind(self.end).tobytes()]), self.kind)
 
 
 def load_vocabulary(path: str | None = None) -> Vocabulary:
@@ -141,21 +186,30 @@ class Model:
         return np.append(self.cls // PER_GROUP, GROUPS).astype(np.uint8)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def _spans(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column, the text, has about so many bytes, or one row."""
+    for batch in batches:
+        total = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy())
+        cuts = [0, *(np.flatnonzero(np.diff(total // size)) + 1).tolist(), batch.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if s < e:
+                yield batch.slice(s, e - s)
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-        counts.clear()
-        return out
 
-    for batch in sliced(batches):
-        for text in batch.column(0).cast(pa.binary()):
-            counts.update(words_of(text.as_py() or b""))
-            counts[END] += 1
-            if len(counts) > 300_000:
-                yield flush()
-    yield flush()
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, a null one none, and all of them; as ``words_of``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = lists.flatten()
+    there = pc.binary_length(words).to_numpy() > 0  # what stands before or behind the blanks at a text's ends is empty
+    before = np.concatenate([[0], np.cumsum(there)])
+    return np.diff(before[lists.offsets.to_numpy()]), words.filter(pa.array(there))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for span in _spans(batches):
+        found = _split(span.column(0))[1].value_counts()
+        words = pa.concat_arrays([found.field("values").cast(pa.binary()), pa.array([END], pa.binary())])
+        yield pa.RecordBatch.from_arrays([words, pa.concat_arrays([found.field("counts"), pa.array([span.num_rows], pa.int64())])], ["word", "c"])
 
 
 def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
@@ -172,17 +226,31 @@ def _pair_counts(vocabulary) -> object:
     """
     edge = (1 << 20) - 1
 
+    def summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        pair, c = np.concatenate(pairs), np.concatenate(counts)
+        by = np.argsort(pair, kind="stable")
+        pair, c = pair[by], c[by]
+        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        return pa.RecordBatch.from_arrays([pa.array(pair[first]), pa.array(np.add.reduceat(c, first))], ["pair", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: dict[int, int] = {}
-        for batch in sliced(batches):
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ranks = [edge, *([vocabulary.value.end] if word == END else vocabulary.value.pieces(word)), edge]
-                for a, b in zip(ranks, ranks[1:], strict=False):
-                    pairs[a << 20 | b] = pairs.get(a << 20 | b, 0) + c
-            if len(pairs) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.int64()), pa.array(list(pairs.values()), pa.int64())], ["pair", "c"])
-                pairs = {}
-        yield pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.int64()), pa.array(list(pairs.values()), pa.int64())], ["pair", "c"])
+        kind, end, pairs, counts = vocabulary.value.kind, vocabulary.value.end, [], []
+        for batch in sliced(batches, 10_000):
+            words = batch.column(0).to_pylist()
+            packed = [kind(end).tobytes() if w == END else p for w, p in zip(words, vocabulary.value.packed(words), strict=True)]
+            many = np.array(list(map(len, packed))) // kind().itemsize
+            ranks = np.frombuffer(b"".join(packed), kind)
+            # Each word has a pair more than it has pieces: a piece is second in its pair, and first in the next.
+            at = np.arange(len(ranks)) + np.repeat(np.arange(len(words)), many)
+            a, b = np.full((2, len(ranks) + len(words)), edge)
+            b[at] = a[at + 1] = ranks
+            pairs.append(a << 20 | b)
+            counts.append(np.repeat(batch.column(1).to_numpy(), many + 1))
+            if sum(map(len, pairs)) > 1_000_000:
+                yield summed(pairs, counts)
+                pairs, counts = [], []
+        if pairs:
+            yield summed(pairs, counts)
 
     return run
 
@@ -277,7 +345,8 @@ _PARTS = np.repeat(np.eye(2, dtype=np.float32), [GROUPS, PER_GROUP], axis=0)
 
 def _projections(w: dict[str, np.ndarray]) -> np.ndarray:
     """Query, key and value of every vector side by side, and a one, which sums up weights next to values."""
-    out = np.ones((len(w["e"]), 2 * KEY + VALUE + 1), np.float32)
+    out = np.empty((len(w["e"]), 2 * KEY + VALUE + 1), np.float32)
+    out[:, -1] = 1
     np.matmul(w["e"], np.hstack([w["q"] * _SCALE, w["k"], w["v"]]), out=out[:, :-1])
     return out
 
@@ -370,13 +439,14 @@ def gradients(model: Model, ids: np.ndarray, joined: np.ndarray, target: np.ndar
     ds *= p
     out["far"] = np.bincount(_AGES.ravel(), np.ones(many, np.float32) @ ds.reshape(many, -1), 2 * BLOCK).astype(np.float32)
     # Slopes of queries, keys and values; those of an id come from the two windows that it is in.
-    both = np.zeros((many, 2 * BLOCK, 2 * KEY + VALUE), np.float32)
+    both = np.empty((many, 2 * BLOCK, 2 * KEY + VALUE), np.float32)
+    both[:, :BLOCK, :KEY] = 0
     np.matmul(ds, k, out=both[:, BLOCK:, :KEY])
     np.matmul(ds.transpose(0, 2, 1), q, out=both[:, :, KEY : 2 * KEY])
     np.matmul(p.transpose(0, 2, 1), da[:, :, :-1], out=both[:, :, 2 * KEY :])
     both = both.reshape(many, 2, -1)
-    d = np.zeros((many + 1, both.shape[2]), np.float32)
-    d[1:] = both[:, 1]
+    d = np.empty((many + 1, both.shape[2]), np.float32)
+    d[0], d[1:] = 0, both[:, 1]
     d[:-1] += both[:, 0]
     d = d.reshape(-1, 2 * KEY + VALUE)
     own = w["e"].take(at, axis=0).T @ d
@@ -506,34 +576,37 @@ def score_texts(texts: list[np.ndarray], model: Model) -> np.ndarray:
 def _encoded(shared, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, heads = shared.value
-        for batch in sliced(batches):
-            n, base, known, tails, tail_counts, ends, ids, parts = [], [], [], [], [], [0], [], []
-            for some in _slabs(batch.column(batch.num_columns - 1)):
-                for words in map(words_of, some):
-                    ids.append(vocabulary.encode(words).tobytes())
-                    parts.append(None if share == 1 else [p.tobytes() for p in stretches(words, share, vocabulary)])
-                    words.append(END)
-                    n.append(len(words))
-                    found = list(map(heads.get, words))
-                    common = [x for x in found if x is not None]
-                    base.append(float(np.array(common).sum()))
-                    known.append(len(common))
-                    if len(common) < len(words):
-                        tail = Counter([w for w, x in zip(words, found, strict=True) if x is None])
-                        tails += tail
-                        tail_counts += tail.values()
-                    ends.append(len(tails))
-            tail = pa.StructArray.from_arrays([pa.array(tails, pa.binary()), pa.array(tail_counts, pa.int32())], ["word", "tf"])
-            if n:
-                added = {
-                    "n_tokens": pa.array(n, pa.int64()),
-                    "base": pa.array(base),
-                    "known": pa.array(known, pa.int64()),
-                    "tail": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail),
-                    "ids": pa.array(ids, pa.binary()),
-                    "parts": pa.array(parts, pa.list_(pa.binary())),
-                }
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added.values()], [*batch.schema.names[:-1], *added])
+        for span in _spans(batches):
+            many, found = _split(span.column(span.num_columns - 1))
+            found = found.dictionary_encode()
+            words = [*found.dictionary.cast(pa.binary()).to_pylist(), END]
+            # Each text's words, by their places among the different ones, and the end.
+            which = np.full(len(found) + len(many), len(words) - 1)
+            which[np.arange(len(found)) + np.repeat(np.arange(len(many)), many)] = found.indices.to_numpy()
+            stops = np.cumsum(many + 1)
+            starts = stops - many - 1
+
+            packed = [*vocabulary.packed(words[:-1]), vocabulary.kind(vocabulary.end).tobytes()]
+            pool, lengths = np.frombuffer(b"".join(packed), vocabulary.kind), np.array(list(map(len, packed))) // vocabulary.kind().itemsize
+            each = lengths[which]
+            behind = np.cumsum(each)
+            ids = pool[np.arange(behind[-1]) + np.repeat((np.cumsum(lengths) - lengths)[which] - behind + each, each)]
+            ends = np.concatenate([[0], behind[stops - 1]])
+            parts = [None if share == 1 else [p.tobytes() for p in stretches([words[w] for w in which[s : e - 1]], share, vocabulary)] for s, e in zip(starts, stops, strict=True)]
+
+            logs = np.array(list(map(heads.get, words)), float)[which]  # not a number: in the long tail
+            rare = np.isnan(logs)
+            rows, counts = np.unique(np.repeat(np.arange(len(many)), many + 1)[rare] * len(words) + which[rare], return_counts=True)
+            tail = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(rows % len(words))), pa.array(counts.astype(np.int32))], ["word", "tf"])
+            added = {
+                "n_tokens": pa.array(many + 1, pa.int64()),
+                "base": pa.array(np.add.reduceat(np.where(rare, 0, logs), starts)),
+                "known": pa.array(np.add.reduceat(~rare, starts, dtype=np.int64)),
+                "tail": pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(len(many) + 1) * len(words)).astype(np.int32)), tail),
+                "ids": pa.array([ids[s:e].tobytes() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary()),
+                "parts": pa.array(parts, pa.list_(pa.binary())),
+            }
+            yield pa.RecordBatch.from_arrays([*span.columns[:-1], *added.values()], [*span.schema.names[:-1], *added])
 
     return run
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -412,3 +413,13 @@ def test_lm_step_is_right_and_costs_little_beyond_its_arithmetic():
     # By a yardstick of the same machine: the exponentials of one step's attention.
     some = rng.standard_normal((len(ids), lm_score.BLOCK, 2 * lm_score.BLOCK)).astype(np.float32)
     assert least(lambda: lm_score.gradients(model, ids, joined, target)) < 75 * least(lambda: np.exp(some))
+
+
+def test_lm_cuts_many_words_as_one_by_one():
+    vocabulary, rng = lm_score.load_vocabulary(), random.Random(2)
+    texts = [None, "", " ", "a\x0bB\x0cc\x1c\x1dd\x85 É  É\t\n x ", "ÀB c", "\n\n", "".join(rng.choices("abcABCÉé \n.,0123", k=20_000)), "Z" * 100 + " " + "z" * 100]
+    many, found = lm_score._split(pa.array(texts, pa.string()))
+    words = [lm_score.words_of((t or "").encode()) for t in texts]
+    assert (many.tolist(), found.cast(pa.binary()).to_pylist()) == ([len(w) for w in words], [x for w in words for x in w])
+    odd = [bytes(rng.choices(range(256), k=rng.randint(1, 60))) for _ in range(500)] + [x for w in words for x in w]
+    assert [np.frombuffer(p, vocabulary.kind).tolist() for p in vocabulary.packed(odd)] == [vocabulary.pieces(w) for w in odd]
