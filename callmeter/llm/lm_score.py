@@ -505,11 +505,12 @@ class _Trainer:
             self.flat -= by
 
 
-def _slabs(column: pa.Array, size: int = 1_000_000) -> Iterator[list[bytes]]:
+def _slabs(batch: pa.RecordBatch, kind: type, size: int = 1_000_000) -> Iterator[list[np.ndarray]]:
+    """Ids of so many bytes of text at a time; the last two columns have the texts' bytes and their ids."""
     some, total = [], 0
-    for text in column.cast(pa.binary()):
-        some.append(text.as_py() or b"")
-        total += len(some[-1])
+    for bytes_, ids in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+        some.append(np.frombuffer(ids, kind))
+        total += bytes_
         if total > size:
             yield some
             some, total = [], 0
@@ -522,8 +523,8 @@ def _trained(shared, kind: type, rate: float):
         model = replace(shared.value, weights=dict(shared.value.weights))
         trainer = _Trainer(model, rate)
         for batch in sliced(batches):
-            for some in _slabs(batch.column(0)):
-                trainer.learn([np.frombuffer(ids, kind) for ids in some])
+            for some in _slabs(batch, kind):
+                trainer.learn(some)
         if trainer.seen:
             flat = trainer.flat.astype(np.float64) * trainer.seen
             cuts = range(0, len(flat), 4096)
@@ -536,7 +537,7 @@ def _trained(shared, kind: type, rate: float):
 
 
 def train(docs: DataFrame, learned: DataFrame, model: Model, vocabulary: Vocabulary, text_col: str = "text") -> Model:
-    """Trains the attention: a start on a bounded sample of ``docs``, then all partitions of ``learned`` (``ids``) on their own, averaged."""
+    """Trains the attention: a start on a bounded sample of ``docs``, then all partitions of ``learned`` (``bytes`` and ``ids``) on their own, averaged."""
     texts = docs.select(F.col(text_col).alias("t")).where("t is not null")
     few = texts.where(F.length("t") <= 20_000).orderBy(F.xxhash64("t"), "t").limit(START_DOCS).collect()
     sample = [vocabulary.encode(words_of(r.t.encode())) for r in few]
@@ -546,7 +547,7 @@ def train(docs: DataFrame, learned: DataFrame, model: Model, vocabulary: Vocabul
             start.learn(sample)
     model = replace(model)  # without what was worked out from it
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    parts = learned.select("ids").mapInArrow(_trained(shared, vocabulary.kind, 0.004), "part int, seen bigint, sums array<double>")
+    parts = learned.select("bytes", "ids").mapInArrow(_trained(shared, vocabulary.kind, 0.004), "part int, seen bigint, sums array<double>")
     # One row a weight and partition, summed before the shuffle; the result is bounded by the weights.
     one = parts.select("part", "seen", F.posexplode("sums").alias("i", "x"))
     sums = one.groupBy("part", "i").agg(F.sum("x").alias("x"), F.sum("seen").alias("n")).toPandas()
@@ -577,7 +578,8 @@ def _encoded(shared, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, heads = shared.value
         for span in _spans(batches):
-            many, found = _split(span.column(span.num_columns - 1))
+            texts = span.column(span.num_columns - 1)
+            many, found = _split(texts)
             found = found.dictionary_encode()
             words = [*found.dictionary.cast(pa.binary()).to_pylist(), END]
             # Each text's words, by their places among the different ones, and the end.
@@ -603,6 +605,7 @@ def _encoded(shared, share: int):
                 "base": pa.array(np.add.reduceat(np.where(rare, 0, logs), starts)),
                 "known": pa.array(np.add.reduceat(~rare, starts, dtype=np.int64)),
                 "tail": pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(len(many) + 1) * len(words)).astype(np.int32)), tail),
+                "bytes": pc.binary_length(texts).fill_null(0),
                 "ids": pa.array([ids[s:e].tobytes() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary()),
                 "parts": pa.array(parts, pa.list_(pa.binary())),
             }
@@ -615,9 +618,9 @@ def _scored(shared, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in sliced(batches):
-            scores = [score_texts([np.frombuffer(ids, kind) for ids in some], model) for some in _slabs(batch.column(batch.num_columns - 1))]
+            scores = [score_texts(some, model) for some in _slabs(batch, kind)]
             if scores:
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(scores))], [*batch.schema.names[:-1], "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(np.concatenate(scores))], [*batch.schema.names[:-2], "score"])
 
     return run
 
@@ -651,12 +654,14 @@ def score_documents(
     coded = named.mapInArrow(
         _encoded(context.broadcast((vocabulary, common)), share),
         f"uid bigint, doc_id {kind}, held_out boolean, learned boolean, n_tokens bigint, base double, known bigint, "
-        "tail array<struct<word: binary, tf: int>>, ids binary, parts array<binary>",
+        "tail array<struct<word: binary, tf: int>>, bytes int, ids binary, parts array<binary>",
     )
     coded = stored(coded, "ids")
-    to_learn = coded.where("learned").select("ids" if share == 1 else F.explode("parts").alias("ids"))
+    to_learn = coded.where("learned")
+    if share != 1:
+        to_learn = to_learn.select(F.explode("parts").alias("ids")).withColumn("bytes", F.octet_length("ids"))
     model = train(learned, to_learn, prepare(counts, vocabulary), vocabulary, "t")
-    scored = coded.select("uid", "doc_id", "held_out", "n_tokens", "base", "known", "ids").mapInArrow(
+    scored = coded.select("uid", "doc_id", "held_out", "n_tokens", "base", "known", "bytes", "ids").mapInArrow(
         _scored(context.broadcast(model), vocabulary.kind),
         f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, base double, known bigint, score double",
     )
