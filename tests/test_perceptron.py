@@ -102,3 +102,34 @@ def test_placing_rows_takes_few_tasks_however_many_partitions_a_shuffle_has(spar
         spark.conf.set("spark.sql.shuffle.partitions", before)
     jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("placing")]
     assert sum(sc.statusTracker().getStageInfo(s).numTasks for s in {s for j in jobs for s in j.stageIds}) < 300
+
+
+def test_passes_in_32_bits_find_the_same(spark, held, monkeypatch):
+    weights = np.random.default_rng(7).normal(size=4 * 4 + 5 * 2)
+    rows = perceptron.blocks(held)
+    wide = perceptron.measure(rows, weights, SIZES, 1.5, 0.4)
+    narrow = perceptron.measure(rows, weights, SIZES, 1.5, 0.4, np.float32)
+    assert narrow.loss == pytest.approx(wide.loss, rel=1e-6) and np.allclose(narrow.gradient, wide.gradient, rtol=0, atol=1e-6)
+    for a, b in ((narrow.train, wide.train), (narrow.val, wide.val)):
+        assert a == pytest.approx(b, rel=1e-6) and a[1] == b[1]
+    x = np.random.default_rng(9).normal(size=(50, 3))
+    scores = perceptron._outputs(perceptron._layers(weights, SIZES), x)[-1][:, 1]
+    for threshold in np.concatenate([scores - 1e-11, scores + 1e-11]):  # as 32 bits cannot tell
+        cells = tuple(v.tobytes() for v in (x, np.ones(50), np.ones(50), np.ones(50)))
+        one = spark.sparkContext.parallelize([cells], 1)
+        monkeypatch.setattr(perceptron, "_summed", lambda rows, task: task(perceptron._arrays(iter([cells]))))
+        same = [perceptron.measure(one, weights, SIZES, 1.5, float(threshold), kind).train[1] for kind in (np.float64, np.float32)]
+        assert same[0] == same[1]
+
+
+def test_rows_that_are_only_measured_come_last_in_a_block(held):
+    found = perceptron.blocks(held).collect()
+    taken = [np.frombuffer(n, np.float64) > 0 for _, _, n, _ in found]
+    assert all((np.diff(t.astype(int)) <= 0).all() for t in taken) and sum(t.sum() for t in taken) == 18
+
+
+def test_a_fit_computes_its_passes_in_32_bits(spark, monkeypatch):
+    rows, kinds, real = prepared(spark, SF_DIR).select(KEY, LABEL, "split", "day_mins"), [], perceptron.measure
+    monkeypatch.setattr(perceptron, "measure", lambda *a: kinds.append(a[-1]) or real(*a))
+    models.fit_mlp(rows.filter("split = 'train'"), rows.filter("split = 'val'"), columns=["day_mins"], hidden=(2,), rounds=1, iterations=1)
+    assert set(kinds) == {np.float32}
